@@ -94,19 +94,19 @@ def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _tfidf_vocab(spark: SparkSession, sf_dir: str) -> DataFrame:
-    vocab = tfidf.vocabulary(_documents(spark, sf_dir))
+    vocab = tfidf.vocabulary(_documents(spark, sf_dir), "doc_id")
     return vocab.withColumn("idf", F.round("idf", tfidf.DIGITS))
 
 
 def _tfidf_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _documents(spark, sf_dir)
-    rows = tfidf.weights(docs, "doc_id", tfidf.vocabulary(docs))
+    rows = tfidf.weights(docs, "doc_id", tfidf.vocabulary(docs, "doc_id"))
     return rows.withColumn("weight", F.round("weight", tfidf.DIGITS))
 
 
 def _tfidf_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _documents(spark, sf_dir)
-    return tfidf.nearest(docs, "doc_id", tfidf.vocabulary(docs), P.WORDS)
+    return tfidf.nearest(docs, "doc_id", tfidf.vocabulary(docs, "doc_id"), P.WORDS)
 
 
 def _fts_index(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -73,6 +73,6 @@ if __name__ == "__main__":
         try:
             found = differences(session, duck(sf_dir), sf_dir, key, sqls[key])
         except Exception as error:
-            found = [repr(error)[:1500]]
+            found = [str(error)[:1500]]
         print(key, round(time.time() - start, 2), "ok" if not found else found, flush=True)
     session.stop()

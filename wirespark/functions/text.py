@@ -33,7 +33,7 @@ def first_item(column: Column, separator: str = ";") -> Column:
 def list_items(column: Column, separator: str = ";") -> Column:
     """Items of a delimited list, trimmed, blank ones dropped; NULL gives []."""
     parts = F.split(F.coalesce(column, F.lit("")), separator)
-    return F.filter(F.transform(parts, F.trim), lambda item: item != "")
+    return F.filter(F.transform(parts, lambda item: F.trim(item)), lambda item: item != "")
 
 
 def clean_name(column: Column) -> Column:

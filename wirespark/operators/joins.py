@@ -49,5 +49,9 @@ def duplicate_keys(df: DataFrame, key: str) -> DataFrame:
 
 
 def exploded(df: DataFrame, key: str, items, name: str) -> DataFrame:
-    """One row per item of an array expression, next to its record key."""
-    return df.select(key, F.explode(items).alias(name))
+    """One row per item of an array expression, next to its record key.
+
+    Outer form plus filter, so that the array is computed once per row (the plain
+    form makes Spark infer a size filter on it, which computes it a second time).
+    """
+    return df.select(key, F.explode_outer(items).alias(name)).filter(F.col(name).isNotNull())

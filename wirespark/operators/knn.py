@@ -27,7 +27,9 @@ def nearest_vectors(
     ``target`` is a constant or a scalar subquery, so rows are scored where they
     are read and every task forwards only its own best ``k``.
     """
-    scored = df.select(key, F.round(cosine(F.col(vector), target), DIGITS).alias("similarity"))
+    similarity = F.round(cosine(F.col(vector), F.col("_target")), DIGITS)
+    rows = df.select(key, vector, target.alias("_target"))
+    scored = rows.select(key, similarity.alias("similarity"))
     return top_n(scored, k, [F.desc_nulls_last("similarity"), F.asc(key)])
 
 

@@ -39,5 +39,10 @@ def with_term_counts(df: DataFrame, tokens: Column, name: str = "terms") -> Data
 
 
 def exploded_terms(df: DataFrame, key: str, terms: str = "terms") -> DataFrame:
-    """Inverted index rows ``(key, term, tf)``."""
-    return df.select(key, F.inline(terms))
+    """Inverted index rows ``(key, term, tf)``.
+
+    The outer form with a filter behind it is deliberate: for the plain form Spark
+    infers a size filter on the array, pushes it below the projections that build
+    the array and so evaluates them again inside one another.
+    """
+    return df.select(key, F.inline_outer(terms)).filter(F.col("term").isNotNull())

@@ -20,11 +20,14 @@ MAX_DF = 0.8
 DIGITS = 6
 
 
-def word_terms(text: Column, stop_words: list[str]) -> Column:
-    """Words of two or more characters without stop words, then their bigrams."""
-    words = F.filter(
-        F.split(normalize_text(text), " "), lambda w: (F.length(w) >= 2) & ~w.isin(stop_words)
-    )
+def kept_words(text: Column, stop_words: list[str]) -> Column:
+    """Words of two or more characters without stop words."""
+    words = F.split(normalize_text(text), " ")
+    return F.filter(words, lambda w: (F.length(w) >= 2) & ~w.isin(stop_words))
+
+
+def with_bigrams(words: Column) -> Column:
+    """The words and then each pair of neighbours."""
     pairs = F.zip_with(
         F.slice(words, F.lit(1), F.greatest(F.size(words) - 1, F.lit(0))),
         F.slice(words, F.lit(2), F.greatest(F.size(words), F.lit(1))),
@@ -37,13 +40,14 @@ def term_documents(
     df: DataFrame, key: str, text: Column, stop_words: list[str] | None = None
 ) -> DataFrame:
     """``(key, terms)``: the 1- and 2-gram counts of every document."""
-    tokens = word_terms(F.col("_text"), stop_words or english_stop_words())
-    counted = with_term_counts(df.select(key, text.alias("_text")), tokens)
-    return counted.drop("_text")
+    words = kept_words(text, stop_words or english_stop_words())
+    counted = with_term_counts(df.select(key, words.alias("_words")), with_bigrams(F.col("_words")))
+    return counted.drop("_words")
 
 
 def vocabulary(
     documents: DataFrame,
+    key: str,
     *,
     max_features: int = MAX_FEATURES,
     min_df: int = MIN_DF,
@@ -56,7 +60,7 @@ def vocabulary(
     """
     n = documents.agg(F.count(F.lit(1))).scalar()
     counted = (
-        documents.select(F.inline("terms"))
+        exploded_terms(documents, key)
         .groupBy("term")
         .agg(F.count(F.lit(1)).alias("df"), F.sum("tf").alias("cf"))
     )
@@ -96,7 +100,7 @@ def nearest(
         raise ValueError("search text is required")
     spark = documents.sparkSession
     asked = spark.range(1).select("id", F.lit(query).alias("q"))
-    asked = term_documents(asked, "id", F.col("q"), stop_words).select(F.inline("terms"))
+    asked = exploded_terms(term_documents(asked, "id", F.col("q"), stop_words), "id").drop("id")
     whole = Window.partitionBy()
     raw = F.col("query_tf") * F.col("idf")
     # At most max_features rows: the query vector laid over the vocabulary.

@@ -173,7 +173,7 @@ def search_tfidf(
         raise ValueError("search text is required")
     rows = settled(corpus_documents(search_corpus(t, link=link), tag))
     documents = tfidf.term_documents(rows, "row_id", F.col("combined_text"))
-    found = tfidf.nearest(documents, "row_id", tfidf.vocabulary(documents), query.strip(), limit)
+    found = tfidf.nearest(documents, "row_id", tfidf.vocabulary(documents, "row_id"), query.strip(), limit)
     return _results(rows, found)
 
 
@@ -213,7 +213,7 @@ def refresh_if_stale(
     documents = settled(tfidf.term_documents(rows, "row_id", F.col("combined_text")))
     rows.write.mode("overwrite").parquet(f"{folder}/rows")
     documents.write.mode("overwrite").parquet(f"{folder}/documents")
-    tfidf.vocabulary(documents).write.mode("overwrite").parquet(f"{folder}/vocabulary")
+    tfidf.vocabulary(documents, "row_id").write.mode("overwrite").parquet(f"{folder}/vocabulary")
     spark.createDataFrame([(as_of,)], "built_at timestamp_ntz").write.mode("append").parquet(
         f"{path}/builds"
     )
