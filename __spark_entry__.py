@@ -5,7 +5,7 @@ from __future__ import annotations
 import os
 import sys
 from collections.abc import Callable
-from functools import partial
+from functools import lru_cache, partial
 from types import SimpleNamespace
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -16,6 +16,7 @@ from pyspark.sql import functions as F  # noqa: E402
 import oracle  # noqa: E402
 from wirespark.functions import cards, dates, text  # noqa: E402
 from wirespark.operators import fulltext, joins, keyed, knn, tfidf  # noqa: E402
+from wirespark.operators.terms import spread  # noqa: E402
 from wirespark.plans import detail, etl, news, search, stats  # noqa: E402
 from wirespark.schemas import NewsTables  # noqa: E402
 from wirespark.session import new_folder, settled  # noqa: E402
@@ -40,11 +41,17 @@ PARAMETERS = SimpleNamespace(
 P = PARAMETERS
 
 
+@lru_cache(maxsize=4)
+def _relations(spark: SparkSession, sf_dir: str) -> NewsTables:
+    """The lazy relations of a data folder, declared once per session."""
+    return derived_tables(spark, sf_dir)
+
+
 def _news(query: Callable[[NewsTables], DataFrame]):
     """A query over the relations derived from a data folder."""
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return query(derived_tables(spark, sf_dir))
+        return query(_relations(spark, sf_dir))
 
     return run
 
@@ -88,8 +95,12 @@ def _article_cards(t: NewsTables) -> DataFrame:
     )
 
 
+def _texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spread(read_table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id")
+
+
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = read_table(spark, sf_dir, "documents")
+    docs = _texts(spark, sf_dir)
     return tfidf.term_documents(docs, "doc_id", F.col("text"))
 
 
@@ -110,8 +121,7 @@ def _tfidf_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _fts_index(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = read_table(spark, sf_dir, "documents")
-    return fulltext.inverted_index(docs, "doc_id", F.col("text"))
+    return fulltext.inverted_index(_texts(spark, sf_dir), "doc_id", F.col("text"))
 
 
 def _fts_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -151,7 +161,7 @@ def _format_elapsed(events: DataFrame) -> DataFrame:
 def _feed_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All events written as raw feed files and read back through the feed source."""
     folder = new_folder(spark, "export")
-    feeds.write_feed(derived_tables(spark, sf_dir).events, folder, "export")
+    feeds.write_feed(_relations(spark, sf_dir).events, folder, "export")
     return feeds.read_feed(spark, folder, "export")
 
 

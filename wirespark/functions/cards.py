@@ -43,19 +43,21 @@ def _present(column: Column) -> Column:
     return F.coalesce(column != "", F.lit(False))
 
 
-def _first_related(theme: Column, values: dict[str, Column], default: Column) -> Column:
+def _first_related(theme: Column, values: dict[str, str]) -> Column:
     """Value of the first key that contains the theme or is contained in it."""
     upper = F.upper(theme)
-    chain = F.when(~_present(theme), default)
-    for key, value in values.items():
-        chain = chain.when(F.contains(upper, F.lit(key)) | F.contains(F.lit(key), upper), value)
-    return chain.otherwise(default)
+    pairs = F.array(
+        *[F.struct(F.lit(k).alias("key"), F.lit(v).alias("value")) for k, v in values.items()]
+    )
+    related = F.filter(
+        pairs, lambda pair: F.contains(upper, pair["key"]) | F.contains(pair["key"], upper)
+    )
+    return F.when(_present(theme), F.get(related, 0)["value"])
 
 
 def theme_category(theme: Column) -> Column:
     """Category of a theme: the key itself, else the first related key, else NULL."""
-    none = F.lit(None).cast("string")
-    related = _first_related(theme, {key: F.lit(key) for key in THEME_KEYS}, none)
+    related = _first_related(theme, {key: key for key in THEME_KEYS})
     return F.when(F.upper(theme).isin(THEME_KEYS), F.upper(theme)).otherwise(related)
 
 
@@ -118,8 +120,9 @@ def article_url(source_url: Column, document_url: Column) -> Column:
 
 def image_url(image: Column, theme: Column) -> Column:
     """Own picture, else one for the theme, else the default."""
-    pictures = {key: F.lit(PICTURE_URL.format(n=n)) for key, n in THEME_PICTURES.items()}
-    stand_in = _first_related(theme, pictures, F.lit(PICTURE_URL.format(n=DEFAULT_PICTURE)))
+    pictures = {key: PICTURE_URL.format(n=n) for key, n in THEME_PICTURES.items()}
+    default = F.lit(PICTURE_URL.format(n=DEFAULT_PICTURE))
+    stand_in = F.coalesce(_first_related(theme, pictures), default)
     return F.when(F.startswith(image, F.lit("http")), image).otherwise(stand_in)
 
 

@@ -34,17 +34,17 @@ def round_quarter_hour(column: Column, as_of: Column) -> Column:
     return F.when(rounded < as_of, rounded)
 
 
-def date_label(column: Column) -> Column:
-    """``Jan 5, 2024`` for a date, a yyyymmdd text or an ISO text."""
-    text = column.cast("string")
+def date_label(day: Column) -> Column:
+    """``Jan 5, 2024`` for a date, 'Unknown date' for NULL."""
+    return F.coalesce(F.date_format(day, "MMM d, yyyy"), F.lit("Unknown date"))
+
+
+def text_date_label(text: Column) -> Column:
+    """``date_label`` of a yyyymmdd or ISO text; 'Invalid Date' for other text."""
     day = F.when(text.rlike(r"^\d{8}$"), F.try_to_date(text, "yyyyMMdd")).otherwise(
         text.try_cast("date")
     )
-    return (
-        F.when(F.coalesce(text, F.lit("")) == "", F.lit("Unknown date"))
-        .when(day.isNull(), F.lit("Invalid Date"))
-        .otherwise(F.date_format(day, "MMM d, yyyy"))
-    )
+    return F.when((text != "") & day.isNull(), F.lit("Invalid Date")).otherwise(date_label(day))
 
 
 def elapsed_label(seconds: Column) -> Column:

@@ -1,4 +1,12 @@
-"""Left and inner joins under a row limit, without forming the whole product."""
+"""Chains of one-to-many joins under one row limit, without their product.
+
+The rows of a chain are ordered prefix first: by the columns of the first frame,
+then by those of the first child, and so on. If every prefix row yields a row,
+which left joins guarantee and inner joins get from a semi-join beforehand, the
+first ``n`` results come from the first ``n`` prefixes and, per key, from the first
+``n`` children. So the chain may be cut to ``n`` rows after each join and still
+gives what one limit at the end gives.
+"""
 
 from __future__ import annotations
 
@@ -7,29 +15,27 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 
 from wirespark.operators.keyed import small, top_n, top_n_per_key
-from wirespark.session import settled
 
 
-def expand_first(
+def first_children(
+    child: DataFrame, first: DataFrame, key: str, order: Sequence[Column], n: int
+) -> DataFrame:
+    """First ``n`` child rows of every key in ``first``, a settled frame of up to ``n`` rows.
+
+    The child is scanned and filtered by the broadcast keys; only rows kept per key
+    are shuffled.
+    """
+    keys = first.select(key).distinct()
+    return top_n_per_key(child.join(small(keys, n), key, "left_semi"), [key], order, n)
+
+
+def expanded(
     prefix: DataFrame,
-    child: DataFrame,
+    children: DataFrame,
     key: str,
-    child_order: Sequence[Column],
     order: Sequence[Column],
     n: int,
     how: str = "left",
 ) -> DataFrame:
-    """First ``n`` rows of ``prefix JOIN child`` when rows are ordered prefix first.
-
-    ``prefix`` is materialised and has at most ``n`` rows; ``order`` orders the
-    joined rows by prefix columns, then child columns. If every prefix row yields a
-    row, which a left join guarantees and an inner join needs a semi-join for, the
-    first ``n`` results come from these prefixes and from the first ``n`` children
-    of each key. So chains of joins are cut to ``n`` rows step by step with the
-    same result as one limit at the end. The child is only scanned and filtered by
-    the broadcast keys; nothing of it is shuffled but the rows kept per key.
-    """
-    keys = prefix.select(key).distinct()
-    matching = child.join(small(keys, n), key, "left_semi")
-    kept = top_n_per_key(matching, [key], child_order, n)
-    return settled(top_n(prefix.join(kept, key, how), n, order))
+    """First ``n`` rows of ``prefix JOIN children`` by prefix order, then child order."""
+    return top_n(prefix.join(children, key, how), n, order)

@@ -10,7 +10,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from wirespark.functions.text import normalize_text
 from wirespark.operators.keyed import small, top_n
 from wirespark.operators.terms import english_stop_words, exploded_terms, with_term_counts
 
@@ -21,8 +20,8 @@ DIGITS = 6
 
 
 def kept_words(text: Column, stop_words: list[str]) -> Column:
-    """Words of two or more characters without stop words."""
-    words = F.split(normalize_text(text), " ")
+    """Words of ``normalize_text`` with two or more characters, without stop words."""
+    words = F.split(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{N}_]+")
     return F.filter(words, lambda w: (F.length(w) >= 2) & ~w.isin(stop_words))
 
 

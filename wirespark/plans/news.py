@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from wirespark.functions.dates import int_date
 from wirespark.functions.text import contains_ignoring_case, first_item, tag_text
-from wirespark.operators.expand import expand_first
+from wirespark.operators.expand import expanded, first_children
 from wirespark.operators.joins import lookup_join
 from wirespark.operators.keyed import distinct_on, small, top_n
 from wirespark.schemas import NewsTables
@@ -154,20 +154,27 @@ def featured_news(t: NewsTables, limit: int = 1) -> DataFrame:
     order = [desc("score"), asc("globaleventid")]
     first = settled(top_n(eligible, limit, order))
     by_confidence = [F.desc_nulls_last("confidence")]
+    mentions = t.mentions.select("globaleventid", "confidence")
+    records = article_records(t.gkg.filter(F.col("sharingimage").isNotNull()))
     order += by_confidence
-    first = expand_first(
+    rows = expanded(
         first,
-        t.mentions.select("globaleventid", "confidence"),
+        first_children(mentions, first, "globaleventid", by_confidence, limit),
         "globaleventid",
-        by_confidence,
         order,
         limit,
         "inner",
     )
-    records = article_records(t.gkg.filter(F.col("sharingimage").isNotNull()))
     order += record_order()
-    rows = expand_first(first, records, "sourceurl", record_order(), order, limit, "inner")
-    return top_n(rows, limit, order).select(
+    rows = expanded(
+        rows,
+        first_children(records, first, "sourceurl", record_order(), limit),
+        "sourceurl",
+        order,
+        limit,
+        "inner",
+    )
+    return rows.select(
         F.col("globaleventid").alias("id"),
         F.col("actor1name").alias("actor1_name"),
         F.col("actor2name").alias("actor2_name"),

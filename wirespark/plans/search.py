@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from wirespark.functions.dates import int_date
 from wirespark.functions.text import joined_text, search_tokens, tag_text
 from wirespark.operators import tfidf
-from wirespark.operators.expand import expand_first
+from wirespark.operators.expand import expanded, first_children
 from wirespark.operators.fulltext import inverted_index, query_terms, rank_rows, record_text
 from wirespark.operators.joins import lookup_join
 from wirespark.operators.keyed import distinct_on, top_n
@@ -72,10 +72,10 @@ def search_news(t: NewsTables, query: str, limit: int = 35) -> DataFrame:
 def search_corpus(t: NewsTables, limit: int = CORPUS_ROWS, *, link: str = "url") -> DataFrame:
     """The newest ``limit`` rows of events with their article records, list items and mentions.
 
-    Rows are ordered by date, event, record, items and confidence. Every left join
-    keeps its prefix rows, so the joins are cut to ``limit`` rows one by one; the
-    product of all lists is never formed. ``link='id'`` takes the event id as record
-    id, ``link='url'`` the source URL. Materialises ``limit`` rows per step.
+    Rows are ordered by date, event, record, items and confidence, and the chain of
+    left joins is cut to ``limit`` rows join by join; the product of all lists is
+    never formed. ``link='id'`` takes the event id as record id, ``link='url'`` the
+    source URL. Materialises the newest events and their records.
     """
     if link not in ("url", "id"):
         raise ValueError(f"unknown link: {link}")
@@ -90,7 +90,7 @@ def search_corpus(t: NewsTables, limit: int = CORPUS_ROWS, *, link: str = "url")
         F.col(linked).alias("link"),
     )
     order = [desc("date"), asc("globaleventid")]
-    rows = settled(top_n(events, limit, order))
+    newest = settled(top_n(events, limit, order))
 
     record = ["gkgrecordid", "sourcecommonname", "image", "extras"]
     records = t.gkg.select(
@@ -99,27 +99,24 @@ def search_corpus(t: NewsTables, limit: int = CORPUS_ROWS, *, link: str = "url")
         "sourcecommonname",
         F.col("sharingimage").alias("image"),
         "extras",
-    ).distinct()
-    steps = [
-        (records, "link", record),
-        (t.gkg_themes.select("gkgrecordid", "theme").distinct(), "gkgrecordid", ["theme"]),
-        (t.gkg_persons.select("gkgrecordid", "person").distinct(), "gkgrecordid", ["person"]),
-        (
-            t.gkg_organizations.select("gkgrecordid", "organization").distinct(),
-            "gkgrecordid",
-            ["organization"],
-        ),
-        (t.gkg_names.select("gkgrecordid", "name").distinct(), "gkgrecordid", ["name"]),
-        (
-            t.mentions.select("globaleventid", "confidence").distinct(),
-            "globaleventid",
-            ["confidence"],
-        ),
-    ]
-    for child, key, columns in steps:
-        child_order = [asc(c) for c in columns]
-        order = [*order, *child_order]
-        rows = expand_first(rows, child, key, child_order, order, limit)
+    )
+    record_columns = [asc(c) for c in record]
+    order += record_columns
+    kept = first_children(records.distinct(), newest, "link", record_columns, limit)
+    described = settled(expanded(newest, kept, "link", order, limit))
+
+    rows = described
+    for child, key, column in (
+        (t.gkg_themes, "gkgrecordid", "theme"),
+        (t.gkg_persons, "gkgrecordid", "person"),
+        (t.gkg_organizations, "gkgrecordid", "organization"),
+        (t.gkg_names, "gkgrecordid", "name"),
+        (t.mentions, "globaleventid", "confidence"),
+    ):
+        order = [*order, asc(column)]
+        values = child.select(key, column).distinct()
+        kept = first_children(values, described, key, [asc(column)], limit)
+        rows = expanded(rows, kept, key, order, limit)
     return rows.select(
         "globaleventid",
         "date",
