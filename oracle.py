@@ -69,9 +69,10 @@ GK = """gk AS (
   FROM pages
   LEFT JOIN documents d ON d.doc_id = page_id % (SELECT count(*) FROM documents)
   LEFT JOIN part a ON a.p_partkey = page_id % (SELECT count(*) FROM part)
-  LEFT JOIN part b ON b.p_partkey = (page_id * 7 + 3) % (SELECT count(*) FROM part)),
-gr AS (
-  SELECT *, split_part(themes, ';', 1) AS first_theme,
+  LEFT JOIN part b ON b.p_partkey = (page_id * 7 + 3) % (SELECT count(*) FROM part))"""
+
+GR = """gr AS (
+  SELECT *, row_number() OVER () AS rid, split_part(themes, ';', 1) AS first_theme,
     CASE WHEN regexp_matches(extras, '(?s)<PAGE_TITLE>(.*?)</PAGE_TITLE>')
       THEN regexp_extract(extras, '(?s)<PAGE_TITLE>(.*?)</PAGE_TITLE>', 1) END AS page_title
   FROM gk)"""
@@ -298,7 +299,7 @@ def _with(*parts: str) -> str:
 
 def _detail(on: str) -> str:
     return (
-        _with(EV, MN, GK, GT, GP, GO)
+        _with(EV, MN, GK, GR, GT, GP, GO)
         + f"""SELECT globaleventid AS id, sqldate AS date, actor1name AS actor1_name,
   actor2name AS actor2_name, nummentions AS num_mentions, goldsteinscale AS goldstein_scale,
   avgtone AS avg_tone, sourcecommonname AS source, sharingimage AS image,
@@ -317,8 +318,8 @@ GROUP BY globaleventid, sqldate, actor1name, actor2name, nummentions, goldsteins
 
 def oracle_sql(p) -> dict[str, str]:
     """SQL per query key; ``p`` holds the query parameters of the entry module."""
-    news = _with(EV, MN, GK, TOP)
-    articles = _with(EV, MN, GK, ALL_ARTICLES)
+    news = _with(EV, MN, GK, GR, TOP)
+    articles = _with(EV, MN, GK, GR, ALL_ARTICLES)
     featured = FEATURED.format(joined=JOINED, records=RECORD_ORDER, limit=p.FEATURED)
     geo = ", ".join(
         f"{axis} AS {place}_{axis}"
@@ -337,7 +338,7 @@ def oracle_sql(p) -> dict[str, str]:
     document_terms = _tfidf_terms("dt", "documents", "doc_id", "text")
     document_vocab = _vocabulary("documents", "dt")
     corpus = {
-        link: _with(EV, MN, GK, GT, GP, GO, GN, CORPUS.format(on=on))
+        link: _with(EV, MN, GK, GR, GT, GP, GO, GN, CORPUS.format(on=on))
         for link, on in (
             ("url", "sourceurl = documentidentifier"),
             ("id", "globaleventid = gkgrecordid"),
@@ -359,11 +360,11 @@ FROM documents""",
         + "SELECT gkgrecordid, name, regexp_replace(name, ',\\d+$', '') AS clean_name FROM gn",
         "article_cards": articles + CARDS,
         "top_news": news + f"SELECT {ARTICLE_FIELDS} FROM top",
-        "featured_news": _with(EV, MN, GK, featured) + "SELECT * FROM featured",
-        "top_minus_featured": _with(EV, MN, GK, TOP, featured)
+        "featured_news": _with(EV, MN, GK, GR, featured) + "SELECT * FROM featured",
+        "top_minus_featured": _with(EV, MN, GK, GR, TOP, featured)
         + f"""SELECT {ARTICLE_FIELDS} FROM top
 WHERE id NOT IN (SELECT id FROM featured)""",
-        "theme_filter": _with(EV, MN, GK, GT)
+        "theme_filter": _with(EV, MN, GK, GR, GT)
         + f"""SELECT {ARTICLE} FROM (
   SELECT * FROM (
     SELECT *, row_number() OVER (PARTITION BY page_title ORDER BY nummentions DESC NULLS FIRST,
@@ -424,22 +425,23 @@ ORDER BY globaleventid, sqldate, actor1name, nummentions LIMIT 10""",
         "duplicate_keys": _with(MN)
         + """SELECT globaleventid, count(*) AS count FROM mn GROUP BY globaleventid
 HAVING count(*) > 1""",
-        "search_docs": _with(GK, _tokens("tok", "gr", "gkgrecordid", RECORD_TEXT))
-        + "SELECT gkgrecordid, term, count(*) AS tf FROM tok GROUP BY ALL",
+        "search_docs": _with(GK, GR, _tokens("tok", "gr", "rid, gkgrecordid", RECORD_TEXT))
+        + """SELECT gkgrecordid, term, count(*) AS tf FROM tok
+GROUP BY rid, gkgrecordid, term""",
         "fts_index": _with(document_index)
         + "SELECT doc_id, term, count(*) AS tf FROM tok GROUP BY ALL",
         "fts_rank": _with(document_index)
         + f"""SELECT doc_id, round(count(*) * 0.1, 6) AS rank FROM tok
 WHERE term IN ({search_terms}) GROUP BY doc_id""",
-        "fts_search": _with(EV, MN, GK, _tokens("tok", "gr", "gkgrecordid", RECORD_TEXT))
+        "fts_search": _with(EV, MN, GK, GR, _tokens("tok", "gr", "rid", RECORD_TEXT))
         + f"""SELECT {ARTICLE}, rank FROM (
   SELECT * FROM (
     SELECT *, row_number() OVER (PARTITION BY page_title ORDER BY nummentions DESC NULLS FIRST,
       rank DESC, globaleventid, confidence DESC NULLS LAST, {RECORD_ORDER}) AS rn
     FROM {JOINED} JOIN (
-      SELECT gkgrecordid, round(count(*) * 0.1, 6) AS rank FROM tok
-      WHERE term IN ({", ".join(f"'{t}'" for t in p.NEWS_TERMS)}) GROUP BY gkgrecordid)
-      USING (gkgrecordid))
+      SELECT rid, round(count(*) * 0.1, 6) AS rank FROM tok
+      WHERE term IN ({", ".join(f"'{t}'" for t in p.NEWS_TERMS)}) GROUP BY rid)
+      USING (rid))
   WHERE rn = 1 ORDER BY rank DESC, globaleventid, page_title LIMIT 35)""",
         "tfidf_vocab": _with(document_terms, document_vocab)
         + "SELECT term, df, cf, round(idf, 6) AS idf FROM vocab",

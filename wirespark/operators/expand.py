@@ -18,15 +18,22 @@ from wirespark.operators.keyed import small, top_n, top_n_per_key
 
 
 def first_children(
-    child: DataFrame, first: DataFrame, key: str, order: Sequence[Column], n: int
+    child: DataFrame,
+    first: DataFrame,
+    key: str,
+    order: Sequence[Column],
+    n: int,
+    *,
+    distinct: bool = False,
 ) -> DataFrame:
-    """First ``n`` child rows of every key in ``first``, a settled frame of up to ``n`` rows.
+    """First ``n`` (distinct) child rows of every key in ``first``, a settled frame of up to ``n`` rows.
 
-    The child is scanned and filtered by the broadcast keys; only rows kept per key
+    The child is scanned and filtered by the broadcast keys; only rows of those keys
     are shuffled.
     """
     keys = first.select(key).distinct()
-    return top_n_per_key(child.join(small(keys, n), key, "left_semi"), [key], order, n)
+    matching = child.join(small(keys, n), key, "left_semi")
+    return top_n_per_key(matching.distinct() if distinct else matching, [key], order, n)
 
 
 def expanded(

@@ -50,6 +50,7 @@ def transform(
     *,
     zipped: bool = False,
     fmt: str = "parquet",
+    by_day: bool = True,
 ) -> NewsTables:
     """Clean landed files into one folder per table and return the tables read back.
 
@@ -58,7 +59,7 @@ def transform(
     """
     landed = landed_tables(spark, extract_dir, zipped=zipped)
     for table in BASE_TABLES:
-        write_clean(getattr(landed, table), out_dir, table, fmt)
+        write_clean(getattr(landed, table), out_dir, table, fmt, by_day=by_day)
     stored = _stored_tables(spark, out_dir, fmt)
     for table in CHILD_TABLES:
         write_clean(getattr(stored, table), out_dir, table, fmt)

@@ -102,7 +102,7 @@ def search_corpus(t: NewsTables, limit: int = CORPUS_ROWS, *, link: str = "url")
     )
     record_columns = [asc(c) for c in record]
     order += record_columns
-    kept = first_children(records.distinct(), newest, "link", record_columns, limit)
+    kept = first_children(records, newest, "link", record_columns, limit, distinct=True)
     described = settled(expanded(newest, kept, "link", order, limit))
 
     rows = described
@@ -114,8 +114,8 @@ def search_corpus(t: NewsTables, limit: int = CORPUS_ROWS, *, link: str = "url")
         (t.mentions, "globaleventid", "confidence"),
     ):
         order = [*order, asc(column)]
-        values = child.select(key, column).distinct()
-        kept = first_children(values, described, key, [asc(column)], limit)
+        values = child.select(key, column)
+        kept = first_children(values, described, key, [asc(column)], limit, distinct=True)
         rows = expanded(rows, kept, key, order, limit)
     return rows.select(
         "globaleventid",

@@ -3,12 +3,21 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from wirespark.schemas import CHILD_TABLES, TABLE_NAMES, NewsTables, table_schema
 
 JDBC_BATCH = 10_000
 
 
+# Folder layout of the base tables: column and, where it is not stored, its value.
+LAYOUT = {
+    "events": ("sqldate", None),
+    "mentions": ("day", "CAST(mentiontimedate DIV 1000000 AS INT)"),
+    "gkg": ("day", "try_cast(substr(date, 1, 8) AS INT)"),
+}
+
+
 def write_clean(
     df: DataFrame,
     base: str,
@@ -16,14 +25,19 @@ def write_clean(
     fmt: str = "parquet",
     *,
     mode: str = "overwrite",
-    by: str | None = None,
+    by_day: bool = False,
 ) -> None:
-    """Write one table to its own folder.
+    """Write one table to its own folder, in as many files as its size asks for.
 
-    With ``by`` rows are rebalanced on that column and laid out by its values;
-    Spark splits the output of a value that is much larger than the others.
+    With ``by_day`` a base table gets one subfolder per day. Rows are rebalanced on
+    the day first: small days get one file, and Spark splits a day that is much
+    larger than the others over several tasks.
     """
-    if by:
+    by = None
+    if by_day and table in LAYOUT:
+        by, value = LAYOUT[table]
+        if value:
+            df = df.withColumn(by, F.expr(value))
         df = df.hint("rebalance", by)
     writer = df.write.mode(mode).format(fmt)
     if fmt == "csv":

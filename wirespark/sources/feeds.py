@@ -31,17 +31,30 @@ def _check(feed: str) -> None:
 
 
 def read_raw(spark: SparkSession, paths: str | list[str], feed: str) -> DataFrame:
-    """All raw positions as text plus the file name and ``_corrupt``.
+    """All raw positions as text and the name of the file, ``_file``.
 
     ``paths`` are files or folders; a folder is one read of its ``.csv`` files in
-    either case. ``_corrupt`` holds the text of records with a wrong field count.
+    either case. Short records are filled up with NULL.
+    """
+    _check(feed)
+    reader = spark.read.schema(raw_schema(feed)).options(**CSV_OPTIONS)
+    files = reader.option("pathGlobFilter", CSV_FILES).csv(paths)
+    return files.select("*", F.col("_metadata.file_name").alias("_file"))
+
+
+def rejected(spark: SparkSession, paths: str | list[str], feed: str) -> DataFrame:
+    """Records with a wrong number of fields: ``(_file, record_key, _corrupt)``.
+
+    Fields are only counted when every column is parsed, hence without pruning.
     """
     _check(feed)
     schema = T.StructType([*raw_schema(feed), T.StructField(CORRUPT, T.StringType())])
-    reader = spark.read.schema(schema).options(**CSV_OPTIONS)
+    reader = spark.read.schema(schema).options(**CSV_OPTIONS, columnPruning="false")
     reader = reader.option("columnNameOfCorruptRecord", CORRUPT)
-    reader = reader.option("pathGlobFilter", CSV_FILES)
-    return reader.csv(paths).select("*", F.col("_metadata.file_name").alias("_file"))
+    files = reader.option("pathGlobFilter", CSV_FILES).csv(paths)
+    return files.filter(F.col(CORRUPT).isNotNull()).select(
+        F.col("_metadata.file_name").alias("_file"), F.col("_c0").alias("record_key"), CORRUPT
+    )
 
 
 def typed(raw: DataFrame, feed: str, keep: Iterable[str] = ()) -> DataFrame:
@@ -61,11 +74,6 @@ def read_feed(spark: SparkSession, paths: str | list[str], feed: str | None = No
     return typed(read_raw(spark, paths, feed), feed)
 
 
-def rejected(raw: DataFrame) -> DataFrame:
-    """Records whose field count is wrong, with their file: ``(_file, _corrupt)``."""
-    return raw.filter(F.col(CORRUPT).isNotNull()).select("_file", CORRUPT)
-
-
 def raw_rows(df: DataFrame, feed: str) -> DataFrame:
     """A typed feed laid out at its raw positions, for writing feed files."""
     _check(feed)

@@ -11,12 +11,11 @@ from wirespark.schemas import TABLE_NAMES, NewsTables, table_schema
 
 def read_clean(spark: SparkSession, base: str, table: str, fmt: str = "parquet") -> DataFrame:
     """One cleaned table from its own folder, with its declared schema."""
-    reader = spark.read.schema(table_schema(table))
+    schema = table_schema(table)
+    reader = spark.read.schema(schema).format(fmt)
     if fmt == "csv":
-        return reader.option("header", True).option("escape", '"').option("multiLine", True).csv(
-            f"{base}/{table}"
-        )
-    return reader.format(fmt).load(f"{base}/{table}")
+        reader = reader.option("header", True).option("escape", '"').option("multiLine", True)
+    return reader.load(f"{base}/{table}").select(*schema.names)
 
 
 def read_news_tables(spark: SparkSession, base: str, fmt: str = "parquet") -> NewsTables:
