@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import sys
 from collections.abc import Callable
+from datetime import datetime
 from functools import lru_cache, partial
 from types import SimpleNamespace
 
@@ -18,16 +19,18 @@ from wirespark.functions import cards, dates, text  # noqa: E402
 from wirespark.operators import fulltext, joins, keyed, knn, tfidf  # noqa: E402
 from wirespark.operators.terms import spread  # noqa: E402
 from wirespark.plans import detail, etl, news, search, stats  # noqa: E402
-from wirespark.schemas import NewsTables  # noqa: E402
+from wirespark.schemas import BASE_TABLES, NewsTables, table_schema  # noqa: E402
 from wirespark.session import new_folder, settled  # noqa: E402
 from wirespark.sources import feeds, manifest  # noqa: E402
 from wirespark.sources.derived import derived_tables, read_table  # noqa: E402
+from wirespark.streaming.ingest import ingest  # noqa: E402
 
 SMOKE_DIR = "/root/testdata/sf0.001"
 
 PARAMETERS = SimpleNamespace(
     FEATURED=25,
     THEME="standard",
+    LITERAL_THEME="y_brand_1",
     CONTAINS="actor_1",
     SOURCE="src1",
     AS_OF="2024-01-20 12:00:00",
@@ -37,6 +40,7 @@ PARAMETERS = SimpleNamespace(
     NEWS_TERMS=["person", "ring", "13", "economy", "brushed"],
     WORDS="and under retitioning the parties le eaux",
     NEWS_QUERY="person 7 org 4 red widget ACTOR_12",
+    STREAM_SPAN="3650 days",
 )
 P = PARAMETERS
 
@@ -158,11 +162,48 @@ def _format_elapsed(events: DataFrame) -> DataFrame:
     return events.select("event_id", dates.elapsed_label(seconds).alias("elapsed"))
 
 
-def _feed_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All events written as raw feed files and read back through the feed source."""
-    folder = new_folder(spark, "export")
-    feeds.write_feed(_relations(spark, sf_dir).events, folder, "export")
-    return feeds.read_feed(spark, folder, "export")
+def _feed_roundtrip(table: str, feed: str):
+    """A whole base table written as raw feed files and read back through the feed source."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        folder = new_folder(spark, feed)
+        feeds.write_feed(getattr(_relations(spark, sf_dir), table), folder, feed)
+        return feeds.read_feed(spark, folder, feed)
+
+    return run
+
+
+def _etl_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All base tables landed as feed files, transformed, and the result profiled."""
+    landed, clean = new_folder(spark, "landed"), new_folder(spark, "clean")
+    t = _relations(spark, sf_dir)
+    for table, feed in BASE_TABLES.items():
+        feeds.write_feed(getattr(t, table), f"{landed}/{feed}", feed)
+    return stats.table_profile(etl.transform(spark, landed, clean))
+
+
+def _stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All events dropped twice and ingested as a stream that removes the repeats."""
+    drops, out, state = [new_folder(spark, name) for name in ("drops", "ingested", "state")]
+    events = _relations(spark, sf_dir).events
+    for drop in ("first", "again"):
+        feeds.write_feed(events, f"{drops}/{drop}", "export")
+    # The drops are not in time order, so the watermark spans all of them.
+    ingest(spark, drops, out, state, watermark=P.STREAM_SPAN).awaitTermination()
+    return spark.read.schema(table_schema("events")).parquet(out)
+
+
+def _saved_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = new_folder(spark, "index")
+    as_of = datetime.fromisoformat(P.AS_OF)
+    folder = search.refresh_if_stale(_relations(spark, sf_dir), path, as_of)
+    return search.search_saved(spark, folder, P.NEWS_QUERY)
+
+
+def _search_table(t: NewsTables) -> DataFrame:
+    tokens = F.aggregate("search_terms", F.lit(0).cast("bigint"), lambda n, x: n + x["tf"])
+    table = search.search_table(t.gkg)
+    return table.withColumn("tokens", tokens).drop("search_terms")
 
 
 def _without_featured(t: NewsTables) -> DataFrame:
@@ -187,6 +228,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "featured_news": _news(partial(news.featured_news, limit=P.FEATURED)),
         "top_minus_featured": _news(_without_featured),
         "theme_filter": _news(partial(news.filter_news, theme=P.THEME)),
+        "theme_filter_literal": _news(
+            partial(news.filter_news, theme=P.LITERAL_THEME, literal=True)
+        ),
         "contains_search": _news(lambda t: news.contains_search(articles(t), P.CONTAINS)),
         "source_filter": _news(lambda t: news.source_filter(articles(t), P.SOURCE)),
         "recent_news": _news(news.recent_news),
@@ -197,6 +241,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "stats": _news(partial(stats.stats, as_of=P.AS_OF[:10])),
         "table_profile": _news(stats.table_profile),
         "sample_events": _news(stats.sample_events),
+        "sample_mentions": _news(lambda t: stats.table_samples(t)["mentions"]),
+        "sample_gkg": _news(lambda t: stats.table_samples(t)["gkg"]),
         "id_overlap": _news(
             lambda t: joins.pair_count(t.events, t.mentions, "globaleventid", "globaleventid")
         ),
@@ -206,6 +252,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             lambda t: joins.orphans(t.mentions, t.events, "globaleventid", "globaleventid")
         ),
         "duplicate_keys": _news(lambda t: joins.duplicate_keys(t.mentions, "globaleventid")),
+        "search_table": _news(_search_table),
         "search_docs": _news(lambda t: search.search_docs(t.gkg)),
         "fts_index": _fts_index,
         "fts_rank": _fts_rank,
@@ -216,11 +263,16 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "search_corpus": _news(search.search_corpus),
         "search_corpus_by_record_id": _news(partial(search.search_corpus, link="id")),
         "search_tfidf": _news(partial(search.search_tfidf, query=P.NEWS_QUERY)),
+        "search_tfidf_saved": _saved_search,
         "knn_cosine": _table("embeddings", _knn),
         "interval_manifest": _table("events", _interval_manifest),
         "round_quarter_hour": _table("events", _round_quarter_hour),
         "format_elapsed": _table("events", _format_elapsed),
-        "feed_roundtrip": _feed_roundtrip,
+        "feed_events": _feed_roundtrip("events", "export"),
+        "feed_mentions": _feed_roundtrip("mentions", "mentions"),
+        "feed_gkg": _feed_roundtrip("gkg", "gkg"),
+        "etl_profile": _etl_profile,
+        "stream_ingest": _stream_ingest,
     }
 
 

@@ -344,6 +344,51 @@ def oracle_sql(p) -> dict[str, str]:
             ("id", "globaleventid = gkgrecordid"),
         )
     }
+    table_counts = (
+        _with(EV, MN, GK, GT)
+        + """SELECT 'events_count' AS metric, count(*) AS value FROM ev
+UNION ALL SELECT 'mentions_count', count(*) FROM mn
+UNION ALL SELECT 'gkg_count', count(*) FROM gk
+UNION ALL SELECT 'themes_count', count(*) FROM gt
+UNION ALL SELECT 'common_event_gkg_ids', count(*) FROM ev JOIN gk ON globaleventid = gkgrecordid
+UNION ALL SELECT 'common_event_mention_ids', count(*) FROM ev JOIN mn USING (globaleventid)"""
+    )
+    all_events = (
+        _with(EV)
+        + f"""SELECT globaleventid, sqldate, actor1name, actor2name, eventcode,
+  eventcode AS eventbasecode, left(eventcode, 2) AS eventrootcode, quadclass, goldsteinscale,
+  nummentions, avgtone, {geo}, dateadded, sourceurl FROM ev"""
+    )
+    tfidf_results = (
+        corpus["url"]
+        + ", "
+        + ",\n".join(
+            [
+                CORPUS_ROWS,
+                _tfidf_terms("ct", "rows", "row_id", "combined_text"),
+                _vocabulary("rows", "ct"),
+                _nearest("rows", "ct", "row_id", p.NEWS_QUERY, 10),
+            ]
+        )
+        + """
+SELECT globaleventid AS id, coalesce(nullif(title, ''), 'No title available') AS title, date,
+  theme, actor1name AS actor1_name, actor2name AS actor2_name, nummentions AS num_mentions,
+  confidence, sourcecommonname AS source, image, similarity AS similarity_score
+FROM rows JOIN found USING (row_id)"""
+    )
+
+    def themed(condition: str) -> str:
+        return (
+            _with(EV, MN, GK, GR, GT)
+            + f"""SELECT {ARTICLE} FROM (
+  SELECT * FROM (
+    SELECT *, row_number() OVER (PARTITION BY page_title ORDER BY nummentions DESC NULLS FIRST,
+      globaleventid, confidence DESC NULLS LAST, {RECORD_ORDER}) AS rn
+    FROM {JOINED} JOIN gt USING (gkgrecordid) WHERE {condition})
+  WHERE rn = 1
+  ORDER BY nummentions DESC NULLS FIRST, globaleventid, page_title LIMIT 50)"""
+        )
+
     search_terms = ", ".join(f"'{t}'" for t in p.SEARCH_TERMS)
     quarter = "make_timestamp(CAST(floor((epoch(ts) + 450) / 900) * 900000000 AS BIGINT))"
     return {
@@ -364,14 +409,8 @@ FROM documents""",
         "top_minus_featured": _with(EV, MN, GK, GR, TOP, featured)
         + f"""SELECT {ARTICLE_FIELDS} FROM top
 WHERE id NOT IN (SELECT id FROM featured)""",
-        "theme_filter": _with(EV, MN, GK, GR, GT)
-        + f"""SELECT {ARTICLE} FROM (
-  SELECT * FROM (
-    SELECT *, row_number() OVER (PARTITION BY page_title ORDER BY nummentions DESC NULLS FIRST,
-      globaleventid, confidence DESC NULLS LAST, {RECORD_ORDER}) AS rn
-    FROM {JOINED} JOIN gt USING (gkgrecordid) WHERE theme ILIKE '%{p.THEME}%')
-  WHERE rn = 1
-  ORDER BY nummentions DESC NULLS FIRST, globaleventid, page_title LIMIT 50)""",
+        "theme_filter": themed(f"theme ILIKE '%{p.THEME}%'"),
+        "theme_filter_literal": themed(f"contains(lower(theme), '{p.LITERAL_THEME}')"),
         "contains_search": articles
         + f"""SELECT {ARTICLE_FIELDS} FROM articles
 WHERE contains(lower(title), '{p.CONTAINS}') OR contains(lower(actor1_name), '{p.CONTAINS}')
@@ -405,16 +444,17 @@ UNION ALL SELECT 'total_gkg', count(*) FROM gk
 UNION ALL SELECT 'total_themes', count(DISTINCT theme) FROM gt
 UNION ALL SELECT 'recent_events', count(*) FROM ev
   WHERE sqldate >= CAST(strftime(DATE '{p.AS_OF[:10]}' - INTERVAL 7 DAY, '%Y%m%d') AS INTEGER)""",
-        "table_profile": _with(EV, MN, GK, GT)
-        + """SELECT 'events_count' AS metric, count(*) AS value FROM ev
-UNION ALL SELECT 'mentions_count', count(*) FROM mn
-UNION ALL SELECT 'gkg_count', count(*) FROM gk
-UNION ALL SELECT 'themes_count', count(*) FROM gt
-UNION ALL SELECT 'common_event_gkg_ids', count(*) FROM ev JOIN gk ON globaleventid = gkgrecordid
-UNION ALL SELECT 'common_event_mention_ids', count(*) FROM ev JOIN mn USING (globaleventid)""",
+        "table_profile": table_counts,
+        "etl_profile": table_counts,
         "sample_events": _with(EV)
         + """SELECT globaleventid, sqldate, actor1name, nummentions FROM ev
 ORDER BY globaleventid, sqldate, actor1name, nummentions LIMIT 10""",
+        "sample_mentions": _with(MN)
+        + """SELECT globaleventid, mentionssource, confidence FROM mn
+ORDER BY globaleventid, mentionssource, confidence LIMIT 5""",
+        "sample_gkg": _with(GK)
+        + """SELECT gkgrecordid, sourcecommonname, sharingimage FROM gk
+ORDER BY gkgrecordid, sourcecommonname, sharingimage LIMIT 5""",
         "id_overlap": _with(EV, MN)
         + "SELECT count(*) AS count FROM ev JOIN mn USING (globaleventid)",
         "news_detail": _detail("sourceurl = documentidentifier"),
@@ -425,6 +465,12 @@ ORDER BY globaleventid, sqldate, actor1name, nummentions LIMIT 10""",
         "duplicate_keys": _with(MN)
         + """SELECT globaleventid, count(*) AS count FROM mn GROUP BY globaleventid
 HAVING count(*) > 1""",
+        "search_table": _with(GK, GR, _tokens("tok", "gr", "rid", RECORD_TEXT))
+        + """SELECT gkgrecordid, CAST(strptime(left(date, 8), '%Y%m%d') AS DATE) AS date,
+  sourcecommonname, documentidentifier, themes, persons, organizations, sharingimage,
+  CAST(NULL AS VARCHAR) AS relatedimages, allnames, extras,
+  coalesce(page_title, 'News Article') AS page_title, coalesce(n, 0) AS tokens
+FROM gr LEFT JOIN (SELECT rid, count(*) AS n FROM tok GROUP BY rid) USING (rid)""",
         "search_docs": _with(GK, GR, _tokens("tok", "gr", "rid, gkgrecordid", RECORD_TEXT))
         + """SELECT gkgrecordid, term, count(*) AS tf FROM tok
 GROUP BY rid, gkgrecordid, term""",
@@ -454,21 +500,8 @@ WHERE term IN ({search_terms}) GROUP BY doc_id""",
         + "SELECT doc_id, similarity FROM found",
         "search_corpus": corpus["url"] + "SELECT * FROM corpus",
         "search_corpus_by_record_id": corpus["id"] + "SELECT * FROM corpus",
-        "search_tfidf": corpus["url"]
-        + ", "
-        + ",\n".join(
-            [
-                CORPUS_ROWS,
-                _tfidf_terms("ct", "rows", "row_id", "combined_text"),
-                _vocabulary("rows", "ct"),
-                _nearest("rows", "ct", "row_id", p.NEWS_QUERY, 10),
-            ]
-        )
-        + """
-SELECT globaleventid AS id, coalesce(nullif(title, ''), 'No title available') AS title, date,
-  theme, actor1name AS actor1_name, actor2name AS actor2_name, nummentions AS num_mentions,
-  confidence, sourcecommonname AS source, image, similarity AS similarity_score
-FROM rows JOIN found USING (row_id)""",
+        "search_tfidf": tfidf_results,
+        "search_tfidf_saved": tfidf_results,
         "knn_cosine": """WITH target AS (
   SELECT list(m ORDER BY i) AS v FROM (
     SELECT i, avg(CAST(embedding[i] AS DOUBLE)) AS m
@@ -491,8 +524,10 @@ FROM events""",
         "format_elapsed": """SELECT event_id, (s // 3600) || ' hours, ' || ((s % 3600) // 60)
   || ' minutes, ' || (s % 60) || ' seconds' AS elapsed
 FROM (SELECT event_id, CAST(floor(value * 100) AS BIGINT) AS s FROM events)""",
-        "feed_roundtrip": _with(EV)
-        + f"""SELECT globaleventid, sqldate, actor1name, actor2name, eventcode,
-  eventcode AS eventbasecode, left(eventcode, 2) AS eventrootcode, quadclass, goldsteinscale,
-  nummentions, avgtone, {geo}, dateadded, sourceurl FROM ev""",
+        "feed_events": all_events,
+        "stream_ingest": all_events,
+        "feed_mentions": _with(MN) + "SELECT * FROM mn",
+        "feed_gkg": _with(GK)
+        + """SELECT gkgrecordid, date, sourcecommonname, documentidentifier, themes,
+  nullif(persons, '') AS persons, organizations, sharingimage, CAST(NULL AS VARCHAR) AS relatedimages, allnames, extras FROM gk""",
     }

@@ -50,11 +50,12 @@ def transform(
     *,
     zipped: bool = False,
     fmt: str = "parquet",
-    by_day: bool = True,
+    by_day: bool = False,
 ) -> NewsTables:
     """Clean landed files into one folder per table and return the tables read back.
 
-    Base tables are written first and the list columns exploded from the written
+    ``by_day`` lays the base tables out by day, for feeds large enough to fill files
+    per day. Base tables are written first and the list columns exploded from the written
     gkg table, so the raw files are parsed once.
     """
     landed = landed_tables(spark, extract_dir, zipped=zipped)

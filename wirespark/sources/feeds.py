@@ -87,6 +87,9 @@ def raw_rows(df: DataFrame, feed: str) -> DataFrame:
 
 
 def write_feed(df: DataFrame, path: str, feed: str) -> None:
-    """Write feed files (several part files, each readable by ``read_feed``)."""
+    """Write feed files (several part files, each readable by ``read_feed``).
+
+    The format does not tell an empty text from a missing one: both read as NULL.
+    """
     options = {k: v for k, v in CSV_OPTIONS.items() if k != "multiLine"}
     raw_rows(df, feed).write.mode("overwrite").options(**options).csv(path)
