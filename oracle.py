@@ -477,7 +477,7 @@ GROUP BY rid, gkgrecordid, term""",
         "fts_index": _with(document_index)
         + "SELECT doc_id, term, count(*) AS tf FROM tok GROUP BY ALL",
         "fts_rank": _with(document_index)
-        + f"""SELECT doc_id, round(count(*) * 0.1, 6) AS rank FROM tok
+        + f"""SELECT doc_id, round(count(*) * CAST(0.1 AS DOUBLE), 6) AS rank FROM tok
 WHERE term IN ({search_terms}) GROUP BY doc_id""",
         "fts_search": _with(EV, MN, GK, GR, _tokens("tok", "gr", "rid", RECORD_TEXT))
         + f"""SELECT {ARTICLE}, rank FROM (
@@ -485,7 +485,7 @@ WHERE term IN ({search_terms}) GROUP BY doc_id""",
     SELECT *, row_number() OVER (PARTITION BY page_title ORDER BY nummentions DESC NULLS FIRST,
       rank DESC, globaleventid, confidence DESC NULLS LAST, {RECORD_ORDER}) AS rn
     FROM {JOINED} JOIN (
-      SELECT rid, round(count(*) * 0.1, 6) AS rank FROM tok
+      SELECT rid, round(count(*) * CAST(0.1 AS DOUBLE), 6) AS rank FROM tok
       WHERE term IN ({", ".join(f"'{t}'" for t in p.NEWS_TERMS)}) GROUP BY rid)
       USING (rid))
   WHERE rn = 1 ORDER BY rank DESC, globaleventid, page_title LIMIT 35)""",

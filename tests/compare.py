@@ -20,6 +20,16 @@ import duckdb  # noqa: E402
 import __spark_entry__ as entry_module  # noqa: E402
 
 
+SPARK_TYPES = {
+    "VARCHAR": "string",
+    "BIGINT": "bigint",
+    "INTEGER": "int",
+    "DOUBLE": "double",
+    "DATE": "date",
+    "TIMESTAMP": "timestamp_ntz",
+}
+
+
 def duck(sf_dir: str) -> duckdb.DuckDBPyConnection:
     connection = duckdb.connect()
     for path in glob.glob(f"{sf_dir}/*.parquet"):
@@ -52,6 +62,10 @@ def differences(spark, connection, sf_dir: str, key: str, sql: str) -> list[str]
     names = [d[0] for d in cursor.description]
     theirs = canonical(names, cursor.fetchall())
     found = []
+    types = {r[0]: r[1] for r in connection.execute(f"DESCRIBE {sql}").fetchall()}
+    for name, dtype in df.dtypes:
+        if SPARK_TYPES.get(types.get(name)) != dtype:
+            found.append(f"type of {name}: {dtype} != {types.get(name)}")
     if sorted(names) != sorted(df.columns):
         found.append(f"columns {sorted(df.columns)} != {sorted(names)}")
     if len(ours) != len(theirs):

@@ -114,6 +114,7 @@ def tail(key: str) -> str:
 class PARAMETERS:
     FEATURED = 40
     THEME = "e_1"
+    LITERAL_THEME = "e_1"
     CONTAINS = "a"
     SOURCE = "SRC1"
     AS_OF = "2024-01-06 00:00:00"
@@ -145,6 +146,7 @@ def test_featured_news(world, limit, monkeypatch):
 
 def test_filter_news(world):
     check(world, news.filter_news(world[0], "e_1"), "theme_filter")
+    check(world, news.filter_news(world[0], "E_1", literal=True), "theme_filter_literal")
 
 
 def test_filter_news_literal_underscore(world):
@@ -155,11 +157,7 @@ def test_filter_news_literal_underscore(world):
 
 
 def test_search_news(world):
-    check(world, news_search(world[0]), "fts_search")
-
-
-def news_search(t):
-    return search.search_news(t, "stories, x p1")
+    check(world, search.search_news(world[0], "stories, x p1"), "fts_search")
 
 
 def test_all_articles_filters(world):

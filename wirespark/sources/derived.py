@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from wirespark.functions.dates import stamp
 from wirespark.functions.text import list_items
 from wirespark.operators.joins import exploded
+from wirespark.operators.terms import spread
 from wirespark.schemas import CHILD_TABLES, NewsTables
 
 
@@ -44,7 +45,7 @@ def _text(*parts) -> Column:
 
 def derived_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = read_table(spark, sf_dir, "pages")
-    source = read_table(spark, sf_dir, "events")
+    source = spread(read_table(spark, sf_dir, "events"), "event_id")
     eid, user = F.col("event_id"), F.col("user_id")
     codes = {"click": "010", "error": "042", "purchase": "061", "signup": "111"}
     code = F.lit(None).cast("string")
@@ -76,7 +77,8 @@ def derived_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def derived_mentions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return read_table(spark, sf_dir, "lineitem").select(
+    lines = read_table(spark, sf_dir, "lineitem")
+    return spread(lines, "l_orderkey").select(
         F.col("l_orderkey").cast("string").alias("globaleventid"),
         stamp(F.col("l_shipdate")).cast("bigint").alias("mentiontimedate"),
         _text("src", F.col("l_suppkey") % 20).alias("mentionssource"),
