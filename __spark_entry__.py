@@ -225,6 +225,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "explode_names": _news(lambda t: etl.child_names(t.gkg)),
         "article_cards": _news(_article_cards),
         "top_news": _news(news.top_news),
+        "top_news_total": _news(lambda t: stats.total(news.top_news(t))),
         "featured_news": _news(partial(news.featured_news, limit=P.FEATURED)),
         "top_minus_featured": _news(_without_featured),
         "theme_filter": _news(partial(news.filter_news, theme=P.THEME)),

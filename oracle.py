@@ -405,6 +405,7 @@ FROM documents""",
         + "SELECT gkgrecordid, name, regexp_replace(name, ',\\d+$', '') AS clean_name FROM gn",
         "article_cards": articles + CARDS,
         "top_news": news + f"SELECT {ARTICLE_FIELDS} FROM top",
+        "top_news_total": news + "SELECT count(*) AS total FROM top",
         "featured_news": _with(EV, MN, GK, GR, featured) + "SELECT * FROM featured",
         "top_minus_featured": _with(EV, MN, GK, GR, TOP, featured)
         + f"""SELECT {ARTICLE_FIELDS} FROM top

@@ -73,16 +73,28 @@ def test_distinct_on_prunes_before_the_shuffle(spark):
 
 
 def test_large_ranks_give_the_same_rows_as_small_ones(spark, monkeypatch):
-    df = skewed(spark, 3000)
+    df = skewed(spark, 3000).select("k", (F.col("id") % 300).alias("v"))
     monkeypatch.setattr(keyed, "PRUNED_RANKS", 5)
-    for n in (3, 50):
-        rows = keyed.top_n_per_key(df, ["k"], [F.desc("id")], n).collect()
-        by_key = {}
-        for r in df.collect():
-            by_key.setdefault(r.k, []).append(r.id)
-        expected = {(k, i) for k, ids in by_key.items() for i in sorted(ids)[-n:]}
-        assert {(r.k, r.id) for r in rows} == expected
-        assert set(rows[0].asDict()) == {"k", "id", "pad"}
+    by_key = {}
+    for r in df.collect():
+        by_key.setdefault(r.k, []).append(r.v)
+    assert max(v.count(3) for v in by_key.values()) > 3
+    for n in (3, 7, 50):
+        rows = keyed.top_n_per_key(df, ["k"], [F.desc("v")], n)
+        assert rows.columns == ["k", "v"]
+        expected = sorted((k, v) for k, vs in by_key.items() for v in sorted(vs)[-n:])
+        assert sorted(map(tuple, rows.collect())) == expected
+
+
+def test_merged_top_n_equals_top_n(spark, monkeypatch):
+    df = spark.range(0, 5000, 1, 40).select((F.col("id") % 977).alias("a"), "id")
+    monkeypatch.setattr(keyed, "PRUNED_RANKS", 5)
+    order = [F.desc("a"), F.asc("id")]
+    merged = keyed.top_n_merged(df, 100, order)
+    assert merged.collect() == df.orderBy(*order).limit(100).collect()
+    assert merged.columns == ["a", "id"]
+    plan = final_plan(merged)
+    assert plan.count("monotonically_increasing_id") >= 2
 
 
 def test_small_broadcasts_only_limited_frames(spark):

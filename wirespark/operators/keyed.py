@@ -14,11 +14,14 @@ SALT_BUCKETS = 64
 # Above this rank Spark no longer drops rows before the shuffle
 # (spark.sql.optimizer.windowGroupLimitThreshold).
 PRUNED_RANKS = 1000
+# Tasks of the middle step of a large top-n.
+MERGE_TASKS = 16
 # Rows a caller-limited result may have to be broadcast without asking its size.
 BROADCAST_ROWS = 10_000
 
 _RANK = "_rank"
 _SALT = "_salt"
+_COPIES = "_copies"
 
 
 def distinct_on(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
@@ -35,13 +38,20 @@ def top_n_per_key(
 ) -> DataFrame:
     """First ``n`` rows per key.
 
-    Large ``n`` goes through a salted pass first, which spreads a hot key over
-    ``SALT_BUCKETS`` tasks; the second pass then sees at most that many times n rows.
+    For large ``n``, equal rows are counted first, so a group of copies travels as
+    one row, and distinct rows go through a salted pass, which spreads a hot key
+    over ``SALT_BUCKETS`` tasks and leaves at most that many times ``n`` rows of it.
     """
-    if n > PRUNED_RANKS:
-        salted = df.withColumn(_SALT, F.pmod(F.xxhash64(*df.columns), F.lit(SALT_BUCKETS)))
-        df = _ranked(salted, [*keys, _SALT], order, n).drop(_SALT)
-    return _ranked(df, keys, order, n)
+    if n <= PRUNED_RANKS:
+        return _ranked(df, keys, order, n)
+    counted = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias(_COPIES))
+    salted = counted.withColumn(_SALT, F.pmod(F.xxhash64(*df.columns), F.lit(SALT_BUCKETS)))
+    kept = _ranked(salted, [*keys, _SALT], order, n)
+    earlier = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    before = F.coalesce(F.sum(_COPIES).over(earlier), F.lit(0))
+    placed = kept.withColumn(_RANK, before).filter(F.col(_RANK) < n)
+    copies = F.least(F.col(_COPIES), F.lit(n) - F.col(_RANK)).cast("int")
+    return placed.select(*df.columns, F.explode(F.array_repeat(F.lit(1), copies))).drop("col")
 
 
 def _ranked(df: DataFrame, keys: Sequence[str], order: Sequence[Column], n: int) -> DataFrame:
@@ -56,6 +66,26 @@ def top_n(df: DataFrame, n: int, order: Sequence[Column]) -> DataFrame:
     return df.orderBy(*order).limit(n)
 
 
+def top_n_merged(df: DataFrame, n: int, order: Sequence[Column]) -> DataFrame:
+    """``top_n`` for large ``n`` over many tasks.
+
+    One task cannot take ``n`` rows from each of very many tasks. Here every task
+    sorts and keeps its first ``n``, ``MERGE_TASKS`` tasks do the same for what they
+    are sent, and the last one takes at most ``MERGE_TASKS * n`` rows.
+    """
+    if n <= PRUNED_RANKS:
+        return top_n(df, n, order)
+    merged = _first_per_task(df, n, order).repartition(MERGE_TASKS)
+    return top_n(_first_per_task(merged, n, order), n, order)
+
+
+def _first_per_task(df: DataFrame, n: int, order: Sequence[Column]) -> DataFrame:
+    # The lower 33 bits of the id count the rows of a task.
+    position = F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1)
+    ranked = df.sortWithinPartitions(*order).withColumn(_RANK, position)
+    return ranked.filter(F.col(_RANK) < n).drop(_RANK)
+
+
 def small(df: DataFrame, rows: int) -> DataFrame:
     """Broadcast a frame whose row count the caller has limited to ``rows``.
 

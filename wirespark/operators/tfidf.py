@@ -116,12 +116,21 @@ def nearest(
 
 
 def nearest_by_weights(
-    weighted: DataFrame, documents: DataFrame, key: str, asked: DataFrame, k: int = 10
+    weighted: DataFrame,
+    documents: DataFrame,
+    key: str,
+    asked: DataFrame,
+    k: int = 10,
+    max_features: int = MAX_FEATURES,
 ) -> DataFrame:
-    """Like ``nearest`` over saved weights; ``asked`` holds ``(term, query_weight)``."""
+    """Like ``nearest`` over saved weights.
+
+    ``asked`` holds ``(term, query_weight)`` for terms of the vocabulary. Documents
+    that share no term are looked up only as far as the result needs filling.
+    """
     product = F.col("weight") * F.col("query_weight")
     scores = (
-        weighted.join(F.broadcast(asked), "term")
+        weighted.join(small(asked, max_features), "term")
         .groupBy(key)
         .agg(F.round(F.sum(product), DIGITS).alias("similarity"))
     )

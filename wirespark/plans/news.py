@@ -20,7 +20,7 @@ from wirespark.functions.dates import int_date
 from wirespark.functions.text import contains_ignoring_case, first_item, tag_text
 from wirespark.operators.expand import expanded, first_children
 from wirespark.operators.joins import lookup_join
-from wirespark.operators.keyed import distinct_on, small, top_n
+from wirespark.operators.keyed import distinct_on, small, top_n, top_n_merged
 from wirespark.schemas import NewsTables
 from wirespark.session import settled
 
@@ -128,7 +128,7 @@ def top_news(t: NewsTables, limit: int = 5000) -> DataFrame:
     )
     per_url = distinct_on(per_story, ["sourceurl"], [*strength, desc("avgtone"), *ties])
     order = [desc("nummentions"), desc("avgtone"), desc(F.abs("confidence")), *ties]
-    winners = top_n(per_url, limit, order)
+    winners = top_n_merged(per_url, limit, order)
     records = article_records(t.gkg.filter(F.col("sharingimage").isNotNull()))
     detailed = distinct_on(
         records.join(small(winners, limit), "sourceurl"), ["sourceurl"], record_order()

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime, timedelta
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -13,7 +14,7 @@ from wirespark.operators import tfidf
 from wirespark.operators.expand import expanded, first_children
 from wirespark.operators.fulltext import inverted_index, query_terms, rank_rows, record_text
 from wirespark.operators.joins import lookup_join
-from wirespark.operators.keyed import distinct_on, top_n
+from wirespark.operators.keyed import distinct_on, small, top_n, top_n_merged
 from wirespark.operators.terms import english_stop_words, with_term_counts
 from wirespark.plans.news import (
     DEFAULT_TITLE,
@@ -52,11 +53,15 @@ def search_docs(gkg: DataFrame, stop_words: list[str] | None = None) -> DataFram
 
 
 def search_news(t: NewsTables, query: str, limit: int = 35) -> DataFrame:
-    """Articles with any query word, by rank, one per title."""
+    """Articles with any query word, by rank, one per title.
+
+    The matching records are materialised: they select the events first and are
+    joined with the best of them afterwards, and matching reads whole texts.
+    """
     terms = query_terms(t.gkg.sparkSession, query)
     text = record_text(F.coalesce(tag_text(F.col("extras")), F.lit(DEFAULT_TITLE)))
     ranked = rank_rows(t.gkg, text, terms)
-    records = article_records(ranked, "rank")
+    records = settled(article_records(ranked, "rank"))
     joined = lookup_join(
         records, event_per_url(t, records.select("sourceurl").distinct()), "sourceurl"
     )
@@ -90,7 +95,7 @@ def search_corpus(t: NewsTables, limit: int = CORPUS_ROWS, *, link: str = "url")
         F.col(linked).alias("link"),
     )
     order = [desc("date"), asc("globaleventid")]
-    newest = settled(top_n(events, limit, order))
+    newest = settled(top_n_merged(events, limit, order))
 
     record = ["gkgrecordid", "sourcecommonname", "image", "extras"]
     records = t.gkg.select(
@@ -171,11 +176,11 @@ def search_tfidf(
     rows = settled(corpus_documents(search_corpus(t, link=link), tag))
     documents = tfidf.term_documents(rows, "row_id", F.col("combined_text"))
     found = tfidf.nearest(documents, "row_id", tfidf.vocabulary(documents, "row_id"), query.strip(), limit)
-    return _results(rows, found)
+    return _results(rows, found, limit)
 
 
-def _results(rows: DataFrame, found: DataFrame) -> DataFrame:
-    return rows.join(F.broadcast(found), "row_id").select(
+def _results(rows: DataFrame, found: DataFrame, limit: int) -> DataFrame:
+    return rows.join(small(found, limit), "row_id").select(
         F.col("globaleventid").alias("id"),
         F.when(F.col("title") != "", F.col("title"))
         .otherwise(F.lit("No title available"))
@@ -222,7 +227,8 @@ def search_saved(spark: SparkSession, folder: str, query: str, limit: int = 10)
     documents, vocab, rows = [
         spark.read.parquet(f"{folder}/{name}") for name in ("documents", "vocabulary", "rows")
     ]
-    return _results(rows, tfidf.nearest(documents, "row_id", vocab, query.strip(), limit))
+    found = tfidf.nearest(documents, "row_id", vocab, query.strip(), limit)
+    return _results(rows, found, limit)
 
 
 def _build_folder(path: str, built: datetime) -> str:
@@ -230,7 +236,10 @@ def _build_folder(path: str, built: datetime) -> str:
 
 
 def _last_build(spark: SparkSession, path: str) -> datetime | None:
-    hadoop = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/builds")
-    if not hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop):
-        return None
-    return spark.read.parquet(f"{path}/builds").agg(F.max("built_at").alias("b")).first()["b"]
+    try:
+        builds = spark.read.schema("built_at timestamp_ntz").parquet(f"{path}/builds")
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
+    return builds.agg(F.max("built_at").alias("last")).first()["last"]

@@ -69,6 +69,11 @@ def table_profile(t: NewsTables) -> DataFrame:
     )
 
 
+def total(results: DataFrame) -> DataFrame:
+    """Row count of a result, as one row ``(total)``."""
+    return results.agg(_rows().alias("total"))
+
+
 def sample(df: DataFrame, columns: list[str], n: int) -> DataFrame:
     """First ``n`` rows of a projection in the order of its columns."""
     return top_n(df.select(*columns), n, [F.asc_nulls_last(c) for c in columns])
