@@ -171,6 +171,27 @@ def test_catalog_tables(spark):
         spark.sql(f"DROP DATABASE {name} CASCADE")
 
 
+def test_bucketed_events_are_joined_in_place(spark):
+    base = land(folder())
+    name = "bucket_db"
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {name} LOCATION '{folder()}'")
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        writers.create_tables(spark, name, event_buckets=8)
+        writers.replace_rows(etl.landed_tables(spark, str(base)), name)
+        t = tables.catalog_tables(spark, name)
+        means = t.mentions.groupBy("globaleventid").agg(F.max("confidence").alias("c"))
+        joined = t.events.join(means, "globaleventid")
+        assert joined.count() == 1
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+        assert "Bucketed: true" in plan
+        assert plan.count("Exchange hashpartitioning(globaleventid") == 1
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+        spark.sql(f"DROP DATABASE {name} CASCADE")
+
+
 def test_jdbc_options_and_order():
     options = writers.jdbc_options("jdbc:x", "events", {"user": "u"}, refresh=True, connections=4)
     assert options == {

@@ -11,16 +11,6 @@ def english_stop_words() -> list[str]:
     return StopWordsRemover.loadDefaultStopWords("english")
 
 
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """Distribute a file scan over all cores if its files give it fewer tasks.
-
-    For a few small or unsplittable files ahead of row-wise text work; a scan with
-    enough splits of its own is left as it is, without a shuffle.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
-
-
 def with_term_counts(df: DataFrame, tokens: Column, name: str = "terms") -> DataFrame:
     """Add ``name``: array of (term, tf) for the token array of each row.
 

@@ -47,17 +47,26 @@ def write_clean(
     writer.save(f"{base}/{table}")
 
 
-def create_tables(spark: SparkSession, database: str | None = None) -> None:
+def create_tables(
+    spark: SparkSession, database: str | None = None, *, event_buckets: int | None = None
+) -> None:
     """Create the seven tables where they are missing.
 
-    Keys are not enforced by the catalog; ``orphans`` and ``duplicate_keys`` check them.
+    ``event_buckets`` stores events bucketed by their id, so joins on it need not
+    shuffle them; take at least ``spark.sql.shuffle.partitions``, or Spark shuffles
+    all the same. The other tables are not bucketed: their keys repeat, and a hot key
+    in a bucket is read by one task. Keys are not enforced by the catalog; ``orphans``
+    and ``duplicate_keys`` check them.
     """
     prefix = f"`{database}`." if database else ""
     for table in TABLE_NAMES:
         columns = ", ".join(
             f"`{field.name}` {field.dataType.simpleString()}" for field in table_schema(table)
         )
-        spark.sql(f"CREATE TABLE IF NOT EXISTS {prefix}`{table}` ({columns}) USING parquet")
+        layout = ""
+        if event_buckets and table == "events":
+            layout = f" CLUSTERED BY (globaleventid) INTO {event_buckets} BUCKETS"
+        spark.sql(f"CREATE TABLE IF NOT EXISTS {prefix}`{table}` ({columns}) USING parquet{layout}")
 
 
 def replace_rows(t: NewsTables, database: str | None = None) -> None:
@@ -65,6 +74,9 @@ def replace_rows(t: NewsTables, database: str | None = None) -> None:
     prefix = f"{database}." if database else ""
     for table, df in t.named().items():
         ordered = df.select(*table_schema(table).names)
+        if table == "events":
+            # Rows of a bucket meet in few tasks, so a task opens few bucket files.
+            ordered = ordered.hint("rebalance", "globaleventid")
         ordered.write.insertInto(prefix + table, overwrite=True)
 
 

@@ -12,8 +12,8 @@ from pyspark.sql import functions as F
 from wirespark.functions.dates import stamp
 from wirespark.functions.text import list_items
 from wirespark.operators.joins import exploded
-from wirespark.operators.terms import spread
 from wirespark.schemas import CHILD_TABLES, NewsTables
+from wirespark.session import spread
 
 
 # Declared, so that building a plan opens no file.
