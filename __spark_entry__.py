@@ -16,7 +16,7 @@ from pyspark.sql import functions as F  # noqa: E402
 
 import oracle  # noqa: E402
 from wirespark.functions import cards, dates, text  # noqa: E402
-from wirespark.operators import fulltext, joins, keyed, knn, tfidf  # noqa: E402
+from wirespark.operators import fulltext, joins, knn, tfidf  # noqa: E402
 from wirespark.plans import detail, etl, news, search, stats  # noqa: E402
 from wirespark.schemas import BASE_TABLES, NewsTables, table_schema  # noqa: E402
 from wirespark.session import new_folder, settled, spread  # noqa: E402

@@ -530,5 +530,6 @@ FROM (SELECT event_id, CAST(floor(value * 100) AS BIGINT) AS s FROM events)""",
         "feed_mentions": _with(MN) + "SELECT * FROM mn",
         "feed_gkg": _with(GK)
         + """SELECT gkgrecordid, date, sourcecommonname, documentidentifier, themes,
-  nullif(persons, '') AS persons, organizations, sharingimage, CAST(NULL AS VARCHAR) AS relatedimages, allnames, extras FROM gk""",
+  nullif(persons, '') AS persons, organizations,
+  sharingimage, CAST(NULL AS VARCHAR) AS relatedimages, allnames, extras FROM gk""",
     }

@@ -128,9 +128,15 @@ def test_transform(spark, fmt):
         "gkg_names": 2,
     }
     assert [r.eventcode for r in t.events.collect()] == ["010"] * 3
+    repeat = base / "export" / "20240105011500.export.CSV"
+    repeat.write_text(export("3", "20240105011500") + "\n" + export("", "20240105011500") + "\n")
     assert sorted(r.theme for r in t.gkg_themes.collect()) == ["A", "A", "B"]
     again = etl.transform(spark, str(base), str(out), fmt=fmt, by_day=fmt == "parquet")
-    assert again.events.count() == 3
+    assert sorted((r.globaleventid, r.dateadded) for r in again.events.collect()) == [
+        ("1", 20240105001500),
+        ("2", 20240105001500),
+        ("3", 20240105001500),
+    ]
 
 
 def test_search_tables(spark):
@@ -208,15 +214,11 @@ def test_jdbc_options_and_order():
 
 
 def test_manifest(spark):
-    ranges = spark.createDataFrame([("2024-01-31 23:45", "2024-02-01 00:15")], "a string, b string")
-    steps = manifest.intervals(
-        ranges.select(
-            manifest.parse_minute(F.col("a")).alias("a"), manifest.parse_minute(F.col("b")).alias("b")
-        ),
-        "a",
-        "b",
-    )
-    rows = manifest.feed_manifest(steps, "http://h/v2", "data").orderBy("interval", "feed").collect()
+    texts = spark.createDataFrame([("2024-01-31 23:45", "2024-02-01 00:15")], "a string, b string")
+    ranges = texts.select(*[manifest.parse_minute(F.col(c)).alias(c) for c in texts.columns])
+    steps = manifest.intervals(ranges, "a", "b")
+    files = manifest.feed_manifest(steps, "http://h/v2", "data")
+    rows = files.orderBy("interval", "feed").collect()
     assert len(rows) == 9
     assert tuple(rows[0]) == (
         "20240131234500",

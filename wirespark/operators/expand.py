@@ -26,9 +26,9 @@ def first_children(
     *,
     distinct: bool = False,
 ) -> DataFrame:
-    """First ``n`` (distinct) child rows of every key in ``first``, a settled frame of up to ``n`` rows.
+    """First ``n`` (distinct) child rows of every key in ``first``.
 
-    The child is scanned and filtered by the broadcast keys; only rows of those keys
+    ``first`` is settled and has at most ``n`` rows. The child is scanned and filtered by the broadcast keys; only rows of those keys
     are shuffled.
     """
     keys = first.select(key).distinct()

@@ -53,7 +53,8 @@ def rank_rows(
     that do not are dropped before they are tokenised.
     """
     lowered = F.lower(text)
-    possible = reduce(or_, [F.contains(lowered, F.lit(_fixed_part(t))) for t in terms], F.lit(False))
+    fixed = [F.contains(lowered, F.lit(_fixed_part(term))) for term in terms]
+    possible = reduce(or_, fixed, F.lit(False))
     tokens = search_tokens(text, stop_words or english_stop_words())
     hits = F.size(F.filter(tokens, lambda token: token.isin(terms)))
     return (
@@ -70,4 +71,5 @@ def _fixed_part(term: str) -> str:
 
 def record_text(title: Column) -> Column:
     """Searchable text of an article record."""
-    return joined_text(*[F.col(c) for c in ("themes", "persons", "organizations", "allnames")], title)
+    lists = [F.col(c) for c in ("themes", "persons", "organizations", "allnames")]
+    return joined_text(*lists, title)

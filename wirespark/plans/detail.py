@@ -57,7 +57,8 @@ def news_detail(
         items = getattr(t, table).select("gkgrecordid", item)
         values = lookup_join(items, members, "gkgrecordid").select("article", item).distinct()
         joined = F.expr(f"listagg({item}, ', ') WITHIN GROUP (ORDER BY {item})")
-        articles = articles.join(values.groupBy("article").agg(joined.alias(plural)), "article", "left")
+        lists = values.groupBy("article").agg(joined.alias(plural))
+        articles = articles.join(lists, "article", "left")
 
     means = mentions.groupBy("globaleventid").agg(F.avg("confidence").alias("avg_confidence"))
     described = events.select(

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from wirespark.functions.text import clean_name, list_items
 from wirespark.operators.joins import exploded
+from wirespark.operators.keyed import distinct_on
 from wirespark.plans.search import search_docs, search_table
 from wirespark.schemas import BASE_TABLES, CHILD_TABLES, NewsTables
 from wirespark.sinks.writers import write_clean
@@ -26,6 +27,12 @@ def child_names(gkg: DataFrame) -> DataFrame:
     return child_table(gkg, "gkg_names").withColumn("clean_name", clean_name(F.col("name")))
 
 
+def unique_events(events: DataFrame) -> DataFrame:
+    """Events with an id, the first added row of each; queries rely on unique ids."""
+    order = [F.asc_nulls_last(c) for c in ["dateadded", *events.columns]]
+    return distinct_on(events.filter(F.col("globaleventid").isNotNull()), ["globaleventid"], order)
+
+
 def news_tables(events: DataFrame, mentions: DataFrame, gkg: DataFrame) -> NewsTables:
     """All seven relations from the three base tables."""
     children = {table: child_table(gkg, table) for table in CHILD_TABLES}
@@ -55,12 +62,14 @@ def transform(
     """Clean landed files into one folder per table and return the tables read back.
 
     ``by_day`` lays the base tables out by day, for feeds large enough to fill files
-    per day. Base tables are written first and the list columns exploded from the written
-    gkg table, so the raw files are parsed once.
+    per day. Events delivered more than once are kept once. Base tables are written
+    first and the list columns exploded from the written gkg table, so the raw files
+    are parsed once.
     """
     landed = landed_tables(spark, extract_dir, zipped=zipped)
-    for table in BASE_TABLES:
-        write_clean(getattr(landed, table), out_dir, table, fmt, by_day=by_day)
+    base = {"events": unique_events(landed.events), "mentions": landed.mentions, "gkg": landed.gkg}
+    for table, df in base.items():
+        write_clean(df, out_dir, table, fmt, by_day=by_day)
     stored = _stored_tables(spark, out_dir, fmt)
     for table in CHILD_TABLES:
         write_clean(getattr(stored, table), out_dir, table, fmt)

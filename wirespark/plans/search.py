@@ -175,7 +175,8 @@ def search_tfidf(
         raise ValueError("search text is required")
     rows = settled(corpus_documents(search_corpus(t, link=link), tag))
     documents = tfidf.term_documents(rows, "row_id", F.col("combined_text"))
-    found = tfidf.nearest(documents, "row_id", tfidf.vocabulary(documents, "row_id"), query.strip(), limit)
+    vocab = tfidf.vocabulary(documents, "row_id")
+    found = tfidf.nearest(documents, "row_id", vocab, query.strip(), limit)
     return _results(rows, found, limit)
 
 
@@ -216,9 +217,8 @@ def refresh_if_stale(
     rows.write.mode("overwrite").parquet(f"{folder}/rows")
     documents.write.mode("overwrite").parquet(f"{folder}/documents")
     tfidf.vocabulary(documents, "row_id").write.mode("overwrite").parquet(f"{folder}/vocabulary")
-    spark.createDataFrame([(as_of,)], "built_at timestamp_ntz").write.mode("append").parquet(
-        f"{path}/builds"
-    )
+    build = spark.createDataFrame([(as_of,)], "built_at timestamp_ntz")
+    build.write.mode("append").parquet(f"{path}/builds")
     return folder
 
 

@@ -56,7 +56,9 @@ def _archive_batches(content: bytes, names: list[str]) -> Iterator[pd.DataFrame]
 def _frame(batch: list[list[str]], names: list[str], member: str) -> pd.DataFrame:
     width = len(names)
     padded = [
-        [field or None for field in row[:width]] + [None] * (width - len(row)) for row in batch if row
+        [field or None for field in row[:width]] + [None] * (width - len(row))
+        for row in batch
+        if row
     ]
     return pd.DataFrame(padded, columns=names, dtype="object").assign(_file=member)
 

@@ -54,5 +54,5 @@ def read_jdbc(
 def run_sql(
     spark: SparkSession, query: str, tables: NewsTables, args: dict[str, Any] | None = None
 ) -> DataFrame:
-    """A SQL query over the relations, named ``{events}``, ``{gkg}``, …, with ``:name`` arguments."""
+    """A SQL query over the relations ``{events}``, ``{gkg}``, … with ``:name`` arguments."""
     return spark.sql(query, args=args or {}, **tables.named())

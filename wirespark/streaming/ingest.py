@@ -13,7 +13,9 @@ WATERMARK = "1 hour"
 KEYS = {"export": ("globaleventid", "dateadded"), "gkg": ("gkgrecordid", "date")}
 
 
-def stream_feed(spark: SparkSession, path: str, feed: str, *, files_per_batch: int = 1000) -> DataFrame:
+def stream_feed(
+    spark: SparkSession, path: str, feed: str, *, files_per_batch: int = 1000
+) -> DataFrame:
     """Typed rows of the feed files that arrive below ``path``."""
     reader = spark.readStream.schema(raw_schema(feed)).options(**CSV_OPTIONS)
     reader = reader.option("pathGlobFilter", CSV_FILES).option("recursiveFileLookup", "true")
