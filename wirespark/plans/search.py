@@ -80,7 +80,8 @@ def search_corpus(t: NewsTables, limit: int = CORPUS_ROWS, *, link: str = "url")
     Rows are ordered by date, event, record, items and confidence, and the chain of
     left joins is cut to ``limit`` rows join by join; the product of all lists is
     never formed. ``link='id'`` takes the event id as record id, ``link='url'`` the
-    source URL. Materialises the newest events and their records.
+    source URL, and records of one URL stay apart by their id. Materialises the newest
+    events and their records.
     """
     if link not in ("url", "id"):
         raise ValueError(f"unknown link: {link}")
