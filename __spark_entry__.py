@@ -9,7 +9,8 @@ from datetime import datetime
 from functools import lru_cache, partial
 from types import SimpleNamespace
 
-sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
+ROOT = os.path.dirname(os.path.abspath(__file__))
+sys.path.insert(0, ROOT)
 
 from pyspark.sql import DataFrame, SparkSession  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
@@ -24,6 +25,12 @@ from wirespark.sources import feeds, manifest  # noqa: E402
 from wirespark.sources.derived import derived_tables, read_table  # noqa: E402
 from wirespark.streaming.ingest import ingest  # noqa: E402
 
+try:
+    import corpus_pipeline
+    from wirespark.llm import queries as corpus
+except ImportError:  # the corpus operators are an optional part
+    corpus = None
+
 SMOKE_DIR = "/root/testdata/sf0.001"
 
 PARAMETERS = SimpleNamespace(
@@ -211,6 +218,13 @@ def _without_featured(t: NewsTables) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    registered = news_queries()
+    if corpus is not None:
+        registered |= corpus.queries() | {"pipeline": corpus_pipeline.run}
+    return registered
+
+
+def news_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     articles = news.all_articles
     return {
         "page_titles": _table("pages", _page_titles),
@@ -281,4 +295,7 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def oracle_sql() -> dict[str, str]:
-    return oracle.oracle_sql(PARAMETERS)
+    statements = oracle.oracle_sql(PARAMETERS)
+    if corpus is not None:
+        statements |= corpus.oracle_sql()
+    return statements
