@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Iterator
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -12,9 +14,12 @@ from tokenizers import Tokenizer
 from wirespark.llm.common import numbered, spans, text_array, utf8_bytes
 
 #: Bytes of text that are encoded together; a longer text is encoded alone.
-BLOCK_BYTES = 4_000_000
+BLOCK_BYTES = 3_000_000
 #: Pieces whose ids are remembered; beyond that the memory is cleared.
-KNOWN_PIECES = 1_000_000
+KNOWN_PIECES = 800_000
+
+# Spark runs a task per core; threads of the library on top would only contend.
+os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
 _CUT = "\0"
 #: A cut before a space is safe unless white space (or the mark itself) stands before it.
@@ -53,7 +58,7 @@ class Encoder:
         return len(self.bytes_of) - 1
 
     def _forget(self) -> None:
-        self.slots: dict[str, int] = {}
+        self.slots: dict[str, int] = {"": 0}
         self.ids = np.zeros(1 << 20, np.uint32)
         self.starts = np.zeros(1 << 18, np.int64)  # of each slot, and where the next begins
 
@@ -63,19 +68,19 @@ class Encoder:
         while len(self.ids) < ids:
             self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
 
-    def _learn(self, pieces: list[str]) -> None:
+    def _learn(self, pieces: pa.LargeStringArray) -> None:
         """Encode new pieces. Those that begin with a space and end in a word go in long runs."""
-        safe = [p for p in pieces if p[:1] == " " and not p[-1].isspace()]
+        last = pc.utf8_is_space(pc.utf8_slice_codeunits(pieces, -1))
+        joins = pc.and_not(pc.starts_with(pieces, " "), last)
+        safe, other = pieces.filter(joins), pieces.filter(pc.invert(joins)).to_pylist()
+        ends = np.cumsum(pc.binary_length(safe).to_numpy())
+        safe = safe.to_pylist()
         runs = ["".join(safe[i : i + 5000]) for i in range(0, len(safe), 5000)]
-        ids = [e.ids for e in self.tokenizer.encode_batch_fast(runs, add_special_tokens=False)]
-        flat = np.concatenate([np.zeros(0, np.int64), *map(np.asarray, ids)]).astype(np.int64)
-        ends = np.cumsum(np.array([len(p.encode()) for p in safe], np.int64))
+        encode = partial(self.tokenizer.encode_batch_fast, add_special_tokens=False)
+        flat = np.concatenate([np.zeros(0, np.int64), *[np.asarray(e.ids) for e in encode(runs)]])
+        flat = flat.astype(np.int64)
         cuts = np.searchsorted(np.cumsum(self.bytes_of[flat]), ends, side="right")
-        other = [p for p in pieces if p[:1] != " " or p[-1].isspace()]
-        apart = [
-            np.asarray(e.ids, np.int64)
-            for e in self.tokenizer.encode_batch_fast(other, add_special_tokens=False)
-        ]
+        apart = [np.asarray(e.ids, np.int64) for e in encode(other)]
         flat = np.concatenate([flat, *apart])
         lengths = np.concatenate(
             [np.diff(cuts, prepend=0), np.array([len(x) for x in apart], np.int64)]
@@ -93,12 +98,15 @@ class Encoder:
         pieces = different.to_pylist()
         if len(self.slots) + len(pieces) > KNOWN_PIECES:
             self._forget()
-        new = [p for p in pieces if p not in self.slots and p]
+        known = list(map(self.slots.get, pieces))
+        new = [i for i, slot in enumerate(known) if slot is None]
         if new:
-            self._learn(new)
-        slot = np.array([self.slots.get(p, -1) for p in pieces], np.int64)[numbers]
-        start = np.where(slot < 0, 0, self.starts[slot])
-        length = np.where(slot < 0, 0, self.starts[slot + 1] - start)
+            self._learn(different.take(pa.array(new)))
+            for i in new:
+                known[i] = self.slots[pieces[i]]
+        slot = np.array(known, np.int64)[numbers]
+        start = self.starts[slot]
+        length = self.starts[slot + 1] - start
         ids = self.ids[np.repeat(start, length) + spans(length)]
         ends = np.concatenate([[0], np.cumsum(length)])[parts.offsets.to_numpy()]
         return ids, ends
