@@ -20,7 +20,7 @@ from wirespark.llm.token_ids import blocks
 WORDS = 4
 SIMILAR = (85, 100)
 #: Coordinates of a count vector.
-GROUPS = 64
+GROUPS = 256
 #: Points of a page, and of a group of points that one task compares.
 PAGE, BLOCK = 32, 256
 
@@ -317,8 +317,21 @@ def _page_pairs(frame: pd.DataFrame, starts: np.ndarray, ratio: tuple[int, int])
         ]
     )
     enough = shared * (num + den) >= num * (counts[one] + counts[two])
+    one, two = one[enough], two[enough]
+    first = _first_shared(frame, one, frame, two)
     names = frame["set_id"].to_numpy()
-    return names[one[enough]], names[two[enough]]
+    return names[one[first]], names[two[first]]
+
+
+def _first_shared(a: pd.DataFrame, rows_a: np.ndarray, b: pd.DataFrame, rows_b: np.ndarray):
+    """Whether a pair's cell is the least that both are in, so each pair comes out once."""
+    if not len(rows_a):
+        return np.zeros(0, bool)
+    cells = a["cell"].to_numpy()[rows_a]
+    left, right = a["cells"].to_numpy()[rows_a], b["cells"].to_numpy()[rows_b]
+    earlier = [x[x < cell] for x, cell in zip(left, cells)]
+    met = [len(x) and bool(np.isin(x, y).any()) for x, y in zip(earlier, right)]
+    return ~np.array(met, bool)
 
 
 def _block_pairs(rows: pd.DataFrame, ratio: tuple[int, int]):
@@ -338,7 +351,9 @@ def _block_pairs(rows: pd.DataFrame, ratio: tuple[int, int]):
     ])
     one, two = tree_pairs(points[0], sizes[0], points[1], sizes[1], ratio)
     apart = roots[0][one] != roots[1][two]
-    return names[0][one[apart]], names[1][two[apart]]
+    one, two = one[apart], two[apart]
+    new = _first_shared(first, one, second, two)
+    return names[0][one[new]], names[1][two[new]]
 
 
 def _search(batches: Iterator[pa.RecordBatch], ratio: tuple[int, int]) -> Iterator[pa.RecordBatch]:
@@ -508,7 +523,9 @@ def _tree_search(cells: DataFrame, points: DataFrame, ratio: tuple[int, int]) ->
     # The two stars have tested all pairs of up to three sets.
     open_cells = open_cells.filter("low < high AND members > 3").select("cell", "members")
     shapes = points.select("set_id", "n_shingles", "point")
-    members = cells.join(open_cells, "cell").join(shapes, "set_id")
+    inside = cells.join(open_cells, "cell")
+    mine = inside.groupBy("set_id").agg(F.array_sort(F.collect_set("cell")).alias("cells"))
+    members = inside.join(shapes.join(mine, "set_id"), "set_id")
     many = F.ceil(F.col("members") / BLOCK).cast("int")
     block = F.pmod(F.xxhash64("set_id"), many).cast("int")
     blocked = members.withColumn("block", block)
@@ -523,7 +540,7 @@ def _tree_search(cells: DataFrame, points: DataFrame, ratio: tuple[int, int]) ->
         "root",
         "n_shingles",
         "point",
+        "cells",
     )
-
     groups = dealt.repartition("cell", "i", "j").sortWithinPartitions("cell", "i", "j")
     return groups.mapInArrow(partial(_search, ratio=ratio), "a bigint, b bigint").distinct()
