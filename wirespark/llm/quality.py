@@ -10,7 +10,8 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wirespark.llm.common import numbered, split_words, text_array, utf8_bytes
+from wirespark.llm.common import numbered, split_words, utf8_bytes
+from wirespark.llm.token_ids import blocks
 
 SYMBOLS = "#*$%&|<>"
 #: Words of the window whose repeats count as repeated words.
@@ -140,28 +141,31 @@ def _repeated_lines(texts: pa.LargeStringArray) -> np.ndarray:
 
 
 def _measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    symbol = np.zeros(256, np.int64)
+    symbol = np.zeros(256, np.uint8)
     symbol[list(SYMBOLS.encode())] = 1
     for batch in batches:
-        texts = text_array(batch.column("text"))
-        bounds, words = split_words(texts)
-        chars = np.concatenate([[0], np.cumsum(pc.utf8_length(words).to_numpy())])
-        data, offsets = utf8_bytes(texts)
-        symbols = np.concatenate([[0], np.cumsum(symbol[data])])
-        repeated, inside, longest = _repetition(bounds, words)
-        columns = [
-            np.diff(bounds),
-            np.diff(chars[bounds]),
-            np.diff(symbols[offsets]),
-            _repeated_lines(texts),
-            repeated,
-            inside,
-            longest,
-        ]
-        yield pa.RecordBatch.from_arrays(
-            [batch.column("row"), *[pa.array(x.astype(np.int64)) for x in columns]],
-            names=["row", *[x.split()[0] for x in _MEASURES.split(", ")]],
-        )
+        for begin, end, texts in blocks(batch.column("text")):
+            bounds, words = split_words(texts)
+            chars = np.concatenate([[0], np.cumsum(pc.utf8_length(words).to_numpy())])
+            data, offsets = utf8_bytes(texts)
+            marks = np.concatenate([[0], np.cumsum(symbol[data], dtype=np.int64)])
+            repeated, inside, longest = _repetition(bounds, words)
+            columns = [
+                np.diff(bounds),
+                np.diff(chars[bounds]),
+                np.diff(marks[offsets]),
+                _repeated_lines(texts),
+                repeated,
+                inside,
+                longest,
+            ]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column("row").slice(begin, end - begin),
+                    *[pa.array(x.astype(np.int64)) for x in columns],
+                ],
+                names=["row", *[x.split()[0] for x in _MEASURES.split(", ")]],
+            )
 
 
 def _judged(
