@@ -252,11 +252,16 @@ class Level:
     def find_children(
         self, contexts: np.ndarray, words: np.ndarray, low: np.ndarray, end: np.ndarray
     ) -> np.ndarray:
-        """Higher levels: entry of each word within its context's children, -1 if none."""
+        """Higher levels: entry of each word within its context's children, -1 if none.
+
+        The pairs come in order, so each shard gets a run of them.
+        """
         out = np.full(len(words), -1, np.int64)
-        owner = np.full(len(words), -1, np.int64)
+        begins = []
         for context, word in self.firsts:  # a context may go on in the next shards
-            owner += (contexts > context) | ((contexts == context) & (words >= word))
+            lo, hi = np.searchsorted(contexts, [context, context + 1])
+            begins.append(lo + np.searchsorted(words[lo:hi], word))
+        owner = np.searchsorted(begins, np.arange(len(words)), side="right") - 1
         for shard, rows in self._parts(owner):
             if shard < 0:
                 continue
@@ -313,9 +318,19 @@ class Trie:
             yield contexts, entries
 
 
+def _ordered(contexts: np.ndarray, words: np.ndarray) -> np.ndarray:
+    """Order by context, then word: by one key where both fit into 64 bits."""
+    most = int(words.max(initial=0)) + 1
+    if (int(contexts.max(initial=0)) + 1) * most < 1 << 64:
+        return np.argsort(contexts.astype(np.uint64) * np.uint64(most) + words.astype(np.uint64))
+    if not contexts.any():
+        return np.argsort(words)
+    return np.lexsort((words, contexts))
+
+
 def _distinct(a: np.ndarray, b: np.ndarray):
     """Distinct pairs in order, and which of them each row is."""
-    order = np.lexsort((b, a))
+    order = _ordered(a, b)
     a, b = a[order], b[order]
     fresh = np.ones(len(a), bool)
     fresh[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1])
@@ -358,7 +373,7 @@ def _tokens(texts: pa.LargeStringArray):
 
 def _merged(contexts: np.ndarray, words: np.ndarray, counts: np.ndarray):
     """Counts of equal n-grams summed up; sorted by context, then word."""
-    order = np.lexsort((words, contexts))
+    order = _ordered(contexts, words)
     contexts, words, counts = contexts[order], words[order], counts[order]
     fresh = np.ones(len(words), bool)
     fresh[1:] = (contexts[1:] != contexts[:-1]) | (words[1:] != words[:-1])
