@@ -13,7 +13,7 @@ JDBC_BATCH = 10_000
 # Folder layout of the base tables: column and, where it is not stored, its value.
 LAYOUT = {
     "events": ("sqldate", None),
-    "mentions": ("day", "CAST(mentiontimedate DIV 1000000 AS INT)"),
+    "mentions": ("day", "try_cast(mentiontimedate DIV 1000000 AS INT)"),
     "gkg": ("day", "try_cast(substr(date, 1, 8) AS INT)"),
 }
 
