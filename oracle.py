@@ -213,14 +213,32 @@ CORPUS = """corpus AS (
   ORDER BY date DESC NULLS FIRST, globaleventid, gkgrecordid, sourcecommonname, image, extras,
     theme, person, organization, name, confidence LIMIT 10000)"""
 
-CORPUS_ROWS = """rows AS (
-  SELECT *, row_number() OVER (ORDER BY date DESC NULLS FIRST, globaleventid, gkgrecordid,
-      sourcecommonname, image, extras, theme, person, organization, name, confidence) AS row_id,
-    concat_ws(' ', title, theme, person, organization, name, coalesce(actor1name, ''),
-      coalesce(actor2name, '')) AS combined_text
-  FROM (SELECT *, CASE WHEN regexp_matches(extras, '(?s)<PAGE_TITLE>(.*?)</PAGE_TITLE>')
-      THEN regexp_extract(extras, '(?s)<PAGE_TITLE>(.*?)</PAGE_TITLE>', 1) ELSE '' END AS title
-    FROM corpus))"""
+
+
+def _items(column: str) -> str:
+    return f"""array_to_string(list_sort(list_distinct(list_filter(list_transform(
+      string_split(coalesce({column}, ''), ';'), lambda x: trim(x)), lambda x: x <> ''))), ' ')"""
+
+
+#: One search document per event and article record.
+SEARCH_ROWS = f"""records AS (
+  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY documentidentifier, gkgrecordid
+    ORDER BY sourcecommonname, sharingimage, extras, themes, persons, organizations, allnames)
+    AS delivery FROM gk) WHERE delivery = 1),
+strongest AS (
+  SELECT globaleventid, CASE WHEN max(confidence) >= -min(confidence) THEN max(confidence)
+    ELSE min(confidence) END AS confidence FROM mn GROUP BY globaleventid),
+rows AS (
+  SELECT *, concat_ws(' ', title, {_items("themes")}, {_items("persons")},
+    {_items("organizations")}, {_items("allnames")}, actor1name, actor2name) AS combined_text
+  FROM (
+    SELECT {{'e': globaleventid, 'r': gkgrecordid}} AS row_id, globaleventid, sqldate AS date,
+      actor1name, actor2name, nummentions, confidence, sourcecommonname, sharingimage AS image,
+      coalesce(split_part(themes, ';', 1), '') AS theme, themes, persons, organizations, allnames,
+      CASE WHEN regexp_matches(extras, '(?s)<PAGE_TITLE>(.*?)</PAGE_TITLE>')
+        THEN regexp_extract(extras, '(?s)<PAGE_TITLE>(.*?)</PAGE_TITLE>', 1) END AS title
+    FROM ev LEFT JOIN records ON sourceurl = documentidentifier
+    LEFT JOIN strongest USING (globaleventid)))"""
 
 THEME_KEYS = [
     "GENERAL_GOVERNMENT",
@@ -360,15 +378,15 @@ UNION ALL SELECT 'common_event_mention_ids', count(*) FROM ev JOIN mn USING (glo
   nummentions, avgtone, {geo}, dateadded, sourceurl FROM ev"""
     )
     tfidf_results = (
-        corpus["url"]
-        + ", "
-        + ",\n".join(
-            [
-                CORPUS_ROWS,
-                _tfidf_terms("ct", "rows", "row_id", "combined_text"),
-                _vocabulary("rows", "ct"),
-                _nearest("rows", "ct", "row_id", p.NEWS_QUERY, 10),
-            ]
+        _with(
+            EV,
+            MN,
+            GK,
+            GR,
+            SEARCH_ROWS,
+            _tfidf_terms("ct", "rows", "row_id", "combined_text"),
+            _vocabulary("rows", "ct"),
+            _nearest("rows", "ct", "row_id", p.NEWS_QUERY, 10),
         )
         + """
 SELECT globaleventid AS id, coalesce(nullif(title, ''), 'No title available') AS title, date,

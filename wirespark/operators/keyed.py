@@ -86,12 +86,12 @@ def _first_per_task(df: DataFrame, n: int, order: Sequence[Column]) -> DataFrame
     return ranked.filter(F.col(_RANK) < n).drop(_RANK)
 
 
-def small(df: DataFrame, rows: int) -> DataFrame:
+def small(df: DataFrame, rows: int | None) -> DataFrame:
     """Broadcast a frame whose row count the caller has limited to ``rows``.
 
-    Beyond ``BROADCAST_ROWS`` the hint is left out and the join is Spark's choice.
+    Beyond ``BROADCAST_ROWS``, or without a limit, the hint is left out and the join is Spark's choice.
     """
-    return F.broadcast(df) if rows <= BROADCAST_ROWS else df
+    return F.broadcast(df) if rows is not None and rows <= BROADCAST_ROWS else df
 
 
 def facet(df: DataFrame, column: str, n: int, name: str | None = None) -> DataFrame:

@@ -1,13 +1,13 @@
 """TF-IDF vocabulary, weights and cosine search.
 
 A document is a row. Weights are tf x (ln((1 + n) / (1 + df)) + 1), rows scaled to
-length one. The vocabulary is limited to ``max_features`` rows, which is what
-bounds the only broadcast here.
+length one. The vocabulary is limited to ``max_features`` rows, which bounds its
+broadcast; without a limit (``None``) no hint is given.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from wirespark.operators.keyed import small, top_n
@@ -48,7 +48,7 @@ def vocabulary(
     documents: DataFrame,
     key: str,
     *,
-    max_features: int = MAX_FEATURES,
+    max_features: int | None = MAX_FEATURES,
     min_df: int = MIN_DF,
     max_df: float = MAX_DF,
 ) -> DataFrame:
@@ -64,13 +64,15 @@ def vocabulary(
         .agg(F.count(F.lit(1)).alias("df"), F.sum("tf").alias("cf"))
     )
     bounded = counted.filter((F.col("df") >= min_df) & (F.col("df") <= n * F.lit(max_df)))
-    top = top_n(bounded, max_features, [F.desc("cf"), F.asc("term")])
+    top = bounded
+    if max_features is not None:
+        top = top_n(bounded, max_features, [F.desc("cf"), F.asc("term")])
     idf = F.log((n + 1) / (F.col("df") + 1)) + 1
     return top.withColumn("idf", idf)
 
 
 def weights(
-    documents: DataFrame, key: str, vocab: DataFrame, max_features: int = MAX_FEATURES
+    documents: DataFrame, key: str, vocab: DataFrame, max_features: int | None = MAX_FEATURES
 ) -> DataFrame:
     """``(key, term, weight)``, every document scaled to length one."""
     per_document = Window.partitionBy(key)
@@ -82,6 +84,28 @@ def weights(
     return raw.select(key, "term", (F.col("raw") / length).alias("weight"))
 
 
+def query_terms(
+    spark: SparkSession, query: str, stop_words: list[str] | None = None
+) -> list[str]:
+    """Distinct 1- and 2-grams of a query, by the same analysis as documents."""
+    words = kept_words(F.lit(query), stop_words or english_stop_words())
+    grams = spark.range(1).select(words.alias("w")).select(with_bigrams(F.col("w")).alias("t"))
+    return grams.select(F.array_distinct("t").alias("t")).first()["t"]
+
+
+def query_weights(
+    vocab: DataFrame, query: str, stop_words: list[str] | None = None
+) -> DataFrame:
+    """``(term, query_weight)`` for the query's terms in the vocabulary, scaled to length one."""
+    asked = vocab.sparkSession.range(1).select("id", F.lit(query).alias("q"))
+    asked = exploded_terms(term_documents(asked, "id", F.col("q"), stop_words), "id").drop("id")
+    raw = F.col("tf") * F.col("idf")
+    # As many rows as the query has terms, for the broadcast and for the window.
+    length = F.sqrt(F.sum(raw * raw).over(Window.partitionBy()))
+    found = vocab.select("term", "idf").join(F.broadcast(asked), "term")
+    return found.select("term", (raw / length).alias("query_weight"))
+
+
 def nearest(
     documents: DataFrame,
     key: str,
@@ -89,7 +113,7 @@ def nearest(
     query: str,
     k: int = 10,
     stop_words: list[str] | None = None,
-    max_features: int = MAX_FEATURES,
+    max_features: int | None = MAX_FEATURES,
 ) -> DataFrame:
     """The ``k`` documents closest to ``query`` by cosine: ``(key, similarity)``.
 
@@ -97,22 +121,21 @@ def nearest(
     """
     if not query:
         raise ValueError("search text is required")
-    spark = documents.sparkSession
-    asked = spark.range(1).select("id", F.lit(query).alias("q"))
-    asked = exploded_terms(term_documents(asked, "id", F.col("q"), stop_words), "id").drop("id")
-    whole = Window.partitionBy()
-    raw = F.col("query_tf") * F.col("idf")
-    # At most max_features rows: the query vector laid over the vocabulary.
-    model = (
-        vocab.select("term", "idf")
-        .join(asked.withColumnRenamed("tf", "query_tf"), "term", "left")
-        .withColumn("query_raw", F.coalesce(raw, F.lit(0.0)))
-        .withColumn("query_length", F.sqrt(F.sum(F.col("query_raw") ** 2).over(whole)))
-        .select("term", "idf", "query_raw", "query_length")
+    asked = F.broadcast(query_weights(vocab, query, stop_words))
+    model = vocab.select("term", "idf").join(asked, "term", "left")
+    raw = F.col("tf") * F.col("idf")
+    sums = (
+        exploded_terms(documents, key)
+        .join(small(model, max_features), "term")
+        .groupBy(key)
+        .agg(
+            F.sum(raw * F.col("query_weight")).alias("dot"),
+            F.sqrt(F.sum(raw * raw)).alias("length"),
+        )
     )
-    terms = documents.select(key, F.inline_outer("terms"))
-    found = terms.join(small(model, max_features), "term", "left")
-    return _closest(found, key, k)
+    similarity = F.round(F.col("dot") / F.col("length"), DIGITS)
+    hits = sums.filter(F.col("dot").isNotNull()).select(key, similarity.alias("similarity"))
+    return _filled(hits, documents, key, k)
 
 
 def nearest_by_weights(
@@ -121,12 +144,12 @@ def nearest_by_weights(
     key: str,
     asked: DataFrame,
     k: int = 10,
-    max_features: int = MAX_FEATURES,
+    max_features: int | None = MAX_FEATURES,
 ) -> DataFrame:
     """Like ``nearest`` over saved weights.
 
-    ``asked`` holds ``(term, query_weight)`` for terms of the vocabulary. Documents
-    that share no term are looked up only as far as the result needs filling.
+    ``asked`` holds ``(term, query_weight)`` for terms of the vocabulary, at most
+    ``max_features`` of them.
     """
     product = F.col("weight") * F.col("query_weight")
     scores = (
@@ -134,23 +157,13 @@ def nearest_by_weights(
         .groupBy(key)
         .agg(F.round(F.sum(product), DIGITS).alias("similarity"))
     )
+    return _filled(scores, documents, key, k)
+
+
+def _filled(scores: DataFrame, documents: DataFrame, key: str, k: int) -> DataFrame:
+    """The best ``k`` of ``scores``; the first other documents follow with 0 if fewer match."""
     order = [F.desc("similarity"), F.asc(key)]
     best = top_n(scores, k, order)
-    rest = documents.select(key).join(small(best, k), key, "left_anti")
+    rest = documents.select(key).join(small(best.select(key), k), key, "left_anti")
     fill = top_n(rest.withColumn("similarity", F.lit(0.0)), k, [F.asc(key)])
     return top_n(best.unionByName(fill), k, order)
-
-
-def _closest(found: DataFrame, key: str, k: int) -> DataFrame:
-    raw = F.col("tf") * F.col("idf")
-    sums = found.groupBy(key).agg(
-        F.sum(raw * F.col("query_raw")).alias("dot"),
-        F.sqrt(F.sum(raw * raw)).alias("length"),
-        F.max("query_length").alias("query_length"),
-    )
-    lengths = F.col("length") * F.col("query_length")
-    cosine = F.when(lengths > 0, F.col("dot") / lengths)
-    similarity = F.round(F.coalesce(cosine, F.lit(0.0)), DIGITS)
-    return top_n(
-        sums.select(key, similarity.alias("similarity")), k, [F.desc("similarity"), F.asc(key)]
-    )

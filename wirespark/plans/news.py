@@ -69,7 +69,7 @@ def article_records(gkg: DataFrame, *extra: str) -> DataFrame:
     )
 
 
-def _strongest_confidence(mentions: DataFrame) -> DataFrame:
+def strongest_confidence(mentions: DataFrame) -> DataFrame:
     """Per event the confidence of greatest magnitude (positive before negative)."""
     bounds = mentions.groupBy("globaleventid").agg(
         F.max("confidence").alias("high"), F.min("confidence").alias("low")
@@ -117,7 +117,7 @@ def top_news(t: NewsTables, limit: int = 5000) -> DataFrame:
     images and themes are fetched for the ``limit`` winners alone.
     """
     events = _events(t.events).filter((F.col("nummentions") > 0) & F.col("avgtone").isNotNull())
-    confidences = _strongest_confidence(t.mentions.filter(F.col("confidence").isNotNull()))
+    confidences = strongest_confidence(t.mentions.filter(F.col("confidence").isNotNull()))
     scored = lookup_join(
         events.join(confidences, "globaleventid"), _imaged_urls(t.gkg), "sourceurl", "left_semi"
     ).withColumn("actor", F.coalesce("actor1name", "actor2name"))
@@ -234,13 +234,13 @@ def filter_news(
 def all_articles(t: NewsTables) -> DataFrame:
     """Every event as an article: first record of its URL, strongest confidence."""
     records = distinct_on(article_records(t.gkg), ["sourceurl"], record_order())
-    events = _events(t.events).join(_strongest_confidence(t.mentions), "globaleventid", "left")
+    events = _events(t.events).join(strongest_confidence(t.mentions), "globaleventid", "left")
     return to_article(lookup_join(events, records, "sourceurl", "left"))
 
 
 def _articles_of(t: NewsTables, first: DataFrame, limit: int, order: list[Column]) -> DataFrame:
     """``all_articles`` for a small materialised set of events."""
-    confidences = _strongest_confidence(
+    confidences = strongest_confidence(
         t.mentions.join(small(first.select("globaleventid"), limit), "globaleventid", "left_semi")
     )
     urls = first.select("sourceurl").distinct()

@@ -5,11 +5,17 @@ from __future__ import annotations
 from datetime import datetime, timedelta
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wirespark.functions.dates import int_date
-from wirespark.functions.text import joined_text, search_tokens, tag_text
+from wirespark.functions.text import (
+    first_item,
+    joined_text,
+    list_items,
+    search_tokens,
+    tag_text,
+)
 from wirespark.operators import tfidf
 from wirespark.operators.expand import expanded, first_children
 from wirespark.operators.fulltext import inverted_index, query_terms, rank_rows, record_text
@@ -23,6 +29,7 @@ from wirespark.plans.news import (
     desc,
     event_per_url,
     record_order,
+    strongest_confidence,
     to_article,
 )
 from wirespark.schemas import NewsTables
@@ -31,6 +38,15 @@ from wirespark.session import settled
 CORPUS_ROWS = 10_000
 INDEX_AGE = timedelta(hours=1)
 
+DOCUMENT = "document"
+# Event and record column of each way to link them.
+LINKS = {
+    "url": ("sourceurl", "documentidentifier"),
+    "id": ("globaleventid", "gkgrecordid"),
+}
+RECORD_FIELDS = ["sourcecommonname", "sharingimage", "extras"]
+RECORD_LISTS = ["themes", "persons", "organizations", "allnames"]
+
 
 def search_title(df: DataFrame) -> DataFrame:
     return df.withColumn("page_title", F.coalesce(tag_text(F.col("extras")), F.lit(DEFAULT_TITLE)))
@@ -83,10 +99,9 @@ def search_corpus(t: NewsTables, limit: int = CORPUS_ROWS, *, link: str = "url")
     source URL, and records of one URL stay apart by their id. Materialises the newest
     events and their records.
     """
-    if link not in ("url", "id"):
+    if link not in LINKS:
         raise ValueError(f"unknown link: {link}")
-    linked = "sourceurl" if link == "url" else "globaleventid"
-    target = "documentidentifier" if link == "url" else "gkgrecordid"
+    linked, target = LINKS[link]
     events = t.events.select(
         "globaleventid",
         F.col("sqldate").alias("date"),
@@ -138,57 +153,103 @@ def search_corpus(t: NewsTables, limit: int = CORPUS_ROWS, *, link: str = "url")
     )
 
 
-def corpus_documents(corpus: DataFrame, tag: str = "PAGE_TITLE") -> DataFrame:
-    """Corpus rows numbered newest first, with title and combined text.
+def corpus_documents(
+    events: DataFrame, gkg: DataFrame, *, link: str = "url", tag: str = "PAGE_TITLE"
+) -> DataFrame:
+    """One search document per event and article record, events without a record included.
 
-    The numbering runs in one task; the corpus is limited to ``CORPUS_ROWS`` rows.
+    The ``document`` key holds both ids; an event without a record has a NULL record id.
+    Rows of one record id and link are deliveries of the same record, the first in column
+    order counts. The text joins the title, the distinct items of each list in sorted order
+    and both actors.
     """
-    newest = Window.partitionBy().orderBy(
-        desc("date"),
-        *[
-            asc(c)
-            for c in (
-                "globaleventid",
-                "gkgrecordid",
-                "sourcecommonname",
-                "image",
-                "extras",
-                "theme",
-                "person",
-                "organization",
-                "name",
-                "confidence",
-            )
-        ],
+    if link not in LINKS:
+        raise ValueError(f"unknown link: {link}")
+    event_key, record_key = LINKS[link]
+    known = gkg.filter(F.col(record_key).isNotNull()).select(
+        F.col(record_key).alias("link"), "gkgrecordid", *RECORD_FIELDS, *RECORD_LISTS
+    )
+    first = [asc(c) for c in (*RECORD_FIELDS, *RECORD_LISTS)]
+    lists = [
+        F.concat_ws(" ", F.array_sort(F.array_distinct(list_items(F.col(c)))))
+        for c in RECORD_LISTS
+    ]
+    records = distinct_on(known, ["link", "gkgrecordid"], first).select(
+        "link",
+        "gkgrecordid",
+        "sourcecommonname",
+        F.col("sharingimage").alias("image"),
+        first_item(F.col("themes")).alias("theme"),
+        tag_text(F.col("extras"), tag).alias("title"),
+        joined_text(*lists).alias("items"),
+    )
+    described = events.select(
+        "globaleventid",
+        F.col("sqldate").alias("date"),
+        "actor1name",
+        "actor2name",
+        "nummentions",
+        F.col(event_key).alias("link"),
     )
-    titled = corpus.withColumn("title", F.coalesce(tag_text(F.col("extras"), tag), F.lit("")))
-    fields = ["title", "theme", "person", "organization", "name", "actor1name", "actor2name"]
-    return titled.withColumn("row_id", F.row_number().over(newest).cast("bigint")).withColumn(
-        "combined_text", joined_text(*[F.col(c) for c in fields])
+    text = joined_text(*[F.col(c) for c in ("title", "items", "actor1name", "actor2name")])
+    return (
+        lookup_join(described, records, "link", "left")
+        .withColumn("combined_text", text)
+        .withColumn(DOCUMENT, F.struct("globaleventid", "gkgrecordid"))
+        .drop("link", "items", "gkgrecordid")
     )
 
 
 def search_tfidf(
-    t: NewsTables, query: str, limit: int = 10, *, link: str = "url", tag: str = "PAGE_TITLE"
+    t: NewsTables,
+    query: str,
+    limit: int = 10,
+    *,
+    link: str = "url",
+    tag: str = "PAGE_TITLE",
+    max_features: int | None = tfidf.MAX_FEATURES,
 ) -> DataFrame:
-    """Corpus rows closest to the query by TF-IDF cosine."""
+    """The ``limit`` documents of all events and records closest to the query by TF-IDF cosine.
+
+    ``max_features=None`` keeps every term within the document frequency bounds. Result
+    fields and confidences are read for the found events alone. Materialises the term
+    counts and the found keys.
+    """
     if not query or not query.strip():
         raise ValueError("search text is required")
-    rows = settled(corpus_documents(search_corpus(t, link=link), tag))
-    documents = tfidf.term_documents(rows, "row_id", F.col("combined_text"))
-    vocab = tfidf.vocabulary(documents, "row_id")
-    found = tfidf.nearest(documents, "row_id", vocab, query.strip(), limit)
-    return _results(rows, found, limit)
+    rows = corpus_documents(t.events, t.gkg, link=link, tag=tag)
+    documents = settled(tfidf.term_documents(rows, DOCUMENT, F.col("combined_text")))
+    vocab = tfidf.vocabulary(documents, DOCUMENT, max_features=max_features)
+    found = settled(
+        tfidf.nearest(
+            documents, DOCUMENT, vocab, query.strip(), limit, max_features=max_features
+        )
+    )
+    ids = found.select(f"{DOCUMENT}.globaleventid").distinct()
+    event_key, record_key = LINKS[link]
+    events = t.events.join(small(ids, limit), "globaleventid", "left_semi")
+    links = events.select(F.col(event_key).alias(record_key)).distinct()
+    gkg = t.gkg.join(small(links, limit), record_key, "left_semi")
+    mentions = t.mentions.join(small(ids, limit), "globaleventid", "left_semi")
+    return _results(
+        _with_confidence(corpus_documents(events, gkg, link=link, tag=tag), mentions),
+        found,
+        limit,
+    )
+
+
+def _with_confidence(rows: DataFrame, mentions: DataFrame) -> DataFrame:
+    return rows.join(strongest_confidence(mentions), "globaleventid", "left")
 
 
 def _results(rows: DataFrame, found: DataFrame, limit: int) -> DataFrame:
-    return rows.join(small(found, limit), "row_id").select(
+    return rows.join(small(found, limit), DOCUMENT).select(
         F.col("globaleventid").alias("id"),
         F.when(F.col("title") != "", F.col("title"))
         .otherwise(F.lit("No title available"))
         .alias("title"),
         "date",
-        "theme",
+        F.coalesce("theme", F.lit("")).alias("theme"),
         F.col("actor1name").alias("actor1_name"),
         F.col("actor2name").alias("actor2_name"),
         F.col("nummentions").alias("num_mentions"),
@@ -200,10 +261,18 @@ def _results(rows: DataFrame, found: DataFrame, limit: int) -> DataFrame:
 
 
 def refresh_if_stale(
-    t: NewsTables, path: str, as_of: datetime, max_age: timedelta = INDEX_AGE, *, link: str = "url"
+    t: NewsTables,
+    path: str,
+    as_of: datetime,
+    max_age: timedelta = INDEX_AGE,
+    *,
+    link: str = "url",
+    max_features: int | None = tfidf.MAX_FEATURES,
 ) -> str:
     """Folder of a saved search index no older than ``max_age``; rebuilds it if needed.
 
+    The index holds result rows, vocabulary and term weights of all events and records;
+    the weights are laid out by term, so a query reads the row groups of its terms only.
     Each build goes to a folder of its own and is listed in ``path/builds`` only
     once complete, so a reader never sees a partial index and a failed build is
     simply not listed.
@@ -213,22 +282,31 @@ def refresh_if_stale(
     if built is not None and as_of - built <= max_age:
         return _build_folder(path, built)
     folder = _build_folder(path, as_of)
-    rows = settled(corpus_documents(search_corpus(t, link=link)))
-    documents = settled(tfidf.term_documents(rows, "row_id", F.col("combined_text")))
-    rows.write.mode("overwrite").parquet(f"{folder}/rows")
-    documents.write.mode("overwrite").parquet(f"{folder}/documents")
-    tfidf.vocabulary(documents, "row_id").write.mode("overwrite").parquet(f"{folder}/vocabulary")
+    rows = settled(_with_confidence(corpus_documents(t.events, t.gkg, link=link), t.mentions))
+    documents = settled(tfidf.term_documents(rows, DOCUMENT, F.col("combined_text")))
+    rows.drop("combined_text").write.mode("overwrite").parquet(f"{folder}/rows")
+    vocab = tfidf.vocabulary(documents, DOCUMENT, max_features=max_features)
+    vocab.write.mode("overwrite").parquet(f"{folder}/vocabulary")
+    vocab = spark.read.parquet(f"{folder}/vocabulary")
+    weighted = tfidf.weights(documents, DOCUMENT, vocab, max_features)
+    by_term = weighted.repartitionByRange("term", DOCUMENT).sortWithinPartitions("term")
+    by_term.write.mode("overwrite").parquet(f"{folder}/weights")
     build = spark.createDataFrame([(as_of,)], "built_at timestamp_ntz")
     build.write.mode("append").parquet(f"{path}/builds")
     return folder
 
 
 def search_saved(spark: SparkSession, folder: str, query: str, limit: int = 10) -> DataFrame:
-    """``search_tfidf`` on a saved index."""
-    documents, vocab, rows = [
-        spark.read.parquet(f"{folder}/{name}") for name in ("documents", "vocabulary", "rows")
+    """``search_tfidf`` on a saved index, without reading or tokenising any text."""
+    if not query or not query.strip():
+        raise ValueError("search text is required")
+    rows, vocab, weighted = [
+        spark.read.parquet(f"{folder}/{name}") for name in ("rows", "vocabulary", "weights")
     ]
-    found = tfidf.nearest(documents, "row_id", vocab, query.strip(), limit)
+    terms = tfidf.query_terms(spark, query.strip())
+    asked = tfidf.query_weights(vocab.filter(F.col("term").isin(terms)), query.strip())
+    hits = weighted.filter(F.col("term").isin(terms))
+    found = tfidf.nearest_by_weights(hits, rows, DOCUMENT, asked, limit, len(terms))
     return _results(rows, found, limit)
 
 
