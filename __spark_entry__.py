@@ -20,10 +20,10 @@ from wirespark.functions import cards, dates, text  # noqa: E402
 from wirespark.operators import fulltext, joins, knn, tfidf  # noqa: E402
 from wirespark.plans import detail, etl, news, search, stats  # noqa: E402
 from wirespark.schemas import BASE_TABLES, NewsTables, table_schema  # noqa: E402
-from wirespark.session import new_folder, settled, spread  # noqa: E402
+from wirespark.session import new_folder, settled  # noqa: E402
 from wirespark.sources import feeds, manifest  # noqa: E402
 from wirespark.sources.derived import derived_tables, read_table  # noqa: E402
-from wirespark.streaming.ingest import ingest  # noqa: E402
+from wirespark.streaming.ingest import BATCH, ingest  # noqa: E402
 
 try:
     import corpus_pipeline
@@ -46,7 +46,6 @@ PARAMETERS = SimpleNamespace(
     NEWS_TERMS=["person", "ring", "13", "economy", "brushed"],
     WORDS="and under retitioning the parties le eaux",
     NEWS_QUERY="person 7 org 4 red widget ACTOR_12",
-    STREAM_SPAN="3650 days",
 )
 P = PARAMETERS
 
@@ -106,7 +105,7 @@ def _article_cards(t: NewsTables) -> DataFrame:
 
 
 def _texts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spread(read_table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id")
+    return read_table(spark, sf_dir, "documents").select("doc_id", "text")
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -194,9 +193,8 @@ def _stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = _relations(spark, sf_dir).events
     for drop in ("first", "again"):
         feeds.write_feed(events, f"{drops}/{drop}", "export")
-    # The drops are not in time order, so the watermark spans all of them.
-    ingest(spark, drops, out, state, watermark=P.STREAM_SPAN).awaitTermination()
-    return spark.read.schema(table_schema("events")).parquet(out)
+    ingest(spark, drops, out, state, files_per_batch=1).awaitTermination()
+    return spark.read.schema(table_schema("events")).parquet(out).drop(BATCH)
 
 
 def _saved_search(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -204,6 +204,21 @@ def test_corpus(world, link, key, limit):
     )
 
 
+@pytest.mark.parametrize("max_features", [1000, None])
+def test_search_tfidf(world, max_features):
+    t, _ = world
+    found = search.search_tfidf(t, PARAMETERS.NEWS_QUERY, max_features=max_features)
+    check(world, found, "search_tfidf")
+
+
+def test_every_event_and_record_is_a_document(world):
+    t, connection = world
+    sql = tail("search_tfidf").split("ct_words AS (")[0].rstrip().removesuffix(",")
+    expected = connection.execute(f"{sql} SELECT count(*) FROM rows").fetchone()[0]
+    rows = search.corpus_documents(t.events, t.gkg)
+    assert rows.count() == expected == rows.select("document").distinct().count()
+
+
 def test_counts(world):
     t, connection = world
     check(world, stats.stats(t, PARAMETERS.AS_OF[:10]), "stats")

@@ -1,3 +1,4 @@
+import dataclasses
 import datetime
 import tempfile
 import zipfile
@@ -10,7 +11,7 @@ from wirespark.plans import etl, search, stats
 from wirespark.schemas import RAW_WIDTH, TABLE_NAMES
 from wirespark.sinks import writers
 from wirespark.sources import archives, feeds, manifest, tables
-from wirespark.streaming.ingest import ingest
+from wirespark.streaming.ingest import ingest, without_repeats
 
 
 def folder() -> Path:
@@ -251,6 +252,67 @@ def test_stream_ingest_resumes_and_drops_repeats(spark):
     assert run() == ["1", "2", "3", "4"]
 
 
+def test_stream_ingest_keeps_late_first_deliveries(spark):
+    base = folder()
+    drops, out, checkpoint = base / "drops", base / "out", base / "checkpoint"
+    drops.mkdir()
+
+    def run(name, *rows):
+        (drops / name).write_text("".join(row + "\n" for row in rows))
+        query = ingest(spark, str(drops), str(out), str(checkpoint))
+        assert query.awaitTermination(120)
+        stored = spark.read.parquet(str(out)).select("globaleventid", "dateadded").collect()
+        return sorted((r.globaleventid, r.dateadded) for r in stored)
+
+    noon = 20240105120000
+    first = run("a.export.CSV", export("1", str(noon)), export("2", str(noon)))
+    assert first == [("1", noon), ("2", noon)]
+    # A late new id, a late repeat, a repeat with another stamp.
+    second = run(
+        "b.export.CSV",
+        export("3", "20240101090000"),
+        export("1", "20240101090000"),
+        export("2", str(noon + 1500)),
+    )
+    assert second == [*first, ("3", 20240101090000)]
+    third = run("c.export.CSV", export("4", "unreadable"), export("4", "unreadable"))
+    assert third == [*second, ("4", None)]
+
+
+def test_repeats_and_rows_without_id(spark):
+    rows = spark.createDataFrame([("1",), ("1",), (None,), (None,)], "globaleventid string")
+    fresh = without_repeats(rows, None, "export")
+    assert sorted(map(repr, fresh.collect())) == sorted(map(repr, rows.collect()))[1:]
+    stored = spark.createDataFrame([("1",)], "globaleventid string")
+    assert without_repeats(rows, stored, "export").count() == 2
+
+
+def test_saved_search_reads_its_terms_only(spark):
+    base, out = land(folder()), str(folder() / "index")
+    t = etl.landed_tables(spark, str(base))
+    build = search.refresh_if_stale(t, out, datetime.datetime(2024, 1, 5, 12))
+    plan = search.search_saved(spark, build, "two lines", 5)._jdf.queryExecution().toString()
+    assert "In(term, [" in plan
+    assert "combined_text" not in plan
+
+
+def test_search_is_not_crowded_out_by_one_event(spark):
+    """An event with 20,000 mentions leaves room for the others."""
+    base = land(folder())
+    t = etl.landed_tables(spark, str(base))
+    some = t.events.orderBy("globaleventid").first()["globaleventid"]
+    many = spark.range(20_000).select(
+        F.lit(some).alias("globaleventid"),
+        F.lit(0).cast("bigint").alias("mentiontimedate"),
+        F.lit("s").alias("mentionssource"),
+        F.col("id").cast("string").alias("mentionidentifier"),
+        F.col("id").cast("double").alias("confidence"),
+    )
+    crowded = dataclasses.replace(t, mentions=t.mentions.unionByName(many))
+    found = [r.id for r in search.search_tfidf(crowded, "two lines", 50).collect()]
+    assert set(found) == {r.globaleventid for r in t.events.select("globaleventid").collect()}
+
+
 def test_index_refresh(spark):
     base, out = land(folder()), folder()
     t = etl.landed_tables(spark, str(base))

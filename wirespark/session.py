@@ -1,4 +1,4 @@
-"""Shared folder, checkpoints and task counts; the caller owns the session and its sizing."""
+"""Shared folder and checkpoints; the caller owns the session and its sizing."""
 
 from __future__ import annotations
 
@@ -40,13 +40,3 @@ def settled(df: DataFrame) -> DataFrame:
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(shared_dir(spark))
     return df.checkpoint()
-
-
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """Distribute a file scan over all cores if its files give it fewer tasks.
-
-    For a few small or unsplittable files ahead of row-wise text work; a scan with
-    enough splits of its own is left as it is, without a shuffle.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df

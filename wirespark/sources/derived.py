@@ -13,7 +13,6 @@ from wirespark.functions.dates import stamp
 from wirespark.functions.text import list_items
 from wirespark.operators.joins import exploded
 from wirespark.schemas import CHILD_TABLES, NewsTables
-from wirespark.session import spread
 
 
 # Declared, so that building a plan opens no file.
@@ -45,7 +44,7 @@ def _text(*parts) -> Column:
 
 def derived_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = read_table(spark, sf_dir, "pages")
-    source = spread(read_table(spark, sf_dir, "events"), "event_id")
+    source = read_table(spark, sf_dir, "events")
     eid, user = F.col("event_id"), F.col("user_id")
     codes = {"click": "010", "error": "042", "purchase": "061", "signup": "111"}
     code = F.lit(None).cast("string")
@@ -78,7 +77,7 @@ def derived_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def derived_mentions(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = read_table(spark, sf_dir, "lineitem")
-    return spread(lines, "l_orderkey").select(
+    return lines.select(
         F.col("l_orderkey").cast("string").alias("globaleventid"),
         stamp(F.col("l_shipdate")).cast("bigint").alias("mentiontimedate"),
         _text("src", F.col("l_suppkey") % 20).alias("mentionssource"),

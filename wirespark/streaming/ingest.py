@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from wirespark.operators.keyed import distinct_on
 from wirespark.schemas import raw_schema
 from wirespark.sources.feeds import CSV_FILES, CSV_OPTIONS, typed
 
-WATERMARK = "1 hour"
-KEYS = {"export": ("globaleventid", "dateadded"), "gkg": ("gkgrecordid", "date")}
+BATCH = "batch"
+KEYS = {"export": "globaleventid", "gkg": "gkgrecordid"}
 
 
 def stream_feed(
@@ -22,24 +25,21 @@ def stream_feed(
     return typed(reader.option("maxFilesPerTrigger", files_per_batch).csv(path), feed)
 
 
-def without_repeats(rows: DataFrame, feed: str, watermark: str = WATERMARK) -> DataFrame:
-    """Drop records whose id arrived before, as long as the watermark remembers it.
+def without_repeats(rows: DataFrame, stored: DataFrame | None, feed: str) -> DataFrame:
+    """First delivery of every id that is not stored yet, however old its stamp is.
 
-    Time is the added stamp of the record. State holds the ids of the watermark
-    span only; a repeat that comes later passes and is left to the batch table,
-    which is unique by ``distinct_on``. Mentions have no key and are passed on.
+    Within ``rows`` the first in column order counts. Rows without an id are no repeats
+    of one another, and mentions have no key; both are passed on. Only the id column of
+    the stored rows is read.
     """
     if feed not in KEYS:
         return rows
-    key, added = KEYS[feed]
-    stamped = rows.withColumn(
-        "added_ts", F.try_to_timestamp(F.col(added).cast("string"), F.lit("yyyyMMddHHmmss"))
-    )
-    return (
-        stamped.withWatermark("added_ts", watermark)
-        .dropDuplicatesWithinWatermark([key])
-        .drop("added_ts")
-    )
+    key = KEYS[feed]
+    # Rows without an id get a key of their own.
+    alone = F.when(F.col(key).isNull(), F.monotonically_increasing_id())
+    first = [F.asc_nulls_last(c) for c in rows.columns]
+    fresh = distinct_on(rows.withColumn("_alone", alone), [key, "_alone"], first).drop("_alone")
+    return fresh if stored is None else fresh.join(stored.select(key), key, "left_anti")
 
 
 def ingest(
@@ -49,22 +49,38 @@ def ingest(
     checkpoint: str,
     feed: str = "export",
     *,
-    watermark: str = WATERMARK,
     files_per_batch: int = 1000,
 ) -> StreamingQuery:
-    """Process all drops not seen yet and append them to the Parquet table ``out``.
+    """Process all drops not seen yet and add their new records to the Parquet table ``out``.
 
-    The file sink commits each batch once, so a run that is started again on the
-    same checkpoint after a failure neither loses nor repeats rows.
+    Every batch has a folder of its own and is compared with the folders of earlier batches
+    only. A batch that is run again after a failure overwrites its folder, so nothing is
+    lost or stored twice. What was seen is the table itself, so there is no state to
+    outgrow memory and no late row is dropped. ``out`` belongs to ``checkpoint``: a new
+    checkpoint numbers its batches anew and needs a new table.
     """
-    rows = without_repeats(
-        stream_feed(spark, drops, feed, files_per_batch=files_per_batch), feed, watermark
-    )
+
+    def store(rows: DataFrame, batch: int) -> None:
+        stored = _stored(rows, out, batch)
+        new = without_repeats(rows, stored, feed).select(*rows.columns)
+        new.write.mode("overwrite").parquet(f"{out}/{BATCH}={batch}")
+
     return (
-        rows.writeStream.format("parquet")
-        .option("path", out)
+        stream_feed(spark, drops, feed, files_per_batch=files_per_batch)
+        .writeStream.foreachBatch(store)
         .option("checkpointLocation", checkpoint)
-        .outputMode("append")
         .trigger(availableNow=True)
         .start()
     )
+
+
+def _stored(rows: DataFrame, out: str, batch: int) -> DataFrame | None:
+    """Rows that batches before ``batch`` have stored; None if there is no table yet."""
+    schema = T.StructType([*rows.schema.fields, T.StructField(BATCH, T.LongType())])
+    try:
+        table = rows.sparkSession.read.schema(schema).parquet(out)
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
+    return table.filter(F.col(BATCH) < batch)
