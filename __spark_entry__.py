@@ -45,6 +45,7 @@ PARAMETERS = SimpleNamespace(
     NEWS="person rings 13 ECONOMY brushed",
     NEWS_TERMS=["person", "ring", "13", "economy", "brushed"],
     WORDS="and under retitioning the parties le eaux",
+    NEWS_ID="7",
     NEWS_QUERY="person 7 org 4 red widget ACTOR_12",
 )
 P = PARAMETERS
@@ -188,12 +189,12 @@ def _etl_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All events dropped twice and ingested as a stream that removes the repeats."""
+    """All events dropped twice; each drop is ingested by a run of its own, repeats go."""
     drops, out, state = [new_folder(spark, name) for name in ("drops", "ingested", "state")]
     events = _relations(spark, sf_dir).events
     for drop in ("first", "again"):
         feeds.write_feed(events, f"{drops}/{drop}", "export")
-    ingest(spark, drops, out, state, files_per_batch=1).awaitTermination()
+        ingest(spark, drops, out, state).awaitTermination()
     return spark.read.schema(table_schema("events")).parquet(out).drop(BATCH)
 
 
@@ -204,6 +205,13 @@ def _saved_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return search.search_saved(spark, folder, P.NEWS_QUERY)
 
 
+def _saved_news(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = new_folder(spark, "search")
+    t = _relations(spark, sf_dir)
+    etl.build_search_tables(t, folder)
+    return search.search_saved_news(t, folder, P.NEWS)
+
+
 def _search_table(t: NewsTables) -> DataFrame:
     tokens = F.aggregate("search_terms", F.lit(0).cast("bigint"), lambda n, x: n + x["tf"])
     table = search.search_table(t.gkg)
@@ -259,6 +267,7 @@ def news_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             lambda t: joins.pair_count(t.events, t.mentions, "globaleventid", "globaleventid")
         ),
         "news_detail": _news(detail.news_detail),
+        "news_detail_one": _news(partial(detail.news_detail, news_id=P.NEWS_ID)),
         "news_detail_by_record_id": _news(partial(detail.news_detail, link="id")),
         "orphan_mentions": _news(
             lambda t: joins.orphans(t.mentions, t.events, "globaleventid", "globaleventid")
@@ -269,6 +278,7 @@ def news_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "fts_index": _fts_index,
         "fts_rank": _fts_rank,
         "fts_search": _news(partial(search.search_news, query=P.NEWS)),
+        "fts_search_saved": _saved_news,
         "tfidf_vocab": _tfidf_vocab,
         "tfidf_weights": _tfidf_weights,
         "tfidf_search": _tfidf_search,

@@ -395,6 +395,19 @@ SELECT globaleventid AS id, coalesce(nullif(title, ''), 'No title available') AS
 FROM rows JOIN found USING (row_id)"""
     )
 
+    fts_search = (
+        _with(EV, MN, GK, GR, _tokens("tok", "gr", "rid", RECORD_TEXT))
+        + f"""SELECT {ARTICLE}, rank FROM (
+  SELECT * FROM (
+    SELECT *, row_number() OVER (PARTITION BY page_title ORDER BY nummentions DESC NULLS FIRST,
+      rank DESC, globaleventid, confidence DESC NULLS LAST, {RECORD_ORDER}) AS rn
+    FROM {JOINED} JOIN (
+      SELECT rid, round(count(*) * CAST(0.1 AS DOUBLE), 6) AS rank FROM tok
+      WHERE term IN ({", ".join(f"'{t}'" for t in p.NEWS_TERMS)}) GROUP BY rid)
+      USING (rid))
+  WHERE rn = 1 ORDER BY rank DESC, globaleventid, page_title LIMIT 35)"""
+    )
+
     def themed(condition: str) -> str:
         return (
             _with(EV, MN, GK, GR, GT)
@@ -477,6 +490,8 @@ ORDER BY gkgrecordid, sourcecommonname, sharingimage LIMIT 5""",
         "id_overlap": _with(EV, MN)
         + "SELECT count(*) AS count FROM ev JOIN mn USING (globaleventid)",
         "news_detail": _detail("sourceurl = documentidentifier"),
+        "news_detail_one": f"""SELECT * FROM ({_detail("sourceurl = documentidentifier")})
+WHERE id = '{p.NEWS_ID}'""",
         "news_detail_by_record_id": _detail("globaleventid = gkgrecordid"),
         "orphan_mentions": _with(EV, MN)
         + """SELECT * FROM mn WHERE globaleventid IS NOT NULL
@@ -498,16 +513,8 @@ GROUP BY rid, gkgrecordid, term""",
         "fts_rank": _with(document_index)
         + f"""SELECT doc_id, round(count(*) * CAST(0.1 AS DOUBLE), 6) AS rank FROM tok
 WHERE term IN ({search_terms}) GROUP BY doc_id""",
-        "fts_search": _with(EV, MN, GK, GR, _tokens("tok", "gr", "rid", RECORD_TEXT))
-        + f"""SELECT {ARTICLE}, rank FROM (
-  SELECT * FROM (
-    SELECT *, row_number() OVER (PARTITION BY page_title ORDER BY nummentions DESC NULLS FIRST,
-      rank DESC, globaleventid, confidence DESC NULLS LAST, {RECORD_ORDER}) AS rn
-    FROM {JOINED} JOIN (
-      SELECT rid, round(count(*) * CAST(0.1 AS DOUBLE), 6) AS rank FROM tok
-      WHERE term IN ({", ".join(f"'{t}'" for t in p.NEWS_TERMS)}) GROUP BY rid)
-      USING (rid))
-  WHERE rn = 1 ORDER BY rank DESC, globaleventid, page_title LIMIT 35)""",
+        "fts_search": fts_search,
+        "fts_search_saved": fts_search,
         "tfidf_vocab": _with(document_terms, document_vocab)
         + "SELECT term, df, cf, round(idf, 6) AS idf FROM vocab",
         "tfidf_weights": _with(document_terms, document_vocab)

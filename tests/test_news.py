@@ -121,6 +121,7 @@ class PARAMETERS:
     SEARCH_TERMS = ["a"]
     NEWS_TERMS = ["story", "x", "p1"]
     WORDS = "story"
+    NEWS_ID = "7"
     NEWS_QUERY = "t1 story org p2"
 
 

@@ -7,7 +7,7 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
-from wirespark.plans import etl, search, stats
+from wirespark.plans import etl, news, search, stats
 from wirespark.schemas import RAW_WIDTH, TABLE_NAMES
 from wirespark.sinks import writers
 from wirespark.sources import archives, feeds, manifest, tables
@@ -296,6 +296,23 @@ def test_saved_search_reads_its_terms_only(spark):
     assert "combined_text" not in plan
 
 
+def test_searches_scan_each_table_once(spark):
+    clean, out = str(folder()), str(folder())
+    t = etl.transform(spark, str(land(folder())), clean)
+    etl.build_search_tables(t, out)
+
+    def scans(df):
+        return df._jdf.queryExecution().executedPlan().toString().count("FileScan parquet")
+
+    assert scans(news.filter_news(t, "tax")) == 4
+    assert scans(search.search_news(t, "lines")) == 3
+    saved = search.search_saved_news(t, out, "two lines")
+    assert scans(saved) == 4
+    assert "In(term, [" in saved._jdf.queryExecution().toString()
+    direct = search.search_news(t, "two lines")
+    assert sorted(map(repr, saved.collect())) == sorted(map(repr, direct.collect()))
+
+
 def test_search_is_not_crowded_out_by_one_event(spark):
     """An event with 20,000 mentions leaves room for the others."""
     base = land(folder())

@@ -193,11 +193,13 @@ def featured_news(t: NewsTables, limit: int = 1) -> DataFrame:
     )
 
 
-def event_per_url(t: NewsTables, urls: DataFrame) -> DataFrame:
-    """Per URL the most mentioned event that has a mention, with its confidence."""
-    events = lookup_join(
-        _events(t.events).filter(F.col("sourceurl").isNotNull()), urls, "sourceurl", "left_semi"
-    )
+def event_per_url(t: NewsTables) -> DataFrame:
+    """Per URL the most mentioned event that has a mention, with its confidence.
+
+    It covers every URL: restricting it to those of the matching records would take
+    a second scan of the records and the same exchange of the events by URL.
+    """
+    events = _events(t.events).filter(F.col("sourceurl").isNotNull())
     return distinct_on(
         events.join(_highest_confidence(t.mentions), "globaleventid"),
         ["sourceurl"],
@@ -221,9 +223,7 @@ def filter_news(
     )
     ids = t.gkg_themes.filter(found).select("gkgrecordid").distinct()
     records = article_records(lookup_join(t.gkg, ids, "gkgrecordid", "left_semi"))
-    joined = lookup_join(
-        records, event_per_url(t, records.select("sourceurl").distinct()), "sourceurl"
-    )
+    joined = lookup_join(records, event_per_url(t), "sourceurl")
     per_title = distinct_on(
         joined, ["page_title"], [desc("nummentions"), asc("globaleventid"), *record_order()]
     )

@@ -18,7 +18,13 @@ from wirespark.functions.text import (
 )
 from wirespark.operators import tfidf
 from wirespark.operators.expand import expanded, first_children
-from wirespark.operators.fulltext import inverted_index, query_terms, rank_rows, record_text
+from wirespark.operators.fulltext import (
+    inverted_index,
+    query_terms,
+    rank_index,
+    rank_rows,
+    record_text,
+)
 from wirespark.operators.joins import lookup_join
 from wirespark.operators.keyed import distinct_on, small, top_n, top_n_merged
 from wirespark.operators.terms import english_stop_words, with_term_counts
@@ -71,16 +77,28 @@ def search_docs(gkg: DataFrame, stop_words: list[str] | None = None) -> DataFram
 def search_news(t: NewsTables, query: str, limit: int = 35) -> DataFrame:
     """Articles with any query word, by rank, one per title.
 
-    The matching records are materialised: they select the events first and are
-    joined with the best of them afterwards, and matching reads whole texts.
+    Reads the texts of all records; ``search_saved_news`` reads an index instead.
     """
     terms = query_terms(t.gkg.sparkSession, query)
     text = record_text(F.coalesce(tag_text(F.col("extras")), F.lit(DEFAULT_TITLE)))
-    ranked = rank_rows(t.gkg, text, terms)
-    records = settled(article_records(ranked, "rank"))
-    joined = lookup_join(
-        records, event_per_url(t, records.select("sourceurl").distinct()), "sourceurl"
-    )
+    return _best_articles(t, article_records(rank_rows(t.gkg, text, terms), "rank"), limit)
+
+
+def search_saved_news(t: NewsTables, folder: str, query: str, limit: int = 35) -> DataFrame:
+    """``search_news`` over the tables of ``build_search_tables``, for unique record ids.
+
+    The filter on the terms reaches the scan of the index, which is laid out by term,
+    and no text is tokenised.
+    """
+    spark = t.gkg.sparkSession
+    index = spark.read.parquet(f"{folder}/search_terms")
+    ranks = rank_index(index, "gkgrecordid", query_terms(spark, query))
+    docs = article_records(spark.read.parquet(f"{folder}/search_docs"))
+    return _best_articles(t, docs.join(ranks, "gkgrecordid"), limit)
+
+
+def _best_articles(t: NewsTables, records: DataFrame, limit: int) -> DataFrame:
+    joined = lookup_join(records, event_per_url(t), "sourceurl")
     per_title = distinct_on(
         joined,
         ["page_title"],
