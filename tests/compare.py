@@ -21,6 +21,7 @@ import __spark_entry__ as entry_module  # noqa: E402
 
 
 SPARK_TYPES = {
+    "BOOLEAN": "boolean",
     "VARCHAR": "string",
     "BIGINT": "bigint",
     "INTEGER": "int",
