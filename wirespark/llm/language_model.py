@@ -198,6 +198,8 @@ class Level:
 
     def _parts(self, owner: np.ndarray):
         """Queries by shard."""
+        if len(self.rows) < 1 << 15:  # short numbers get a radix sort
+            owner = owner.astype(np.int16)
         order = np.argsort(owner, kind="stable")
         cuts = np.flatnonzero(np.diff(owner[order], prepend=-1))
         for begin, end in zip(cuts, np.append(cuts[1:], len(order))):
@@ -206,13 +208,19 @@ class Level:
     def _owner(self, at: np.ndarray) -> np.ndarray:
         return np.searchsorted(self.bases, at, side="right") - 1
 
-    def read(self, at: np.ndarray, codes: str, book: str, kind: type = float) -> np.ndarray:
-        """Decoded values of the entries ``at``."""
+    def read(self, at: np.ndarray, codes: str, kind: type = float) -> np.ndarray:
+        """Stored values of the entries ``at``."""
         out = np.zeros(len(at), kind)
         for shard, rows in self._parts(self._owner(at)):
-            local = at[rows] - self.bases[shard]
-            values = self.shards[shard].array(codes)[local]
-            out[rows] = self.shards[shard].array(book)[values] if book else values
+            out[rows] = self.shards[shard].array(codes)[at[rows] - self.bases[shard]]
+        return out
+
+    def powers(self, at: np.ndarray, codes: str, book: str) -> np.ndarray:
+        """Ten to the decoded values of the entries ``at``; the book is raised, not each entry."""
+        out = np.zeros(len(at))
+        for shard, rows in self._parts(self._owner(at)):
+            raised = 10 ** self.shards[shard].array(book).astype(float)
+            out[rows] = raised[self.shards[shard].array(codes)[at[rows] - self.bases[shard]]]
         return out
 
     def before(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -308,7 +316,9 @@ class Trie:
             known = np.flatnonzero((contexts >= 0) & (words >= 0))
             entries = np.full(len(words), -1, np.int64)
             pairs, back = _distinct(contexts[known], words[known])
-            low, end = self.levels[n - 2].children(pairs[0])
+            fresh = np.diff(pairs[0], prepend=-1) > 0  # each context is looked up once
+            nth = np.cumsum(fresh) - 1
+            low, end = (ends[nth] for ends in self.levels[n - 2].children(pairs[0][fresh]))
             some = np.flatnonzero(low < end)
             found = np.full(len(pairs[0]), -1, np.int64)
             found[some] = self.levels[n - 1].find_children(
@@ -424,7 +434,7 @@ def _counted(
                 if level > 2:
                     use &= before >= 0
                 elif MIN_COUNT > 1:  # words that are too rare themselves
-                    many = trie.levels[0].read(np.maximum(words, 0), "counts", "", int)
+                    many = trie.levels[0].read(np.maximum(words, 0), "counts", int)
                     use &= (many >= MIN_COUNT) & (np.append(0, many[:-1]) >= MIN_COUNT)
                 ones = np.ones(int(use.sum()), np.int64)
                 held.append(_merged(contexts[use], words[use].astype(np.uint64), ones))
@@ -565,8 +575,8 @@ def _scored(batches: Iterator[pa.RecordBatch], folder: str, levels: tuple):
                 known = trie.levels[0].find_words(hashes)
                 seen = np.flatnonzero(known >= 0)
                 count, weight = np.zeros(len(hashes)), np.full(len(hashes), trie.unknown)
-                count[seen] = trie.levels[0].read(known[seen], "counts", "", int)
-                share = 10 ** trie.levels[0].read(known[seen], "codes", "book") / total
+                count[seen] = trie.levels[0].read(known[seen], "counts", int)
+                share = trie.levels[0].powers(known[seen], "codes", "book") / total
                 weight[seen] = (1 - trie.unknown) * share
                 counts, p = count[flat], weight[flat]
                 for n, (contexts, entries) in enumerate(
@@ -575,10 +585,10 @@ def _scored(batches: Iterator[pa.RecordBatch], folder: str, levels: tuple):
                     if not n:
                         continue
                     met = np.flatnonzero(contexts >= 0)
-                    back = 10 ** trie.levels[n - 1].read(contexts[met], "backs", "back_book")
+                    back = trie.levels[n - 1].powers(contexts[met], "backs", "back_book")
                     p[met] *= back
                     hit = np.flatnonzero(entries >= 0)
-                    p[hit] += 10 ** trie.levels[n].read(entries[hit], "codes", "book")
+                    p[hit] += trie.levels[n].powers(entries[hit], "codes", "book")
             base = np.log10((counts + ADDED) / (total + ADDED * (different + 1)))
             score = np.log10(np.minimum(p, 1.0))
             size = end - begin
