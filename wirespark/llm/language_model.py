@@ -12,7 +12,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wirespark.llm.common import lower_ascii, numbered, split_words, stored
+from wirespark.llm.common import lower_ascii, numbered, spans, split_words, stored
 from wirespark.llm.token_files import mapped, open_folder
 from wirespark.llm.token_ids import blocks
 
@@ -24,6 +24,10 @@ ADDED = 0.1
 
 _END = np.uint64(xxhash.xxh3_64_intdigest(b"\n"))
 _HELD = 1_500_000
+#: A row for each block of documents: their tokens as numbers into the block's word hashes.
+_BLOCKS = (
+    "doc_ids array<bigint>, held_out array<boolean>, sizes binary, hashes binary, tokens binary"
+)
 _BLOBS = "bucket int, contexts binary, words binary, counts binary"
 _SHARDS = (
     "bucket int, name string, entries bigint, total bigint, once bigint, "
@@ -364,21 +368,51 @@ def _frozen(rows: list) -> tuple:
 def _tokens(texts: pa.LargeStringArray):
     """Hashes of the different words, and each document as end mark, words, end mark.
 
-    Returns the hashes, tokens as numbers into them (the last is the end), each token's
-    place in its document, and each token's document.
+    Returns the hashes, tokens as numbers into them (the last is the end), and each document's
+    number of tokens.
     """
     bounds, words = split_words(lower_ascii(texts))
     numbers, different = numbered(words)
     hashes = [xxhash.xxh3_64_intdigest(w) for w in different.cast(pa.large_binary()).to_pylist()]
     hashes = np.append(np.array(hashes, np.uint64), _END)
     sizes = np.diff(bounds) + 2
-    starts = np.cumsum(sizes) - sizes
-    flat = np.full(int(sizes.sum()), len(hashes) - 1, np.int64)
-    owner = np.repeat(np.arange(len(sizes)), sizes)
-    place = np.arange(len(flat)) - np.repeat(starts, sizes)
-    inner = (place > 0) & (place < np.repeat(sizes, sizes) - 1)
+    flat = np.full(int(sizes.sum()), len(hashes) - 1, np.int32)
+    inner = np.ones(len(flat), bool)
+    ends = np.cumsum(sizes)
+    inner[ends - 1] = inner[ends - sizes] = False
     flat[inner] = numbers
-    return hashes, flat, place, owner
+    return hashes, flat, sizes
+
+
+def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Blocks of tokens of the texts."""
+    for batch in batches:
+        for begin, end, texts in blocks(batch.column("text")):
+            hashes, flat, sizes = _tokens(texts)
+            ends = pa.array([0, end - begin], pa.int32())
+            columns = [
+                pa.ListArray.from_arrays(ends, batch.column(c).slice(begin, end - begin))
+                for c in ("doc_id", "held_out")
+            ]
+            for values in (sizes, hashes, flat):
+                columns.append(pa.array([values.tobytes()], pa.binary()))
+            names = ["doc_ids", "held_out", "sizes", "hashes", "tokens"]
+            yield pa.RecordBatch.from_arrays(columns, names=names)
+
+
+def _block(batch: pa.RecordBatch, row: int, trained: bool = False):
+    """Hashes, tokens, each token's place in its document and its document, of a block.
+
+    With ``trained`` the documents that are held out are left out.
+    """
+    sizes, hashes, flat = [
+        np.frombuffer(batch.column(c)[row].as_buffer(), kind)
+        for c, kind in (("sizes", "<i8"), ("hashes", "<u8"), ("tokens", "<i4"))
+    ]
+    if trained:
+        kept = ~batch.column("held_out")[row].values.to_numpy(zero_copy_only=False)
+        flat, sizes = flat[np.repeat(kept, sizes)], sizes[kept]
+    return hashes, flat, spans(sizes), np.repeat(np.arange(len(sizes)), sizes)
 
 
 def _merged(contexts: np.ndarray, words: np.ndarray, counts: np.ndarray):
@@ -419,11 +453,12 @@ def _counted(
     """
     trie, held, size = (_trie(folder, levels) if levels else None), [], 0
     for batch in batches:
-        for _, _, texts in blocks(batch.column("text")):
-            hashes, flat, place, _ = _tokens(texts)
+        for row in range(batch.num_rows):
+            hashes, flat, place, _ = _block(batch, row, trained=True)
             if trie is None:
                 counts = np.bincount(flat[place > 0], minlength=len(hashes))
-                held.append((np.zeros(len(hashes), np.int64), hashes, counts))
+                met = np.flatnonzero(counts)  # others are words of documents held out
+                held.append((np.zeros(len(met), np.int64), hashes[met], counts[met]))
             else:
                 words = trie.levels[0].find_words(hashes)[flat]
                 level = len(levels) + 1
@@ -531,20 +566,30 @@ def _pointers(
         yield batch
 
 
-def train(docs: DataFrame, folder: str, order: int = ORDER) -> tuple:
-    """Build the levels of a trie in ``folder`` from the whole texts of ``docs``.
+def tokenised(rows: DataFrame) -> DataFrame:
+    """Whole texts of ``rows`` (doc_id, held_out, text) as blocks of tokens in the shared folder.
+
+    Each counting pass and the scoring read the blocks, so texts are split into words once.
+    """
+    return stored(rows.mapInArrow(_blocks, _BLOCKS), "tokens")
+
+
+def train(tokens: DataFrame, folder: str, order: int = ORDER) -> tuple:
+    """Build the levels of a trie in ``folder`` from all blocks of ``tokens``, except for the
+    documents that are held out.
 
     Level by level: tasks count the n-grams of their texts and deal them to buckets that are
     ranges of the trie's order, of equal weight, so one frequent context spreads over many; each
     bucket becomes a shard of files. Only the list of shards comes to the driver. Returns it.
     """
-    spark = docs.sparkSession
+    spark = tokens.sparkSession
     open_folder(folder)[0].create_dir(open_folder(folder)[1], recursive=True)
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     levels: tuple = ()
     for _ in range(order):
         count = partial(_counted, folder=folder, levels=levels, buckets=buckets)
-        blobs = docs.select("text").mapInArrow(count, _BLOBS).repartition("bucket")
+        training = tokens.select("held_out", "sizes", "hashes", "tokens")
+        blobs = training.mapInArrow(count, _BLOBS).repartition("bucket")
         shards = blobs.mapInArrow(partial(_shards, folder=folder, levels=levels), _SHARDS)
         rows = stored(shards, "shards").orderBy("bucket").collect()  # one row a shard
         if not rows:
@@ -565,8 +610,8 @@ def _scored(batches: Iterator[pa.RecordBatch], folder: str, levels: tuple):
     """Base score and trie score of each document."""
     trie = _trie(folder, levels) if levels else None
     for batch in batches:
-        for begin, end, texts in blocks(batch.column("text")):
-            hashes, flat, place, owner = _tokens(texts)
+        for row in range(batch.num_rows):
+            hashes, flat, place, owner = _block(batch, row)
             real = place > 0
             counts, p = np.zeros(len(flat)), np.full(len(flat), 0.5)
             total, different = 0, 0
@@ -591,14 +636,15 @@ def _scored(batches: Iterator[pa.RecordBatch], folder: str, levels: tuple):
                     p[hit] += trie.levels[n].powers(entries[hit], "codes", "book")
             base = np.log10((counts + ADDED) / (total + ADDED * (different + 1)))
             score = np.log10(np.minimum(p, 1.0))
-            size = end - begin
+            ids = batch.column("doc_ids")[row].values
+            size = len(ids)
 
             def summed(values: np.ndarray) -> np.ndarray:
                 return np.bincount(owner[real], weights=values[real], minlength=size)
 
             columns = [
-                batch.column("doc_id").slice(begin, size),
-                batch.column("held_out").slice(begin, size),
+                ids,
+                batch.column("held_out")[row].values,
                 pa.array(summed(np.ones(len(flat))).astype(np.int64)),
                 pa.array(summed((counts > 0).astype(float)).astype(np.int64)),
                 pa.array(np.full(size, total, np.int64)),
@@ -637,5 +683,6 @@ def scored(docs: DataFrame, folder: str, order: int = ORDER) -> DataFrame:
         (F.crc32(text.cast("binary")) % 10 == 0).alias("held_out"),
         "text",
     )
-    levels = train(rows.filter("NOT held_out"), folder, order)
-    return rows.mapInArrow(partial(_scored, folder=folder, levels=levels), _SCORES)
+    tokens = tokenised(rows)
+    levels = train(tokens, folder, order)
+    return tokens.mapInArrow(partial(_scored, folder=folder, levels=levels), _SCORES)
