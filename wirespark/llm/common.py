@@ -20,10 +20,10 @@ _BLANKS = np.arange(256, dtype=np.uint8)
 _BLANKS[9:14] = 32
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+def stored(df: DataFrame, name: str, options: dict[str, str] | None = None) -> DataFrame:
     """Write a frame to the shared folder and read it back: cuts lineage, survives lost executors."""
     path = new_folder(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.options(**(options or {})).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

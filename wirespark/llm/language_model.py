@@ -28,6 +28,13 @@ _HELD = 1_500_000
 _BLOCKS = (
     "doc_ids array<bigint>, held_out array<boolean>, sizes binary, hashes binary, tokens binary"
 )
+#: A block is a row of megabytes: a few rows make a row group, so tasks hold only a few.
+_FEW_ROWS = {
+    "parquet.block.size": str(8 << 20),
+    "parquet.page.size.row.check.min": "1",
+    "parquet.enable.dictionary": "false",
+    "compression": "zstd",
+}
 _BLOBS = "bucket int, contexts binary, words binary, counts binary"
 _SHARDS = (
     "bucket int, name string, entries bigint, total bigint, once bigint, "
@@ -571,7 +578,7 @@ def tokenised(rows: DataFrame) -> DataFrame:
 
     Each counting pass and the scoring read the blocks, so texts are split into words once.
     """
-    return stored(rows.mapInArrow(_blocks, _BLOCKS), "tokens")
+    return stored(rows.mapInArrow(_blocks, _BLOCKS), "tokens", _FEW_ROWS)
 
 
 def train(tokens: DataFrame, folder: str, order: int = ORDER) -> tuple:
