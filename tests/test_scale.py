@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry_module
 from conftest import SF_SMALL
-from wirespark.operators import fulltext, joins, keyed, knn, tfidf
+from wirespark.operators import expand, fulltext, joins, keyed, knn, tfidf
 from wirespark.operators.terms import exploded_terms, with_term_counts
 
 
@@ -72,9 +72,9 @@ def test_distinct_on_prunes_before_the_shuffle(spark):
     assert {r.k: r.id for r in first.collect()} == best
 
 
-def test_large_ranks_give_the_same_rows_as_small_ones(spark, monkeypatch):
+def test_large_ranks_give_the_same_rows_as_small_ones(spark, settings):
     df = skewed(spark, 3000).select("k", (F.col("id") % 300).alias("v"))
-    monkeypatch.setattr(keyed, "PRUNED_RANKS", 5)
+    settings(spark__sql__optimizer__windowGroupLimitThreshold="5")
     by_key = {}
     for r in df.collect():
         by_key.setdefault(r.k, []).append(r.v)
@@ -86,9 +86,9 @@ def test_large_ranks_give_the_same_rows_as_small_ones(spark, monkeypatch):
         assert sorted(map(tuple, rows.collect())) == expected
 
 
-def test_merged_top_n_equals_top_n(spark, monkeypatch):
+def test_merged_top_n_equals_top_n(spark, settings):
     df = spark.range(0, 5000, 1, 40).select((F.col("id") % 977).alias("a"), "id")
-    monkeypatch.setattr(keyed, "PRUNED_RANKS", 5)
+    settings(spark__sql__optimizer__windowGroupLimitThreshold="5")
     order = [F.desc("a"), F.asc("id")]
     merged = keyed.top_n_merged(df, 100, order)
     assert merged.collect() == df.orderBy(*order).limit(100).collect()
@@ -97,6 +97,40 @@ def test_merged_top_n_equals_top_n(spark, monkeypatch):
     assert plan.count("monotonically_increasing_id") >= 2
 
 
+@pytest.mark.parametrize("how", ["left", "inner"])
+@pytest.mark.parametrize("n", [1, 2, 3, 40, 1500])
+def test_expanded_equals_one_limit_at_the_end(spark, how, n):
+    first = spark.range(0, 90).select(
+        (F.col("id") % 7).alias("k"), F.floor(F.col("id") / 3).alias("a")
+    )
+    child = spark.range(0, 60).select((F.col("id") % 5).alias("k"), F.floor(F.col("id") / 9).alias("b"))
+    order, child_order = [F.asc("a"), F.asc("k")], [F.desc("b")]
+    prefix = first.orderBy(*order).limit(n)
+    kept = expand.first_children(child, prefix, "k", child_order, n)
+    rows = expand.expanded(prefix, kept, "k", order, child_order, n, how)
+    if how == "inner":  # every prefix row has to yield a row
+        rows = expand.expanded(
+            first.filter("k < 5").orderBy(*order).limit(n), kept, "k", order, child_order, n, how
+        )
+    whole = first.join(child, "k", how).orderBy(*order, *child_order).limit(n)
+    assert rows.columns == ["k", "a", "b"]
+    assert sorted(map(repr, rows.collect())) == sorted(map(repr, whole.collect()))
+
+
+def test_expanded_joins_few_rows_of_a_hot_key(spark, settings):
+    settings(spark__sql__adaptive__enabled="false")
+    n = 1500
+    prefix = spark.range(0, n).select(F.lit("hot").alias("k"), F.col("id").alias("a"))
+    child = spark.range(0, n).select(F.lit("hot").alias("k"), F.col("id").alias("b"))
+    rows = expand.expanded(prefix, child, "k", [F.asc("a")], [F.asc("b")], n)
+    needed = expand._placed(
+        prefix.withColumn("c", F.lit(n)), F.col("c"), [F.asc("a")], n
+    )
+    assert needed.count() == 1
+    assert sorted(r.b for r in rows.collect()) == list(range(n))
+    assert {r.a for r in rows.collect()} == {0}
+
+
 def test_small_broadcasts_only_limited_frames(spark):
     df = spark.range(5)
     assert "broadcast" in keyed.small(df, 10)._jdf.queryExecution().analyzed().toString().lower() or (

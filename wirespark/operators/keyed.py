@@ -5,17 +5,15 @@ Every order passed in here ends in tie-breakers, so results are repeatable.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 SALT_BUCKETS = 64
-# Above this rank Spark no longer drops rows before the shuffle
-# (spark.sql.optimizer.windowGroupLimitThreshold).
-PRUNED_RANKS = 1000
-# Tasks of the middle step of a large top-n.
-MERGE_TASKS = 16
+# Up to this rank Spark drops rows of a window before its shuffle.
+PRUNED_RANKS_CONF = "spark.sql.optimizer.windowGroupLimitThreshold"
 # Rows a caller-limited result may have to be broadcast without asking its size.
 BROADCAST_ROWS = 10_000
 
@@ -42,7 +40,7 @@ def top_n_per_key(
     one row, and distinct rows go through a salted pass, which spreads a hot key
     over ``SALT_BUCKETS`` tasks and leaves at most that many times ``n`` rows of it.
     """
-    if n <= PRUNED_RANKS:
+    if n <= _pruned_ranks(df):
         return _ranked(df, keys, order, n)
     counted = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias(_COPIES))
     salted = counted.withColumn(_SALT, F.pmod(F.xxhash64(*df.columns), F.lit(SALT_BUCKETS)))
@@ -54,6 +52,10 @@ def top_n_per_key(
     return placed.select(*df.columns, F.explode(F.array_repeat(F.lit(1), copies))).drop("col")
 
 
+def _pruned_ranks(df: DataFrame) -> int:
+    return int(df.sparkSession.conf.get(PRUNED_RANKS_CONF))
+
+
 def _ranked(df: DataFrame, keys: Sequence[str], order: Sequence[Column], n: int) -> DataFrame:
     window = Window.partitionBy(*keys).orderBy(*order)
     return (
@@ -70,12 +72,14 @@ def top_n_merged(df: DataFrame, n: int, order: Sequence[Column]) -> DataFrame:
     """``top_n`` for large ``n`` over many tasks.
 
     One task cannot take ``n`` rows from each of very many tasks. Here every task
-    sorts and keeps its first ``n``, ``MERGE_TASKS`` tasks do the same for what they
-    are sent, and the last one takes at most ``MERGE_TASKS * n`` rows.
+    sorts and keeps its first ``n``, as many tasks as the square root of the session's
+    shuffle partitions do the same for what they are sent, and the last one takes at
+    most ``n`` rows from each of those.
     """
-    if n <= PRUNED_RANKS:
+    if n <= _pruned_ranks(df):
         return top_n(df, n, order)
-    merged = _first_per_task(df, n, order).repartition(MERGE_TASKS)
+    tasks = math.isqrt(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))) + 1
+    merged = _first_per_task(df, n, order).repartition(tasks)
     return top_n(_first_per_task(merged, n, order), n, order)
 
 

@@ -156,21 +156,21 @@ def featured_news(t: NewsTables, limit: int = 1) -> DataFrame:
     by_confidence = [F.desc_nulls_last("confidence")]
     mentions = t.mentions.select("globaleventid", "confidence")
     records = article_records(t.gkg.filter(F.col("sharingimage").isNotNull()))
-    order += by_confidence
     rows = expanded(
         first,
         first_children(mentions, first, "globaleventid", by_confidence, limit),
         "globaleventid",
         order,
+        by_confidence,
         limit,
         "inner",
     )
-    order += record_order()
     rows = expanded(
         rows,
         first_children(records, first, "sourceurl", record_order(), limit),
         "sourceurl",
-        order,
+        [*order, *by_confidence],
+        record_order(),
         limit,
         "inner",
     )

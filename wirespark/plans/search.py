@@ -140,9 +140,9 @@ def search_corpus(t: NewsTables, limit: int = CORPUS_ROWS, *, link: str = "url")
         "extras",
     )
     record_columns = [asc(c) for c in record]
-    order += record_columns
     kept = first_children(records, newest, "link", record_columns, limit, distinct=True)
-    described = settled(expanded(newest, kept, "link", order, limit))
+    described = settled(expanded(newest, kept, "link", order, record_columns, limit))
+    order += record_columns
 
     rows = described
     for child, key, column in (
@@ -152,10 +152,10 @@ def search_corpus(t: NewsTables, limit: int = CORPUS_ROWS, *, link: str = "url")
         (t.gkg_names, "gkgrecordid", "name"),
         (t.mentions, "globaleventid", "confidence"),
     ):
-        order = [*order, asc(column)]
         values = child.select(key, column)
         kept = first_children(values, described, key, [asc(column)], limit, distinct=True)
-        rows = expanded(rows, kept, key, order, limit)
+        rows = expanded(rows, kept, key, order, [asc(column)], limit)
+        order = [*order, asc(column)]
     return rows.select(
         "globaleventid",
         "date",
