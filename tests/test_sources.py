@@ -208,6 +208,7 @@ def test_jdbc_options_and_order():
         "numPartitions": "4",
         "user": "u",
         "truncate": "true",
+        "cascadeTruncate": "true",
     }
     appended = writers.jdbc_options("jdbc:x", "events", {}, refresh=False, connections=4)
     assert "truncate" not in appended

@@ -89,9 +89,12 @@ def write_jdbc(
     refresh: bool = False,
     connections: int = 8,
 ) -> None:
-    """Append to a database table, or empty it first and keep its definition."""
+    """Append to a database table, or empty it first and keep its definition.
+
+    Rows are shuffled to the connections, so what comes before keeps its own tasks.
+    """
     options = jdbc_options(url, table, properties, refresh=refresh, connections=connections)
-    df.write.format("jdbc").mode("overwrite" if refresh else "append").options(**options).save()
+    df.repartition(connections).write.format("jdbc").mode("overwrite" if refresh else "append").options(**options).save()
 
 
 def jdbc_options(
@@ -105,7 +108,8 @@ def jdbc_options(
         **properties,
     }
     if refresh:
-        options["truncate"] = "true"
+        # Parents are emptied before their children are.
+        options |= {"truncate": "true", "cascadeTruncate": "true"}
     return options
 
 
