@@ -16,8 +16,9 @@ from wirespark.llm.common import lower_ascii, numbered, spans, split_words, stor
 from wirespark.llm.token_files import mapped, open_folder
 from wirespark.llm.token_ids import blocks
 
-#: Words of the longest n-gram, least count of an n-gram of two or more words that is kept,
-#: what is taken off each count for words not seen after a context.
+#: Words of the longest n-gram, least count of an n-gram of two or more words that is kept
+#: unless the caller says otherwise (the query keeps all), what is taken off each count for
+#: words not seen after a context.
 ORDER, MIN_COUNT, DISCOUNT = 3, 2, 0.75
 #: What the base score adds to each count.
 ADDED = 0.1
@@ -452,7 +453,7 @@ def _dealt(held: list, trie: Trie | None, buckets: int) -> pa.RecordBatch:
 
 
 def _counted(
-    batches: Iterator[pa.RecordBatch], folder: str, levels: tuple, buckets: int
+    batches: Iterator[pa.RecordBatch], folder: str, levels: tuple, buckets: int, least: int
 ) -> Iterator[pa.RecordBatch]:
     """n-grams of the next level with their counts, summed per task.
 
@@ -475,9 +476,9 @@ def _counted(
                 use = (contexts >= 0) & (words >= 0)
                 if level > 2:
                     use &= before >= 0
-                elif MIN_COUNT > 1:  # words that are too rare themselves
+                elif least > 1:  # words that are too rare themselves
                     many = trie.levels[0].read(np.maximum(words, 0), "counts", int)
-                    use &= (many >= MIN_COUNT) & (np.append(0, many[:-1]) >= MIN_COUNT)
+                    use &= (many >= least) & (np.append(0, many[:-1]) >= least)
                 ones = np.ones(int(use.sum()), np.int64)
                 held.append(_merged(contexts[use], words[use].astype(np.uint64), ones))
             size += len(held[-1][1])
@@ -492,7 +493,7 @@ def _counted(
 
 
 def _shards(
-    batches: Iterator[pa.RecordBatch], folder: str, levels: tuple
+    batches: Iterator[pa.RecordBatch], folder: str, levels: tuple, least: int
 ) -> Iterator[pa.RecordBatch]:
     """Sum up the buckets of a partition and write each as a shard; names differ by attempt."""
     trie, parts = (_trie(folder, levels) if levels else None), {}
@@ -509,8 +510,8 @@ def _shards(
         ]
         contexts, words, counts = _merged(*arrays)
         once = int((counts == 1).sum())
-        if trie is not None:
-            kept = counts >= MIN_COUNT
+        if trie is not None and least > 1:
+            kept = counts >= least
             contexts, words, counts = contexts[kept], words[kept], counts[kept]
         if not len(words):
             continue
@@ -581,9 +582,11 @@ def tokenised(rows: DataFrame) -> DataFrame:
     return stored(rows.mapInArrow(_blocks, _BLOCKS), "tokens", _FEW_ROWS)
 
 
-def train(tokens: DataFrame, folder: str, order: int = ORDER) -> tuple:
+def train(
+    tokens: DataFrame, folder: str, order: int = ORDER, min_count: int = MIN_COUNT
+) -> tuple:
     """Build the levels of a trie in ``folder`` from all blocks of ``tokens``, except for the
-    documents that are held out.
+    documents that are held out. n-grams of two or more words need ``min_count`` occurrences.
 
     Level by level: tasks count the n-grams of their texts and deal them to buckets that are
     ranges of the trie's order, of equal weight, so one frequent context spreads over many; each
@@ -594,10 +597,11 @@ def train(tokens: DataFrame, folder: str, order: int = ORDER) -> tuple:
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     levels: tuple = ()
     for _ in range(order):
-        count = partial(_counted, folder=folder, levels=levels, buckets=buckets)
+        count = partial(_counted, folder=folder, levels=levels, buckets=buckets, least=min_count)
         training = tokens.select("held_out", "sizes", "hashes", "tokens")
         blobs = training.mapInArrow(count, _BLOBS).repartition("bucket")
-        shards = blobs.mapInArrow(partial(_shards, folder=folder, levels=levels), _SHARDS)
+        shard = partial(_shards, folder=folder, levels=levels, least=min_count)
+        shards = blobs.mapInArrow(shard, _SHARDS)
         rows = stored(shards, "shards").orderBy("bucket").collect()  # one row a shard
         if not rows:
             break
@@ -663,7 +667,9 @@ def _scored(batches: Iterator[pa.RecordBatch], folder: str, levels: tuple):
             )
 
 
-def scored(docs: DataFrame, folder: str, order: int = ORDER) -> DataFrame:
+def scored(
+    docs: DataFrame, folder: str, order: int = ORDER, min_count: int = MIN_COUNT
+) -> DataFrame:
     """Score every document with an n-gram model trained on those that aren't held out.
 
     ``docs`` needs doc_id and text (null: empty); other columns are ignored, repeated rows are
@@ -673,7 +679,7 @@ def scored(docs: DataFrame, folder: str, order: int = ORDER) -> DataFrame:
 
     base_score: sum of log10((c + 0.1) / (N + 0.1 (V + 1))). score: log10 probability by an
     interpolated model. p(w | context) is (count - DISCOUNT) / count of the context, if the
-    n-gram was seen at least MIN_COUNT times, plus the weight left over times p(w | shorter
+    n-gram was seen at least ``min_count`` times (1 keeps every n-gram), plus the weight left over times p(w | shorter
     context). At the bottom, unknown words together get the share of words seen once
     (Good-Turing) and known ones the rest by their counts. Words are told apart by 64-bit hashes.
 
@@ -691,5 +697,5 @@ def scored(docs: DataFrame, folder: str, order: int = ORDER) -> DataFrame:
         "text",
     )
     tokens = tokenised(rows)
-    levels = train(tokens, folder, order)
+    levels = train(tokens, folder, order, min_count)
     return tokens.mapInArrow(partial(_scored, folder=folder, levels=levels), _SCORES)

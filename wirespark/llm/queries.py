@@ -89,7 +89,7 @@ def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
-    return language_model.scored(docs, new_folder(spark, "model"))
+    return language_model.scored(docs, new_folder(spark, "model"), min_count=1)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
