@@ -8,6 +8,7 @@ import zlib
 
 import pytest
 
+import corpus_pipeline
 from wirespark.llm import queries
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -48,3 +49,20 @@ def test_language_model_keeps_ngrams_seen_once(spark, tmp_path):
                 p = p * (1 - s3[pair] / c2[pair]) + max(0, c3[*pair, s[i]] - 0.75) / c2[pair]
             score += math.log10(min(p, 1))
         assert r["score"] == pytest.approx(score, abs=0.02 * len(s))
+
+
+def changed(text, places):
+    words = text.split(" ")
+    for place in places:
+        words[place] = f"other{place}"
+    return " ".join(words)
+
+
+def test_pipeline_links_near_copies_by_five_words(spark):
+    base = " ".join(f"w{i}" for i in range(100))
+    apart = " ".join(f"v{i}" for i in range(100))
+    texts = [base, changed(base, (30, 60)), apart, changed(apart, (20, 50, 80))]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    kept = corpus_pipeline.unique(spark, docs, "").select("doc_id").collect()
+    # 86 of 106 shingles of five words are shared (0.811); of the last two texts 81 of 111.
+    assert sorted(r["doc_id"] for r in kept) == [0, 2, 3]
