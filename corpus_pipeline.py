@@ -32,7 +32,7 @@ def unique(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mixture takes them."""
-    return mixing.take_copies(docs, mixing.mixed_sources(docs))
+    return mixing.take_copies(docs)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -9,7 +9,7 @@ import zlib
 import pytest
 
 import corpus_pipeline
-from wirespark.llm import queries
+from wirespark.llm import mixing, queries
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -66,3 +66,20 @@ def test_pipeline_links_near_copies_by_five_words(spark):
     kept = corpus_pipeline.unique(spark, docs, "").select("doc_id").collect()
     # 86 of 106 shingles of five words are shared (0.811); of the last two texts 81 of 111.
     assert sorted(r["doc_id"] for r in kept) == [0, 2, 3]
+
+
+def test_mixing_stage_keeps_null_and_repeated_ids(spark):
+    rows = [(i, f"{i} " * (5 + i % 7), f"s{i % 3}" if i % 5 else None) for i in range(90)]
+    rows += [(None, f"null {i} " * 6, f"s{i % 3}" if i % 2 else None) for i in range(12)]
+    rows += [(7, rows[7][1], rows[7][2])] * 2 + [(7, "another text of the same number", "s0")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+    taken = collections.Counter(tuple(r) for r in corpus_pipeline.mixture(spark, docs, "").collect())
+    words = collections.Counter()
+    for (doc, text, _), times in taken.items():
+        words[doc] += times * len(WORD.findall(text))
+    mixed = mixing.mixed_sources(docs).collect()
+    expected = collections.Counter()
+    for r in mixed:
+        expected[r["doc_id"]] += r["taken"]
+    assert words == +expected and words[None] and words[7]
+    assert sum(taken.values()) == sum(r["copies"] for r in mixed)

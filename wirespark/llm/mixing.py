@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from wirespark.llm.common import stored, word_count
@@ -78,42 +78,33 @@ def _boundary(rows: DataFrame, wanted: DataFrame, level: int) -> DataFrame:
     )
 
 
-def mixed_sources(
-    docs: DataFrame,
-    weights: Sequence[float] = (3, 1, 2),
-    share: float = 1.5,
-    most: int = 2,
-    salt: str = "mix",
-) -> DataFrame:
-    """How many words a mixture takes of each document, by source weights.
+def _source_order() -> Column:
+    """A document's source; never null itself, so joins on it match null sources too."""
+    return F.struct(F.col("source").isNull().alias("null"), "source")
 
-    ``docs`` needs doc_id, text and source; other columns are ignored. The size of a document
-    is its number of words (null text: 0). Sources are ordered by code point, null last, and
-    get targets by ``source_targets``. A source gives each of its documents as many whole
-    times as fit its target; the rest of the target comes from the documents whose hash lies
-    under a threshold, so a larger budget takes a superset and a rerun takes the same.
 
-    The threshold comes from histograms, without sorting documents: words are summed by
-    source and leading hash digits, the bucket in which the budget runs out is found, and only
-    the documents of that bucket are summed again by further digits. The last bucket is one
-    hash value; it is taken if that comes nearer to the target. Documents with the same doc_id
-    share a hash and are taken together. An empty table gives an empty result.
+def _hash(salt: str) -> Column:
+    name = F.coalesce(F.col("doc_id").cast("bigint").cast("string"), F.lit(""))
+    return F.substring(F.md5(F.concat(F.lit(salt), name)), 1, HASH_DIGITS)
 
-    Returns doc_id, size, source_size, target, taken (words, repeats counted), copies.
-    """
-    rows = stored(
+
+def _sized(docs: DataFrame, salt: str) -> DataFrame:
+    """doc_id, source_order, size (words) and hash of each document, stored."""
+    return stored(
         docs.select(
             F.col("doc_id").cast("bigint").alias("doc_id"),
-            F.struct(F.col("source").isNull().alias("null"), "source").alias("source_order"),
+            _source_order().alias("source_order"),
             word_count(F.col("text")).alias("size"),
-            F.substring(
-                F.md5(F.concat(F.lit(salt), F.coalesce(F.col("doc_id").cast("string"), F.lit("")))),
-                1,
-                HASH_DIGITS,
-            ).alias("hash"),
+            _hash(salt).alias("hash"),
         ),
         "mix-sizes",
     )
+
+
+def _thresholds(
+    rows: DataFrame, weights: Sequence[float], share: float, most: float
+) -> DataFrame:
+    """For each source of ``rows`` (``_sized``) its target, whole times and hash threshold."""
     sizes = rows.groupBy("source_order").agg(F.sum("size").alias("source_size"))
     targets = source_targets(sizes, weights, share, most)
     whole = F.when(
@@ -138,12 +129,44 @@ def mixed_sources(
         F.col("prefix").alias("threshold"),
         (F.col("left") * 2 >= F.col("bucket_size")).alias("with_threshold"),
     )
-    chosen = stored(plan.join(ends, "source_order", "left"), "mix-thresholds")
+    return stored(plan.join(ends, "source_order", "left"), "mix-thresholds")
+
+
+def _copies(drawn: Column, threshold: Callable[[str], Column]) -> Column:
+    """How often a document of hash ``drawn`` is taken; ``threshold`` gives its source's columns."""
     # A source without a threshold gives all documents no further time (nothing is left).
-    extra = (F.col("hash") < F.col("threshold")) | (
-        F.col("with_threshold") & (F.col("hash") == F.col("threshold"))
+    extra = (drawn < threshold("threshold")) | (
+        threshold("with_threshold") & (drawn == threshold("threshold"))
     )
-    copies = F.col("whole") + F.coalesce(extra, F.lit(False)).cast("int")
+    return threshold("whole") + F.coalesce(extra, F.lit(False)).cast("int")
+
+
+def mixed_sources(
+    docs: DataFrame,
+    weights: Sequence[float] = (3, 1, 2),
+    share: float = 1.5,
+    most: int = 2,
+    salt: str = "mix",
+) -> DataFrame:
+    """How many words a mixture takes of each document, by source weights.
+
+    ``docs`` needs doc_id, text and source; other columns are ignored. The size of a document
+    is its number of words (null text: 0). Sources are ordered by code point, null last, and
+    get targets by ``source_targets``. A source gives each of its documents as many whole
+    times as fit its target; the rest of the target comes from the documents whose hash lies
+    under a threshold, so a larger budget takes a superset and a rerun takes the same.
+
+    The threshold comes from histograms, without sorting documents: words are summed by
+    source and leading hash digits, the bucket in which the budget runs out is found, and only
+    the documents of that bucket are summed again by further digits. The last bucket is one
+    hash value; it is taken if that comes nearer to the target. Documents with the same doc_id
+    share a hash and are taken together. An empty table gives an empty result.
+
+    Returns doc_id, size, source_size, target, taken (words, repeats counted), copies.
+    """
+    rows = _sized(docs, salt)
+    chosen = _thresholds(rows, weights, share, most)
+    copies = _copies(F.col("hash"), F.col)
     return rows.join(chosen, "source_order").select(
         "doc_id",
         "size",
@@ -154,12 +177,22 @@ def mixed_sources(
     )
 
 
-def take_copies(docs: DataFrame, mixed: DataFrame) -> DataFrame:
-    """The documents that a mixture takes, repeated as often as it takes them.
+def take_copies(
+    docs: DataFrame,
+    weights: Sequence[float] = (3, 1, 2),
+    share: float = 1.5,
+    most: int = 2,
+    salt: str = "mix",
+) -> DataFrame:
+    """The documents that a mixture takes, repeated as often as ``mixed_sources`` takes them.
 
-    ``docs`` has unique doc_id; rows keep all columns.
+    Each row is judged by its own source and hash, without a join by doc_id: rows without a
+    doc_id and repeated rows are taken as any other. Rows keep all columns.
     """
-    times = mixed.filter("copies > 0").select(F.col("doc_id").alias("_id"), "copies")
-    joined = docs.join(times, F.col("doc_id") == F.col("_id"))
-    repeated = joined.withColumn("_time", F.explode(F.sequence(F.lit(1), F.col("copies"))))
+    chosen = _thresholds(_sized(docs, salt), weights, share, most)
+    plan = chosen.select(F.struct(*chosen.columns).alias("_plan"))
+    joined = docs.join(plan, _source_order() == F.col("_plan.source_order"))
+    copies = _copies(_hash(salt), lambda name: F.col(f"_plan.{name}"))
+    repeated = joined.withColumn("_copies", copies).filter("_copies > 0")
+    repeated = repeated.withColumn("_time", F.explode(F.sequence(F.lit(1), F.col("_copies"))))
     return repeated.select(*docs.columns)
