@@ -9,7 +9,7 @@ import zlib
 import pytest
 
 import corpus_pipeline
-from wirespark.llm import mixing, queries
+from wirespark.llm import line_templates, mixing, queries
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -83,3 +83,33 @@ def test_mixing_stage_keeps_null_and_repeated_ids(spark):
         expected[r["doc_id"]] += r["taken"]
     assert words == +expected and words[None] and words[7]
     assert sum(taken.values()) == sum(r["copies"] for r in mixed)
+
+
+def documents(spark, texts, tmp_path):
+    rows = [(i, t, "en", "s", len(t)) for i, t in enumerate(texts)]
+    schema = "doc_id bigint, text string, lang string, source string, n_chars bigint"
+    docs = spark.createDataFrame(rows, schema)
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    return docs
+
+
+def cleaned(spark, docs, tmp_path):
+    """Texts after the pipeline's stage; the query must have left as many characters."""
+    texts = {r["doc_id"]: r["text"] for r in corpus_pipeline.lines(spark, docs, "").collect()}
+    left = {r["doc_id"]: r["chars_left"] for r in queries.op5_line_templates(spark, str(tmp_path)).collect()}
+    assert {i: n for i, n in left.items() if n} == {i: len(t) for i, t in texts.items() if t}
+    return texts
+
+
+def test_long_lines_recur_from_two_documents(spark, tmp_path):
+    passage = " ".join(f"word{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(52))
+    dated = "on day 12 of month 4 the office was closed for the whole morning"
+    texts = [
+        f"first text of all\n{passage}\n{dated}\na short shared line\nrose by 3 degrees over the whole year in Ulm",
+        f"second one here\n{passage}\n{dated}\na short shared line\nrose by 5 degrees over the whole year in Ulm",
+        "third has nothing in common",
+    ]
+    out = cleaned(spark, documents(spark, texts, tmp_path), tmp_path)
+    assert out[0] == texts[0] and out[2] == texts[2]
+    # Short lines and lines that differ in a number need three documents.
+    assert out[1] == texts[1].replace(f"{passage}\n{dated}\n", "")

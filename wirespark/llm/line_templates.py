@@ -10,6 +10,8 @@ from wirespark.llm.common import stored
 #: Leading tokens of the tree, segments of the rest of which one may vary, fewest tokens of a
 #: line that is judged and of one that is generalised, and documents that make a template recur.
 DEPTH, SEGMENTS, MIN_TOKENS, MIN_GENERAL, MIN_DOCS = 3, 4, 3, 8, 3
+#: Documents that make the very words of a line of ``MIN_GENERAL`` or more tokens recur.
+MIN_SAME_DOCS = 2
 FIELD = "<*>"
 
 _BLANKS = "[\\x20\\x09-\\x0D]+"
@@ -19,30 +21,44 @@ _DIGITS = "[^\\x20\\x09-\\x0D0-9]*+[0-9][^\\x20\\x09-\\x0D]*+"
 def tokens(line: Column) -> Column:
     """The tokens of a line; a token with a digit is a variable field."""
     masked = F.when(line.rlike("[0-9]"), F.regexp_replace(line, _DIGITS, FIELD)).otherwise(line)
-    return F.filter(F.split(masked, _BLANKS), lambda token: token != "")
+    return _split(masked)
 
 
-def _templates(found: Column) -> Column:
+def _split(line: Column) -> Column:
+    return F.filter(F.split(line, _BLANKS), lambda token: token != "")
+
+
+def _templates(found: Column, line: Column) -> Column:
     """Hashes of the templates that a line's tokens fit.
 
     The tree's path is the token count and the ``DEPTH`` leading tokens. Under it a line fits
     its own token sequence, and, if long enough, the sequences with one of ``SEGMENTS``
-    equal segments of the other tokens generalised.
+    equal segments of the other tokens generalised, and its words as they stand. The last bit
+    of a hash says whether it stands for the words of a long line.
     """
     size = F.size(found)
     rest = size - DEPTH
 
+    def marked(template: Column, same: Column) -> Column:
+        return template.bitwiseAND(F.lit(-2)).bitwiseOR(same.cast("bigint"))
+
     def general(segment: int) -> Column:
         begin = DEPTH + F.floor(rest * segment / SEGMENTS).cast("int")
         end = DEPTH + F.floor(rest * (segment + 1) / SEGMENTS).cast("int")
-        return F.xxhash64(
+        template = F.xxhash64(
             F.lit(segment), size, F.slice(found, 1, begin), F.slice(found, end + 1, size - end)
         )
-
-    own = F.xxhash64(F.lit(-1), size, found)
-    return F.when(
-        size >= MIN_GENERAL, F.array(own, *[general(i) for i in range(SEGMENTS)])
-    ).otherwise(F.array(own))
+        return marked(template, F.lit(False))
+
+    masked = F.array_contains(found, FIELD)
+    own = marked(F.xxhash64(F.lit(-1), size, found), ~masked & (size >= MIN_GENERAL))
+    long = F.array(own, *[general(i) for i in range(SEGMENTS)])
+    words = marked(F.xxhash64(F.lit(-2), size, _split(line)), F.lit(True))
+    return (
+        F.when(size < MIN_GENERAL, F.array(own))
+        .when(masked, F.concat(long, F.array(words)))
+        .otherwise(long)
+    )
 
 
 def recurring_lines(docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
@@ -58,7 +74,10 @@ def recurring_lines(docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
     parsed = rows.withColumn("found", tokens(F.col("line"))).filter(F.size("found") >= MIN_TOKENS)
     fits = stored(
         parsed.select(
-            "row", "doc_id", "line_no", F.explode(_templates(F.col("found"))).alias("template")
+            "row",
+            "doc_id",
+            "line_no",
+            F.explode(_templates(F.col("found"), F.col("line"))).alias("template"),
         ),
         "templates",
     )
@@ -67,7 +86,9 @@ def recurring_lines(docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
     counted = met.groupBy("template").agg(
         F.count("*").alias("docs"), F.min(F.struct("doc_id", "row")).alias("first")
     )
-    recurring = counted.filter(F.col("docs") >= min_docs).select(
+    same = F.col("template").bitwiseAND(F.lit(1)) == 1
+    enough = F.when(same, F.least(F.lit(MIN_SAME_DOCS), F.lit(min_docs))).otherwise(min_docs)
+    recurring = counted.filter(F.col("docs") >= enough).select(
         "template", F.col("first.row").alias("first")
     )
     dropped = fits.join(recurring, "template").filter("row != first")
@@ -81,9 +102,11 @@ def without_recurring_lines(docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFr
     from 0, rising) is added or replaced. Lines are parsed by a tree of fixed depth: by
     token count, then by the leading tokens; variable fields (tokens with a digit, and one
     segment of a longer line) are generalised to templates. A template that at least
-    ``min_docs`` documents have recurs: its lines go from all of them but the one with the
-    smallest doc_id (null first), so what is written stays in the corpus once. Lines of under
-    ``MIN_TOKENS`` tokens stay. Rows equal in doc_id and text count as one document and are
+    ``min_docs`` documents have recurs, and so do the very words of a line of ``MIN_GENERAL``
+    or more tokens that ``MIN_SAME_DOCS`` documents have: the lines go from all of them but the
+    one with the smallest doc_id (null first), so what is written stays in the corpus once.
+    Lines of under ``MIN_TOKENS`` tokens stay, and so do passages shared inside lines that
+    differ elsewhere. Rows equal in doc_id and text count as one document and are
     treated alike. A null text stays null, a text that loses all lines becomes empty, the
     order of lines is kept, an empty table gives an empty result.
     """
