@@ -19,7 +19,9 @@ def good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without recurring lines; a document that had nothing else goes."""
-    cleaned = line_templates.without_recurring_lines(docs)
+    cleaned = line_templates.without_recurring_lines(
+        docs, min_constant=line_templates.MIN_CONSTANT
+    )
     emptied = (F.size("dropped_lines") > 0) & ~F.col("text").rlike("[^\\x20\\x09-\\x0D]")
     return cleaned.filter(~F.coalesce(emptied, F.lit(False))).select(*docs.columns)
 

@@ -9,7 +9,7 @@ import zlib
 import pytest
 
 import corpus_pipeline
-from wirespark.llm import line_templates, mixing, queries
+from wirespark.llm import mixing, queries
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -113,3 +113,21 @@ def test_long_lines_recur_from_two_documents(spark, tmp_path):
     assert out[0] == texts[0] and out[2] == texts[2]
     # Short lines and lines that differ in a number need three documents.
     assert out[1] == texts[1].replace(f"{passage}\n{dated}\n", "")
+
+
+def test_rows_of_different_numbers_stay(spark, tmp_path):
+    rng = random.Random(8)
+
+    def numbers(n):
+        return " ".join(f"{rng.random():.6f}" for _ in range(n))
+
+    tables = ["\n".join([numbers(4), numbers(5), numbers(9), numbers(12)]) for _ in range(5)]
+    measured = [f"{i + 10} kg {i + 20} cm {i + 30} mm" for i in range(5)]
+    texts = [*tables, *[f"{m}\n{numbers(4)}\n1 2 3 4" for m in measured]]
+    texts += [f"this line stands in many documents, number {i}\n{numbers(4)}" for i in range(4)]
+    out = cleaned(spark, documents(spark, texts, tmp_path), tmp_path)
+    assert [out[i] for i in range(6)] == texts[:6]
+    # Equal rows of numbers and templates of words still go.
+    assert [out[i] for i in range(6, 10)] == [t.removesuffix("\n1 2 3 4") for t in texts[6:10]]
+    assert out[10] == texts[10]
+    assert [out[i] for i in range(11, 14)] == [t.split("\n")[1] for t in texts[11:]]

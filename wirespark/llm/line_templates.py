@@ -12,6 +12,8 @@ from wirespark.llm.common import stored
 DEPTH, SEGMENTS, MIN_TOKENS, MIN_GENERAL, MIN_DOCS = 3, 4, 3, 8, 3
 #: Documents that make the very words of a line of ``MIN_GENERAL`` or more tokens recur.
 MIN_SAME_DOCS = 2
+#: Tokens without a digit that a template needs (more than half of the line's as well).
+MIN_CONSTANT = 3
 FIELD = "<*>"
 
 _BLANKS = "[\\x20\\x09-\\x0D]+"
@@ -28,40 +30,49 @@ def _split(line: Column) -> Column:
     return F.filter(F.split(line, _BLANKS), lambda token: token != "")
 
 
-def _templates(found: Column, line: Column) -> Column:
+def _templates(found: Column, line: Column, min_constant: int) -> Column:
     """Hashes of the templates that a line's tokens fit.
 
     The tree's path is the token count and the ``DEPTH`` leading tokens. Under it a line fits
     its own token sequence, and, if long enough, the sequences with one of ``SEGMENTS``
-    equal segments of the other tokens generalised, and its words as they stand. The last bit
-    of a hash says whether it stands for the words of a long line.
+    equal segments of the other tokens generalised, and its words as they stand. A template
+    with too few constant tokens is left out; a short line then fits its words only. The last
+    bit of a hash says whether it stands for the words of a long line.
     """
     size = F.size(found)
     rest = size - DEPTH
+    masked = F.array_contains(found, FIELD)
 
     def marked(template: Column, same: Column) -> Column:
         return template.bitwiseAND(F.lit(-2)).bitwiseOR(same.cast("bigint"))
 
+    def judged(*parts: Column) -> Column:
+        if not min_constant:
+            return F.lit(True)
+        constant = sum(F.size(F.filter(p, lambda token: token != FIELD)) for p in parts)
+        return ~masked | ((constant >= min_constant) & (constant * 2 > size))
+
     def general(segment: int) -> Column:
         begin = DEPTH + F.floor(rest * segment / SEGMENTS).cast("int")
         end = DEPTH + F.floor(rest * (segment + 1) / SEGMENTS).cast("int")
-        template = F.xxhash64(
-            F.lit(segment), size, F.slice(found, 1, begin), F.slice(found, end + 1, size - end)
-        )
-        return marked(template, F.lit(False))
+        parts = F.slice(found, 1, begin), F.slice(found, end + 1, size - end)
+        template = marked(F.xxhash64(F.lit(segment), size, *parts), F.lit(False))
+        return F.when(judged(*parts), template)
 
-    masked = F.array_contains(found, FIELD)
+    words = F.xxhash64(F.lit(-2), size, _split(line))
     own = marked(F.xxhash64(F.lit(-1), size, found), ~masked & (size >= MIN_GENERAL))
+    own = F.when(judged(found), own)
     long = F.array(own, *[general(i) for i in range(SEGMENTS)])
-    words = marked(F.xxhash64(F.lit(-2), size, _split(line)), F.lit(True))
     return (
-        F.when(size < MIN_GENERAL, F.array(own))
-        .when(masked, F.concat(long, F.array(words)))
+        F.when(size < MIN_GENERAL, F.array(F.coalesce(own, marked(words, F.lit(False)))))
+        .when(masked, F.array_compact(F.concat(long, F.array(marked(words, F.lit(True))))))
         .otherwise(long)
     )
 
 
-def recurring_lines(docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
+def recurring_lines(
+    docs: DataFrame, min_docs: int = MIN_DOCS, min_constant: int = 0
+) -> DataFrame:
     """The lines to drop of each document: row (hash of doc_id and text), dropped (line numbers).
 
     Only documents that lose a line are listed.
@@ -77,7 +88,7 @@ def recurring_lines(docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
             "row",
             "doc_id",
             "line_no",
-            F.explode(_templates(F.col("found"), F.col("line"))).alias("template"),
+            F.explode(_templates(F.col("found"), F.col("line"), min_constant)).alias("template"),
         ),
         "templates",
     )
@@ -95,7 +106,9 @@ def recurring_lines(docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
     return dropped.groupBy("row").agg(F.collect_set("line_no").alias("dropped"))
 
 
-def without_recurring_lines(docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
+def without_recurring_lines(
+    docs: DataFrame, min_docs: int = MIN_DOCS, min_constant: int = 0
+) -> DataFrame:
     """Documents without the lines whose template recurs in other documents.
 
     ``docs`` needs doc_id and text and keeps all its columns; ``dropped_lines`` (line numbers
@@ -105,12 +118,15 @@ def without_recurring_lines(docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFr
     ``min_docs`` documents have recurs, and so do the very words of a line of ``MIN_GENERAL``
     or more tokens that ``MIN_SAME_DOCS`` documents have: the lines go from all of them but the
     one with the smallest doc_id (null first), so what is written stays in the corpus once.
+    With ``min_constant`` a template is judged only if so many tokens, and more than half of
+    the line's, are constant; other lines are compared as they stand, so rows of different
+    numbers stay. The query and the pipeline pass ``MIN_CONSTANT``.
     Lines of under ``MIN_TOKENS`` tokens stay, and so do passages shared inside lines that
     differ elsewhere. Rows equal in doc_id and text count as one document and are
     treated alike. A null text stays null, a text that loses all lines becomes empty, the
     order of lines is kept, an empty table gives an empty result.
     """
-    drops = stored(recurring_lines(docs, min_docs), "dropped-lines")
+    drops = stored(recurring_lines(docs, min_docs, min_constant), "dropped-lines")
     keyed = docs.withColumn("_row", F.xxhash64("doc_id", "text"))
     named = drops.select(F.col("row").alias("_row"), F.array_sort("dropped").alias("_dropped"))
     joined = keyed.join(named.hint("shuffle_hash"), "_row", "left")

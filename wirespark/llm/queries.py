@@ -47,7 +47,9 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_line_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
-    cleaned = line_templates.without_recurring_lines(docs)
+    cleaned = line_templates.without_recurring_lines(
+        docs, min_constant=line_templates.MIN_CONSTANT
+    )
     return cleaned.select(
         "doc_id",
         F.size("dropped_lines").cast("bigint").alias("n_dropped"),
