@@ -161,21 +161,45 @@ def _quantised(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.where(nearer, np.maximum(at - 1, 0), at).astype(np.uint8), book
 
 
+def narrow(values: np.ndarray) -> np.ndarray:
+    """The same numbers (none below 0) in as few bytes each as the largest needs."""
+    kind = np.min_scalar_type(int(values.max(initial=0)))
+    return values.astype(kind.newbyteorder("<"))
+
+
+def _squeezed(values: np.ndarray, rising: bool) -> bytes:
+    """Numbers as bytes; rising ones by their steps, behind the width and the first."""
+    first = values[:1] if rising else np.zeros(1, values.dtype)
+    steps = narrow(np.diff(values, prepend=first) if rising else values)
+    return np.array([steps.itemsize, first[0]], "<u8").tobytes() + steps.tobytes()
+
+
+def _spread(blob: bytes, rising: bool, kind: type) -> np.ndarray:
+    width, first = np.frombuffer(blob, "<u8", 2)
+    steps = np.frombuffer(blob, f"<u{width}", offset=16).astype(kind)
+    return np.cumsum(steps) + kind(first) if rising else steps
+
+
 # The trie ---------------------------------------------------------------------------------
 
 
 class Shard:
     """A range of one level's entries, memory-mapped file by file as needed."""
 
-    KINDS = {"meta": "<i8", "ones": "<i8", "codes": "u1", "book": "<f8", "counts": "<i8",
-             "backs": "u1", "back_book": "<f8", "contexts": "<i8"}
+    KINDS = {"meta": "<i8", "ones": "<i8", "codes": "u1", "book": "<f8",
+             "backs": "u1", "back_book": "<f8"}
+    #: Numbers of a width of their own, which stands in the first of eight bytes before them.
+    NARROW = ("counts", "contexts")
 
     def __init__(self, folder: str, level: int, row: dict):
         self.store, root = open_folder(folder)
         self.stem, self.row, self.held = f"{root}/{level}-{row['name']}", row, {}
 
     def array(self, what: str) -> np.ndarray:
-        if what not in self.held:
+        if what not in self.held and what in self.NARROW:
+            raw = mapped(self.store, f"{self.stem}-{what}.bin", "u1")
+            self.held[what] = raw[8:].view(f"<u{raw[0]}" if raw[0] < 8 else "<i8")
+        elif what not in self.held:
             kind = self.KINDS.get(what.rpartition(".")[2], "<u8")
             self.held[what] = mapped(self.store, f"{self.stem}-{what}.bin", kind)
         return self.held[what]
@@ -190,6 +214,9 @@ class Shard:
     def write(self, **arrays: np.ndarray) -> None:
         for what, values in arrays.items():
             with self.store.open_output_stream(f"{self.stem}-{what}.bin") as file:
+                if what in self.NARROW:
+                    values = narrow(values)
+                    file.write(np.array([values.itemsize], "<u8").tobytes())
                 file.write(np.ascontiguousarray(values).tobytes())
 
     def write_sequence(self, what: str, values: np.ndarray, limit: int) -> None:
@@ -240,12 +267,10 @@ class Level:
         counts, sums = np.zeros(len(at), np.int64), np.zeros(len(at), np.int64)
         starts = np.cumsum([0, *[row["total"] for row in self.rows]])
         for shard, rows in self._parts(self._owner(at)):
-            held = self.shards[shard]
-            if "sums!" not in held.held:
-                held.held["sums!"] = np.concatenate([[0], np.cumsum(held.array("counts"))])
+            own = self.shards[shard].array("counts")
             local = at[rows] - self.bases[shard]
-            counts[rows] = held.array("counts")[local]
-            sums[rows] = starts[shard] + held.held["sums!"][local]
+            counts[rows] = own[local]
+            sums[rows] = starts[shard] + np.cumsum(own, dtype=np.int64)[local] - own[local]
         return counts, sums
 
     def children(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -447,8 +472,9 @@ def _dealt(held: list, trie: Trie | None, buckets: int) -> pa.RecordBatch:
     cuts = np.flatnonzero(np.diff(bucket, prepend=-1))
     ends = np.append(cuts[1:], len(bucket))
     columns = [pa.array(bucket[cuts])]
-    for values in (contexts, words, counts.astype(np.uint32)):
-        columns.append(pa.array([values[a:b].tobytes() for a, b in zip(cuts, ends)], pa.binary()))
+    for values, rising in ((contexts, True), (words, False), (counts, False)):
+        blobs = [_squeezed(values[a:b], rising) for a, b in zip(cuts, ends)]
+        columns.append(pa.array(blobs, pa.binary()))
     return pa.RecordBatch.from_arrays(columns, names=["bucket", "contexts", "words", "counts"])
 
 
@@ -503,9 +529,9 @@ def _shards(
     rows, level = [], len(levels) + 1
     for bucket, blobs in sorted(parts.items()):
         arrays = [
-            np.frombuffer(b"".join(x), kind).astype(to)
-            for x, kind, to in zip(
-                zip(*blobs), ("<i8", "<u8", "<u4"), (np.int64, np.uint64, np.int64)
+            np.concatenate([_spread(blob, rising, kind) for blob in x])
+            for x, rising, kind in zip(
+                zip(*blobs), (True, False, False), (np.int64, np.uint64, np.int64)
             )
         ]
         contexts, words, counts = _merged(*arrays)
@@ -524,7 +550,7 @@ def _shards(
             times = trie.levels[-1].before(contexts)[0]
             shares = np.log10((counts - DISCOUNT) / times)
             width = trie.levels[0].width
-            shard.write(words=pack_bits(words, width), contexts=contexts)
+            shard.write(words=pack_bits(words, width), contexts=contexts - contexts[0])
         codes, book = _quantised(shares)
         shard.write(codes=codes, book=book, counts=counts)
         first = int(contexts[0]), int(words[:1].view(np.int64)[0])
@@ -557,11 +583,12 @@ def _pointers(
                     first += row["entries"]
                     continue
                 contexts = child.shards[s].array("contexts")
-                lo, hi = np.searchsorted(contexts, [base, end])
+                start = row["first_context"]
+                lo, hi = np.searchsorted(contexts, [base - start, end - start])
                 first += int(lo)
-                own = contexts[lo:hi] - base
+                own = contexts[lo:hi].astype(np.int64) + (start - base)
                 number += np.bincount(own, minlength=end - base)
-                taken = child.shards[s].array("counts")[lo:hi] - DISCOUNT
+                taken = child.shards[s].array("counts")[lo:hi].astype(float) - DISCOUNT
                 seen += np.bincount(own, weights=taken, minlength=end - base)
             pointers = np.concatenate([[0], np.cumsum(number)])
             shard = parent.shards[index]
