@@ -168,15 +168,20 @@ def narrow(values: np.ndarray) -> np.ndarray:
 
 
 def _squeezed(values: np.ndarray, rising: bool) -> bytes:
-    """Numbers as bytes; rising ones by their steps, behind the width and the first."""
+    """Numbers as bytes; rising ones by their steps, behind the width and the first.
+
+    All lowest bytes come first, then the next ones: the higher ones are mostly 0 and compress.
+    """
     first = values[:1] if rising else np.zeros(1, values.dtype)
     steps = narrow(np.diff(values, prepend=first) if rising else values)
-    return np.array([steps.itemsize, first[0]], "<u8").tobytes() + steps.tobytes()
+    planes = steps.view("u1").reshape(-1, steps.itemsize).T
+    return np.array([steps.itemsize, first[0]], "<u8").tobytes() + planes.tobytes()
 
 
 def _spread(blob: bytes, rising: bool, kind: type) -> np.ndarray:
     width, first = np.frombuffer(blob, "<u8", 2)
-    steps = np.frombuffer(blob, f"<u{width}", offset=16).astype(kind)
+    planes = np.frombuffer(blob, "u1", offset=16).reshape(int(width), -1)
+    steps = np.ascontiguousarray(planes.T).view(f"<u{width}").ravel().astype(kind)
     return np.cumsum(steps) + kind(first) if rising else steps
 
 
