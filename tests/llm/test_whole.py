@@ -6,11 +6,16 @@ import random
 import re
 import zlib
 
+import numpy as np
+import public_tokenizers
 import pytest
+from tokenizers import Tokenizer
 
 import corpus_pipeline
-from wirespark.llm import mixing, queries
+from wirespark.llm import mixing, packing, queries, token_files
+from wirespark.session import new_folder
 
+TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
 
@@ -131,3 +136,19 @@ def test_rows_of_different_numbers_stay(spark, tmp_path):
     assert [out[i] for i in range(6, 10)] == [t.removesuffix("\n1 2 3 4") for t in texts[6:10]]
     assert out[10] == texts[10]
     assert [out[i] for i in range(11, 14)] == [t.split("\n")[1] for t in texts[11:]]
+
+
+def test_added_tokens_are_encoded_as_the_library_does(spark):
+    texts = ["before <|endoftext|> after", "<|endoftext|>", "a<|endoftext|>b  c", "no such token"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").coalesce(1)
+    encode = Tokenizer.from_file(TOKENIZER).encode
+    plain = {i: encode(t, add_special_tokens=False).ids for i, t in enumerate(texts)}
+    assert 50256 in plain[0]
+    folder, at = new_folder(spark, "tokens"), 0
+    token_files.write_tokens(docs, folder, TOKENIZER)
+    for r in token_files.read_tokens(spark, folder).orderBy("start").collect():
+        ids = [*plain[r["doc_id"]], 0]
+        assert r["start"] == at and np.frombuffer(r["ids"], "<u4").tolist() == ids
+        at += len(ids)
+    for r in packing.packed(docs, TOKENIZER).collect():
+        assert np.frombuffer(r["ids"], "<u4").tolist() == [*plain[r["doc_id"]], 1]

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 from collections.abc import Iterator
 from functools import partial
 
@@ -40,12 +41,14 @@ class Encoder:
 
     A byte-level tokenizer never joins text across a space that follows a word. So texts are cut
     there, and each different piece is encoded once per worker; ids of a text are those of its
-    pieces in a row. A text with white space before a space is encoded whole.
+    pieces in a row. A text with white space before a space, or with an added token of the
+    tokenizer (which the library finds before all else), is encoded whole.
     """
 
     def __init__(self, path: str):
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.unsafe = "|".join([_UNSAFE, *map(re.escape, added)])
         vocabulary = self.tokenizer.get_vocab()
         #: Bytes that each id stands for (a byte-level token has a character for each byte).
         self.bytes_of = np.zeros(max(vocabulary.values()) + 1, np.int64)
@@ -113,7 +116,7 @@ class Encoder:
 
     def encode(self, texts: pa.LargeStringArray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in a row, and where each text's ids begin (one more than texts)."""
-        unsafe = pc.match_substring_regex(texts, _UNSAFE).to_numpy(zero_copy_only=False)
+        unsafe = pc.match_substring_regex(texts, self.unsafe).to_numpy(zero_copy_only=False)
         if not unsafe.any():
             return self._pieces(texts)
         ids, ends = self._pieces(texts.filter(pa.array(~unsafe)))
