@@ -28,7 +28,7 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def unique(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each class of near duplicates: five-word shingles, 0.8 or more."""
-    classes = jaccard_join.near_duplicates(docs, width=5, ratio=(4, 5))
+    classes = jaccard_join.near_duplicate_rows(docs, width=5, ratio=(4, 5))
     return jaccard_join.one_of_each(docs, classes)
 
 

@@ -12,7 +12,7 @@ import pytest
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from wirespark.llm import mixing, packing, queries, token_files
+from wirespark.llm import jaccard_join, mixing, packing, queries, token_files
 from wirespark.session import new_folder
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -152,3 +152,22 @@ def test_added_tokens_are_encoded_as_the_library_does(spark):
         at += len(ids)
     for r in packing.packed(docs, TOKENIZER).collect():
         assert np.frombuffer(r["ids"], "<u4").tolist() == [*plain[r["doc_id"]], 1]
+
+
+def test_documents_without_number_are_linked_and_texts_of_one_number_kept(spark):
+    a, b, c = (" ".join(f"{x}{i}" for i in range(100)) for x in "abc")
+    near = {x: changed(x, (40,)) for x in (a, b)}
+    rows = [(None, a), (None, near[a]), (4, b), (None, near[b]), (5, c), (5, "quite another text")]
+    rows += [(5, c), (None, None), (9, "")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    classes = jaccard_join.near_duplicate_rows(docs).collect()
+    root = {(r["doc_id"], r["n_shingles"], r["component_id"]): r["root"] for r in classes}
+    assert (None, 97, 4) in root and (None, 97, None) in root and len(classes) == len(rows)
+    assert len({r["root"] for r in classes if r["doc_id"] is None and r["n_shingles"]}) == 2
+    found = jaccard_join.near_duplicates(docs).collect()
+    assert sum(r["component_id"] == 4 for r in found) == 2
+    kept = [tuple(r) for r in corpus_pipeline.unique(spark, docs, "").collect()]
+    assert len(kept) == len(set(kept))
+    assert sum(t in (a, near[a]) for _, t in kept) == 1
+    rest = {(i, t) for i, t in kept if t not in (a, near[a])}
+    assert rest == {(4, b), (5, c), (5, "quite another text"), (None, None), (9, "")}

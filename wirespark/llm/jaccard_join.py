@@ -9,7 +9,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from wirespark.llm.common import lower_ascii, mixed, numbered, split_words, spans, stored
@@ -25,7 +25,7 @@ GROUPS = 256
 PAGE, BLOCK = 32, 256
 
 _STEP = np.uint64(0x9E3779B97F4A7C15)
-_SETS = "doc_id bigint, n_shingles bigint, set_id bigint, left_0 int, left_1 int"
+_SETS = "doc_id bigint, row bigint, n_shingles bigint, set_id bigint, left_0 int, left_1 int"
 _ENTRIES = "bucket int, keys binary, sets binary, lowers binary"
 _CELLS = "cell bigint, set_id bigint, lower int, members bigint"
 _POINTS = "set_id bigint, n_shingles bigint, shingles array<bigint>, point binary"
@@ -138,12 +138,13 @@ def _describe(batches: Iterator[pa.RecordBatch], width: int, ratio: tuple[int, i
                 left.append(np.maximum(spare - empty, 0))
             columns = [
                 batch.column("doc_id").slice(begin, end - begin),
+                batch.column("row").slice(begin, end - begin),
                 pa.array(sizes),
                 pa.array(_set_ids(flat, bounds), mask=sizes == 0),
                 *[pa.array(x.astype(np.int32)) for x in left],
             ]
             yield pa.RecordBatch.from_arrays(
-                columns, names=["doc_id", "n_shingles", "set_id", "left_0", "left_1"]
+                columns, names=["doc_id", "row", "n_shingles", "set_id", "left_0", "left_1"]
             )
 
 
@@ -451,11 +452,26 @@ def near_duplicates(
     (``tree_pairs``), large ones block by block. Every surviving pair is verified on the sets.
     So a large group of copies costs its number of members, not of pairs.
 
-    Returns doc_id, n_shingles, component_id (the smallest doc_id reachable by links).
+    Returns doc_id, n_shingles, component_id (the smallest doc_id reachable by links; null if
+    no document of the component has one).
     """
+    return near_duplicate_rows(docs, width, ratio).select("doc_id", "n_shingles", "component_id")
+
+
+def _row() -> Column:
+    """What tells the rows of documents apart: a hash of doc_id and text."""
+    return F.xxhash64(F.col("doc_id").cast("bigint"), "text")
+
+
+def near_duplicate_rows(
+    docs: DataFrame, width: int = WORDS, ratio: tuple[int, int] = SIMILAR
+) -> DataFrame:
+    """``near_duplicates`` with each document's row (``_row``) and root, the set that names its
+    component (null: none)."""
     spark = docs.sparkSession
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-    sets = stored(rows.mapInArrow(partial(_describe, width=width, ratio=ratio), _SETS), "sets")
+    named = rows.withColumn("row", _row())
+    sets = stored(named.mapInArrow(partial(_describe, width=width, ratio=ratio), _SETS), "sets")
     buckets = 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     entries = rows.mapInArrow(
         partial(_entries, width=width, ratio=ratio, buckets=buckets), _ENTRIES
@@ -477,7 +493,12 @@ def near_duplicates(
 
     wanted = cells.select("doc_id", F.col("set_id").alias("_set")).distinct()
     texts = rows.join(wanted.hint("shuffle_hash"), "doc_id").select("text")
-    points = texts.mapInArrow(partial(_points, width=width), _POINTS)
+    describe = partial(_points, width=width)
+    points = texts.mapInArrow(describe, _POINTS)
+    # A set that no document with a doc_id has is fetched by its number.
+    unnamed = rows.filter("doc_id IS NULL").select("text").mapInArrow(describe, _POINTS)
+    orphans = wanted.filter("doc_id IS NULL").select(F.col("_set").alias("set_id"))
+    points = points.union(unnamed.join(orphans, "set_id", "left_semi"))
     points = stored(points.dropDuplicates(["set_id"]), "points")
 
     cells = cells.select("cell", "set_id").distinct()
@@ -494,25 +515,30 @@ def near_duplicates(
         roots = connected(merged, "a", "b")
         current = stored(_with_roots(cells, roots), "current")
 
-    named = _with_roots(known.select("doc_id", "n_shingles", "set_id"), roots)
-    named = named.select("doc_id", "n_shingles", "root")
+    named = _with_roots(known.select("doc_id", "row", "n_shingles", "set_id"), roots)
+    named = named.select("doc_id", "row", "n_shingles", "root")
     least = named.groupBy("root").agg(F.min("doc_id").alias("component_id"))
-    alone = sets.filter("set_id IS NULL").select(
-        "doc_id", "n_shingles", F.col("doc_id").alias("component_id")
+    alone = sets.filter("set_id IS NULL").withColumns(
+        {"component_id": F.col("doc_id"), "root": F.lit(None).cast("bigint")}
     )
-    return named.join(least, "root").select("doc_id", "n_shingles", "component_id").union(alone)
+    columns = ["doc_id", "row", "n_shingles", "component_id", "root"]
+    return named.join(least, "root").select(columns).union(alone.select(columns))
 
 
 def one_of_each(docs: DataFrame, classes: DataFrame) -> DataFrame:
-    """One document of each class: the one with the smallest doc_id; of repeated rows, one.
+    """One document of each class: the one with the smallest doc_id, rows without one last;
+    of equal rows, one.
 
-    ``classes`` is the result of ``near_duplicates``. Rows without a doc_id stay.
+    ``classes`` is the result of ``near_duplicate_rows``. Rows are told apart by doc_id and
+    text, so different texts of one doc_id, or without one, each stay if their classes differ.
     """
-    first = classes.filter("doc_id = component_id").select("doc_id").distinct()
-    joined = docs.join(first, "doc_id", "left_semi")
-    nth = F.row_number().over(Window.partitionBy("doc_id").orderBy("doc_id"))
-    single = joined.withColumn("_nth", nth).filter("_nth = 1").drop("_nth")
-    return single.select(*docs.columns).union(docs.filter("doc_id IS NULL"))
+    order = F.struct(F.col("doc_id").isNull(), "doc_id", "row")
+    linked = classes.filter("root IS NOT NULL").groupBy("root").agg(F.min(order).alias("first"))
+    alone = classes.filter("root IS NULL").select("row").distinct()
+    first = linked.select(F.col("first.row").alias("_row")).union(alone)
+    joined = docs.withColumn("_row", _row()).join(first, "_row", "left_semi")
+    nth = F.row_number().over(Window.partitionBy("_row").orderBy("_row"))
+    return joined.withColumn("_nth", nth).filter("_nth = 1").select(*docs.columns)
 
 
 def _tree_search(cells: DataFrame, points: DataFrame, ratio: tuple[int, int]) -> DataFrame:
