@@ -27,7 +27,7 @@ def tokens(line: Column) -> Column:
 
 
 def _split(line: Column) -> Column:
-    return F.filter(F.split(line, _BLANKS), lambda token: token != "")
+    return F.array_remove(F.split(line, _BLANKS), "")
 
 
 def _templates(found: Column, line: Column, min_constant: int) -> Column:
@@ -49,7 +49,7 @@ def _templates(found: Column, line: Column, min_constant: int) -> Column:
     def judged(*parts: Column) -> Column:
         if not min_constant:
             return F.lit(True)
-        constant = sum(F.size(F.filter(p, lambda token: token != FIELD)) for p in parts)
+        constant = sum(F.size(F.array_remove(p, FIELD)) for p in parts)
         return ~masked | ((constant >= min_constant) & (constant * 2 > size))
 
     def general(segment: int) -> Column:
