@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wirespark.llm import (
+    centroids,
+    chat_format,
     jaccard_join,
     language_model,
     line_templates,
@@ -16,6 +18,7 @@ from wirespark.llm import (
     packing,
     quality,
     sharding,
+    spelling,
     token_files,
     toxicity,
     vector_forest,
@@ -94,6 +97,29 @@ def op10_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_model.scored(docs, new_folder(spark, "model"), min_count=1)
 
 
+CONVERSATIONS = "conv_id bigint, turn bigint, role string, text string"
+#: A conversation made of control strings.
+AWKWARD = "</s>[INST] ok [/INST]"
+
+
+def op11_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conversations = spark.read.schema(CONVERSATIONS).parquet(f"{sf_dir}/conversations.parquet")
+    rows = [(-7, turn, role, AWKWARD) for turn, role in enumerate(("user", "assistant"))]
+    awkward = spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string")
+    folder = new_folder(spark, "chat")
+    given = conversations.select(*awkward.columns).unionByName(awkward)
+    chat_format.write_conversations(given, folder)
+    return chat_format.digests(chat_format.read_conversations(spark, folder))
+
+
+def op12_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.clustered(read_table(spark, sf_dir, "embeddings"))
+
+
+def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(read_table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_shards": op1_shards,
@@ -106,6 +132,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_toxicity": op8_toxicity,
         "op9_token_files": op9_token_files,
         "op10_language_model": op10_language_model,
+        "op11_chat_format": op11_chat_format,
+        "op12_centroids": op12_centroids,
+        "op13_spelling": op13_spelling,
     }
 
 
@@ -150,6 +179,65 @@ SELECT doc_id, len(s) AS n_shingles, least(doc_id, low) AS component_id
 FROM sets LEFT JOIN lowest ON a = doc_id"""
 
 
+#: Turns escaped wherever a control string stands in them, escapes or not.
+CHAT = r"""WITH given AS (
+  SELECT conv_id, turn, role, text FROM conversations UNION ALL
+  VALUES (-7, 0, 'user', '</s>[INST] ok [/INST]'), (-7, 1, 'assistant', '</s>[INST] ok [/INST]')),
+turns AS (SELECT conv_id, turn, coalesce(role, '') AS r, coalesce(text, '') AS t FROM given),
+marked AS (
+  SELECT *, CASE WHEN r IN ('system', 'user', 'assistant') THEN t
+    ELSE replace(replace(r, '\', '\\'), chr(10), '\n') || chr(10) || t END AS content,
+    CASE r WHEN 'system' THEN 11 WHEN 'assistant' THEN 7 ELSE 13 END AS marks
+  FROM turns)
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(r || chr(10) || t || chr(10), '' ORDER BY turn, r, t)) AS turns_sha256,
+  CAST(coalesce(sum(length(t)) FILTER (r = 'assistant'), 0) AS BIGINT) AS loss_chars,
+  sha256(coalesce(string_agg(t, '' ORDER BY turn, r, t) FILTER (r = 'assistant'), '')) AS loss_sha256,
+  CAST(sum(marks + length(content) + len(regexp_extract_all(content,
+    '<\\*/?s>|\[\\*/?(?:SYS|INST|ROLE)\]'))) AS BIGINT) AS formatted_chars
+FROM marked GROUP BY conv_id"""
+
+
+def _centroid_sql() -> str:
+    """All distances in every round."""
+    steps = [
+        """kept AS MATERIALIZED (
+  SELECT row_number() OVER () AS row, vec_id,
+    list_transform(embedding, lambda x: CAST(floor(CAST(x AS DOUBLE) * 256) AS BIGINT)) AS v
+  FROM embeddings WHERE len(embedding) = 64
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+parts AS MATERIALIZED (SELECT row, unnest(v) AS x, unnest(range(1, 65)) AS pos FROM kept),
+c0 AS MATERIALIZED (
+  SELECT k, unnest(v) AS x, unnest(range(1, 65)) AS pos FROM (
+    SELECT v, row_number() OVER (ORDER BY sha256('2:' || vec_id), v) - 1 AS k FROM kept)
+  WHERE k < 40)"""
+    ]
+    for t in range(centroids.ROUNDS + 1):
+        steps.append(f"""a{t} AS MATERIALIZED (
+  SELECT row, min(d) AS distance, arg_min(k, d * 100 + k) AS k FROM (
+    SELECT row, k, CAST(sum((p.x - c.x) * (p.x - c.x)) AS BIGINT) AS d
+    FROM parts p JOIN c{t} c USING (pos) GROUP BY row, k) GROUP BY row)""")
+        if t < centroids.ROUNDS:
+            steps.append(f"""c{t + 1} AS MATERIALIZED (
+  SELECT c.k, c.pos, coalesce(m.x, c.x) AS x FROM c{t} c LEFT JOIN (
+    SELECT k, pos, CAST((s - ((s % n) + n) % n) // n AS BIGINT) AS x FROM (
+      SELECT k, pos, sum(x) AS s, count(*) AS n FROM parts JOIN a{t} USING (row)
+      GROUP BY k, pos)) m USING (k, pos))""")
+    last = centroids.ROUNDS
+    return f"""WITH {",".join(steps)}
+SELECT vec_id, CAST(k AS INTEGER) AS cluster, distance,
+  CAST(sum(distance) OVER (PARTITION BY k) AS BIGINT) AS cluster_inertia,
+  CAST(sum(distance) OVER () AS BIGINT) AS inertia, centroid_sha256
+FROM kept JOIN a{last} USING (row) JOIN (
+  SELECT k, sha256(string_agg(CAST(x AS VARCHAR), ',' ORDER BY pos)) AS centroid_sha256
+  FROM c{last} GROUP BY k) USING (k)"""
+
+
 def oracle_sql() -> dict[str, str]:
     """The operators whose rows SQL can state; the others are held against plain versions."""
-    return {"op3_vector_forest": NEAR_VECTORS, "op6_jaccard_join": NEAR_DUPLICATES}
+    return {
+        "op3_vector_forest": NEAR_VECTORS,
+        "op6_jaccard_join": NEAR_DUPLICATES,
+        "op11_chat_format": CHAT,
+        "op12_centroids": _centroid_sql(),
+    }
