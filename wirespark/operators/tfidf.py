@@ -1,16 +1,27 @@
 """TF-IDF vocabulary, weights and cosine search.
 
 A document is a row. Weights are tf x (ln((1 + n) / (1 + df)) + 1), rows scaled to
-length one. The vocabulary is limited to ``max_features`` rows, which bounds its
-broadcast; without a limit (``None``) no hint is given.
+length one. The vocabulary is limited to ``max_features`` rows. Up to
+``BROADCAST_ROWS`` of them go to every task, which then weighs and scores its documents
+where they are, without a shuffle; without a limit (``None``) terms are joined and
+documents put together again.
+
+Documents are read more than once: pass in a frame that is written somewhere
+(``session.written``), or their terms are counted anew each time.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from collections.abc import Callable, Iterator
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from wirespark.operators.keyed import small, top_n
+from wirespark.operators import frequent
+from wirespark.operators.keyed import BROADCAST_ROWS, small, top_n
 from wirespark.operators.terms import english_stop_words, exploded_terms, with_term_counts
 
 MAX_FEATURES = 1000
@@ -18,6 +29,13 @@ MIN_DF = 2
 MAX_DF = 0.8
 DIGITS = 6
 
+#: Terms of a task's summary for each term of the vocabulary.
+SUMMARY_TERMS = 32
+#: Beyond this many terms a summary is no longer small, and all terms are counted.
+LARGEST_SUMMARY = 1 << 19
+#: Terms that are counted exactly for each term of the vocabulary; the df bounds may refuse some.
+CANDIDATES = 4
+
 
 def kept_words(text: Column, stop_words: list[str]) -> Column:
     """Words of ``normalize_text`` with two or more characters, without stop words."""
@@ -36,12 +54,17 @@ def with_bigrams(words: Column) -> Column:
 
 
 def term_documents(
-    df: DataFrame, key: str, text: Column, stop_words: list[str] | None = None
+    df: DataFrame,
+    key: str,
+    text: Column,
+    stop_words: list[str] | None = None,
+    *,
+    keep: bool = False,
 ) -> DataFrame:
-    """``(key, terms)``: the 1- and 2-gram counts of every document."""
-    words = kept_words(text, stop_words or english_stop_words())
-    counted = with_term_counts(df.select(key, words.alias("_words")), with_bigrams(F.col("_words")))
-    return counted.drop("_words")
+    """``(key, terms)``: the 1- and 2-gram counts of every document; all columns for ``keep``."""
+    words = kept_words(text, stop_words or english_stop_words()).alias("_words")
+    rows = df.select("*", words) if keep else df.select(key, words)
+    return with_term_counts(rows, with_bigrams(F.col("_words"))).drop("_words")
 
 
 def vocabulary(
@@ -51,39 +74,145 @@ def vocabulary(
     max_features: int | None = MAX_FEATURES,
     min_df: int = MIN_DF,
     max_df: float = MAX_DF,
+    capacity: int | None = None,
 ) -> DataFrame:
     """``(term, df, cf, idf)`` of the most frequent terms within the df bounds.
 
-    Counts are combined per task before the shuffle on the term, so frequent terms
-    arrive as one row per task.
+    Most terms are rare and never reach the result, so they are not shuffled: tasks send
+    summaries of ``capacity`` terms (``frequent``), and only the terms that lead there are
+    counted exactly. The counts are final once the last of them is more frequent than any
+    term left out can be; otherwise the summaries are made larger, and at last every term is
+    counted. The result is the same in all cases.
     """
-    n = documents.agg(F.count(F.lit(1))).scalar()
-    counted = (
-        exploded_terms(documents, key)
-        .groupBy("term")
-        .agg(F.count(F.lit(1)).alias("df"), F.sum("tf").alias("cf"))
-    )
-    bounded = counted.filter((F.col("df") >= min_df) & (F.col("df") <= n * F.lit(max_df)))
-    top = bounded
+    n = documents.count()
+    terms = exploded_terms(documents, key)
+    idf = F.log((F.lit(n) + 1) / (F.col("df") + 1)) + 1
+
+    def bounded(counted: DataFrame) -> DataFrame:
+        return counted.filter((F.col("df") >= min_df) & (F.col("df") <= F.lit(n) * F.lit(max_df)))
+
+    if fits_tasks(max_features):
+        rows = _leading(terms, bounded, max_features, capacity or SUMMARY_TERMS * max_features)
+        if rows is not None:
+            schema = "term string, df bigint, cf bigint"
+            return documents.sparkSession.createDataFrame(rows, schema).withColumn("idf", idf)
+    top = bounded(_counted(terms))
     if max_features is not None:
-        top = top_n(bounded, max_features, [F.desc("cf"), F.asc("term")])
-    idf = F.log((n + 1) / (F.col("df") + 1)) + 1
+        top = most_frequent(top, max_features)
     return top.withColumn("idf", idf)
 
 
+def most_frequent(bounded: DataFrame, max_features: int) -> DataFrame:
+    return top_n(bounded, max_features, [F.desc("cf"), F.asc("term")])
+
+
+def fits_tasks(max_features: int | None) -> bool:
+    """Whether the vocabulary is small enough to go to every task."""
+    return max_features is not None and max_features <= BROADCAST_ROWS
+
+
+def _counted(terms: DataFrame) -> DataFrame:
+    return terms.groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.sum("tf").alias("cf"))
+
+
+def _leading(
+    terms: DataFrame,
+    bounded: Callable[[DataFrame], DataFrame],
+    max_features: int,
+    capacity: int,
+) -> list[Row] | None:
+    """The rows of the vocabulary, or None where summaries do not tell its terms apart."""
+    candidates = CANDIDATES * max_features
+    while capacity <= LARGEST_SUMMARY and candidates < BROADCAST_ROWS:
+        summary = frequent.merged(frequent.summaries(terms, "term", "tf", capacity))
+        first = summary.withColumn("is_error", F.col("item").isNull())
+        first = top_n(first, candidates + 2, [F.desc("is_error"), F.desc("n"), F.asc("item")])
+        found = sorted(first.collect(), key=lambda r: (not r["is_error"], -r["n"], r["item"]))
+        error = found[0]["n"] if found else 0
+        chosen, left_out = found[1 : candidates + 1], found[candidates + 1 :]
+        asked = terms.sparkSession.createDataFrame(
+            [(r["item"],) for r in chosen], "term string"
+        )
+        exact = bounded(_counted(terms.join(F.broadcast(asked), "term")))
+        rows = most_frequent(exact, max_features).collect()
+        full = len(rows) == max_features
+        if error == 0:
+            # The summaries hold every term and its count.
+            if full or not left_out:
+                return rows
+        elif full and rows[-1]["cf"] > error + (left_out[0]["n"] if left_out else 0):
+            return rows
+        capacity *= 8
+        candidates *= 2
+    return None
+
+
 def weights(
     documents: DataFrame, key: str, vocab: DataFrame, max_features: int | None = MAX_FEATURES
 ) -> DataFrame:
     """``(key, term, weight)``, every document scaled to length one."""
+    if fits_tasks(max_features):
+        rows = weighted_rows(documents, key, vocab)
+        return rows.select(key, F.inline_outer("entries")).filter(F.col("term").isNotNull())
     per_document = Window.partitionBy(key)
-    raw = exploded_terms(documents, key).join(
-        small(vocab.select("term", "idf"), max_features), "term"
-    )
+    raw = exploded_terms(documents, key).join(vocab.select("term", "idf"), "term")
     raw = raw.withColumn("raw", F.col("tf") * F.col("idf"))
     length = F.sqrt(F.sum(F.col("raw") * F.col("raw")).over(per_document))
     return raw.select(key, "term", (F.col("raw") / length).alias("weight"))
 
 
+def weighted_rows(documents: DataFrame, key: str, vocab: DataFrame) -> DataFrame:
+    """``(key, entries)``: the (term, weight) of every document, without a shuffle.
+
+    For vocabularies that may go to every task; see ``weights``.
+    """
+    idf = {r["term"]: r["idf"] for r in vocab.select("term", "idf").collect()}
+    names, values = pa.array(idf.keys(), pa.string()), np.array(list(idf.values()))
+
+    def weighed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            terms, places, tf, starts = _terms(batch, names)
+            raw = tf * values[places]
+            length = np.sqrt(_sums(raw * raw, starts))
+            weight = raw / np.repeat(length, np.diff(starts))
+            entries = pa.StructArray.from_arrays([terms, pa.array(weight)], ["term", "weight"])
+            lists = pa.ListArray.from_arrays(pa.array(starts, pa.int32()), entries)
+            yield pa.RecordBatch.from_arrays([batch.column(key), lists], [key, "entries"])
+
+    kept = _kept_terms(documents, key, idf)
+    schema = _schema(kept, key, "entries array<struct<term:string,weight:double>>")
+    return kept.mapInArrow(weighed, schema)
+
+
+def _kept_terms(documents: DataFrame, key: str, known) -> DataFrame:
+    """Documents with those of their terms that are known (a bounded number)."""
+    terms = F.filter("terms", lambda t: t["term"].isin(list(known))) if known else F.array()
+    kind = "array<struct<term:string,tf:bigint>>"
+    return documents.select(key, F.coalesce(terms, F.array()).cast(kind).alias("terms"))
+
+
+def _schema(df: DataFrame, key: str, more: str) -> T.StructType:
+    return T.StructType([df.schema[key], *T.StructType.fromDDL(more).fields])
+
+
+def _terms(batch: pa.RecordBatch, names: pa.Array):
+    """Terms of all rows, their places among ``names``, counts, and where each row's begin."""
+    lists = batch.column("terms")
+    starts = lists.offsets.to_numpy().astype(np.int64)
+    term, tf = lists.flatten().flatten()
+    places = frequent.look_up(term, names)
+    return term, places, tf.to_numpy(zero_copy_only=False), starts - starts[0]
+
+
+def _sums(values: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """Sum of each row's values; 0 for a row without any."""
+    out = np.zeros(len(starts) - 1)
+    filled = np.flatnonzero(np.diff(starts))
+    if len(filled):
+        out[filled] = np.add.reduceat(values, starts[filled])
+    return out
+
+
 def query_terms(
     spark: SparkSession, query: str, stop_words: list[str] | None = None
 ) -> list[str]:
@@ -121,12 +250,15 @@ def nearest(
     """
     if not query:
         raise ValueError("search text is required")
-    asked = F.broadcast(query_weights(vocab, query, stop_words))
-    model = vocab.select("term", "idf").join(asked, "term", "left")
+    asked = query_weights(vocab, query, stop_words)
+    if fits_tasks(max_features):
+        scored = _scored_rows(documents, key, vocab, asked)
+        return top_n(scored, k, [F.desc("similarity"), F.asc(key)])
+    model = vocab.select("term", "idf").join(F.broadcast(asked), "term", "left")
     raw = F.col("tf") * F.col("idf")
     sums = (
         exploded_terms(documents, key)
-        .join(small(model, max_features), "term")
+        .join(model, "term")
         .groupBy(key)
         .agg(
             F.sum(raw * F.col("query_weight")).alias("dot"),
@@ -135,7 +267,29 @@ def nearest(
     )
     similarity = F.round(F.col("dot") / F.col("length"), DIGITS)
     hits = sums.filter(F.col("dot").isNotNull()).select(key, similarity.alias("similarity"))
-    return _filled(hits, documents, key, k)
+    return filled(hits, documents, key, k)
+
+
+def _scored_rows(
+    documents: DataFrame, key: str, vocab: DataFrame, asked: DataFrame
+) -> DataFrame:
+    """``(key, similarity)`` of every document to the query, without a shuffle."""
+    model = {r["term"]: r["idf"] for r in vocab.select("term", "idf").collect()}
+    query = {r["term"]: r["query_weight"] for r in asked.collect()}
+    names, idf = pa.array(model.keys(), pa.string()), np.array(list(model.values()))
+    weight = np.array([query.get(term, 0.0) for term in model])
+
+    def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            _, places, tf, starts = _terms(batch, names)
+            raw = tf * idf[places]
+            dot, squares = _sums(raw * weight[places], starts), _sums(raw * raw, starts)
+            cosine = np.divide(dot, np.sqrt(squares), out=np.zeros_like(dot), where=squares > 0)
+            yield pa.RecordBatch.from_arrays([batch.column(key), pa.array(cosine)], [key, "cosine"])
+
+    kept = _kept_terms(documents, key, model)
+    rows = kept.mapInArrow(scored, _schema(kept, key, "cosine double"))
+    return rows.select(key, F.round("cosine", DIGITS).alias("similarity"))
 
 
 def nearest_by_weights(
@@ -157,10 +311,10 @@ def nearest_by_weights(
         .groupBy(key)
         .agg(F.round(F.sum(product), DIGITS).alias("similarity"))
     )
-    return _filled(scores, documents, key, k)
+    return filled(scores, documents, key, k)
 
 
-def _filled(scores: DataFrame, documents: DataFrame, key: str, k: int) -> DataFrame:
+def filled(scores: DataFrame, documents: DataFrame, key: str, k: int) -> DataFrame:
     """The best ``k`` of ``scores``; the first other documents follow with 0 if fewer match."""
     order = [F.desc("similarity"), F.asc(key)]
     best = top_n(scores, k, order)

@@ -8,6 +8,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
+#: Bytes of a row group of intermediate results.
+WRITTEN_BLOCK = 8 << 20
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -34,6 +36,17 @@ def new_folder(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def written(df: DataFrame, name: str) -> DataFrame:
+    """Write a frame to the shared folder as Parquet and read it back.
+
+    Like ``settled``, but readers take the columns they need and their filters reach the files.
+    Row groups are small, so that several tasks can read a file that one task has written.
+    """
+    path = new_folder(df.sparkSession, name)
+    df.write.option("parquet.block.size", WRITTEN_BLOCK).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def settled(df: DataFrame) -> DataFrame:
     """Materialise a frame that later steps use more than once."""
     spark = df.sparkSession
