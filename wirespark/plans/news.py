@@ -37,6 +37,7 @@ EVENT_COLUMNS = [
     "avgtone",
     "sourceurl",
 ]
+STORY = ["avgtone", "eventcode", "actor"]
 RECORD_COLUMNS = ["gkgrecordid", "sourcecommonname", "first_theme", "sharingimage", "page_title"]
 
 
@@ -102,7 +103,7 @@ def to_article(df: DataFrame, *extra: str) -> DataFrame:
     )
 
 
-def _imaged_urls(gkg: DataFrame) -> DataFrame:
+def imaged_urls(gkg: DataFrame) -> DataFrame:
     return (
         gkg.filter(F.col("sharingimage").isNotNull())
         .select(F.col("documentidentifier").alias("sourceurl"))
@@ -110,24 +111,35 @@ def _imaged_urls(gkg: DataFrame) -> DataFrame:
     )
 
 
+def rankable_events(events: DataFrame) -> DataFrame:
+    return _events(events).filter((F.col("nummentions") > 0) & F.col("avgtone").isNotNull())
+
+
+def strength_order() -> list[Column]:
+    """Which event stands for its story, and which story for its URL."""
+    strength = [desc("nummentions"), desc(F.abs("confidence")), desc("avgtone")]
+    return [*strength, asc("globaleventid"), desc("confidence")]
+
+
+def top_order() -> list[Column]:
+    strength = [desc("nummentions"), desc("avgtone"), desc(F.abs("confidence"))]
+    return [*strength, asc("globaleventid"), desc("confidence")]
+
+
 def top_news(t: NewsTables, limit: int = 5000) -> DataFrame:
     """Most mentioned news: one per (tone, code, actor), then one per URL.
 
     Ranking needs event columns and the strongest confidence only, so titles,
     images and themes are fetched for the ``limit`` winners alone.
     """
-    events = _events(t.events).filter((F.col("nummentions") > 0) & F.col("avgtone").isNotNull())
+    events = rankable_events(t.events)
     confidences = strongest_confidence(t.mentions.filter(F.col("confidence").isNotNull()))
     scored = lookup_join(
-        events.join(confidences, "globaleventid"), _imaged_urls(t.gkg), "sourceurl", "left_semi"
+        events.join(confidences, "globaleventid"), imaged_urls(t.gkg), "sourceurl", "left_semi"
     ).withColumn("actor", F.coalesce("actor1name", "actor2name"))
-    strength = [desc("nummentions"), desc(F.abs("confidence"))]
-    ties = [asc("globaleventid"), desc("confidence")]
-    per_story = distinct_on(
-        scored, ["avgtone", "eventcode", "actor"], [*strength, desc("avgtone"), *ties]
-    )
-    per_url = distinct_on(per_story, ["sourceurl"], [*strength, desc("avgtone"), *ties])
-    order = [desc("nummentions"), desc("avgtone"), desc(F.abs("confidence")), *ties]
+    per_story = distinct_on(scored, STORY, strength_order())
+    per_url = distinct_on(per_story, ["sourceurl"], strength_order())
+    order = top_order()
     winners = top_n_merged(per_url, limit, order)
     records = article_records(t.gkg.filter(F.col("sharingimage").isNotNull()))
     detailed = distinct_on(
@@ -150,7 +162,7 @@ def featured_news(t: NewsTables, limit: int = 1) -> DataFrame:
     mentioned = events.join(
         t.mentions.select("globaleventid").distinct(), "globaleventid", "left_semi"
     )
-    eligible = lookup_join(mentioned, _imaged_urls(t.gkg), "sourceurl", "left_semi")
+    eligible = lookup_join(mentioned, imaged_urls(t.gkg), "sourceurl", "left_semi")
     order = [desc("score"), asc("globaleventid")]
     first = settled(top_n(eligible, limit, order))
     by_confidence = [F.desc_nulls_last("confidence")]
@@ -221,7 +233,11 @@ def filter_news(
         if literal
         else F.col("theme").ilike(f"%{theme}%")
     )
-    ids = t.gkg_themes.filter(found).select("gkgrecordid").distinct()
+    return news_of_records(t, t.gkg_themes.filter(found).select("gkgrecordid").distinct(), limit)
+
+
+def news_of_records(t: NewsTables, ids: DataFrame, limit: int) -> DataFrame:
+    """Most mentioned news of some records (distinct ``gkgrecordid``), one per title."""
     records = article_records(lookup_join(t.gkg, ids, "gkgrecordid", "left_semi"))
     joined = lookup_join(records, event_per_url(t), "sourceurl")
     per_title = distinct_on(
