@@ -30,15 +30,17 @@ def _check(feed: str) -> None:
         raise ValueError(f"unknown feed: {feed}")
 
 
-def read_raw(spark: SparkSession, paths: str | list[str], feed: str) -> DataFrame:
+def read_raw(
+    spark: SparkSession, paths: str | list[str], feed: str, files: str = CSV_FILES
+) -> DataFrame:
     """All raw positions as text and the name of the file, ``_file``.
 
     ``paths`` are files or folders; a folder is one read of its ``.csv`` files in
-    either case. Short records are filled up with NULL.
+    either case, or of other ``files``. Short records are filled up with NULL.
     """
     _check(feed)
     reader = spark.read.schema(raw_schema(feed)).options(**CSV_OPTIONS)
-    files = reader.option("pathGlobFilter", CSV_FILES).csv(paths)
+    files = reader.option("pathGlobFilter", files).csv(paths)
     return files.select("*", F.col("_metadata.file_name").alias("_file"))
 
 

@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from wirespark.operators.joins import lookup_join
 from wirespark.operators.keyed import distinct_on
 from wirespark.schemas import raw_schema
+from wirespark.session import written
 from wirespark.sources.feeds import CSV_FILES, CSV_OPTIONS, typed
+from wirespark.stores.keyed_log import KeyedLog
 
 BATCH = "batch"
 KEYS = {"export": "globaleventid", "gkg": "gkgrecordid"}
@@ -25,12 +26,11 @@ def stream_feed(
     return typed(reader.option("maxFilesPerTrigger", files_per_batch).csv(path), feed)
 
 
-def without_repeats(rows: DataFrame, stored: DataFrame | None, feed: str) -> DataFrame:
-    """First delivery of every id that is not stored yet, however old its stamp is.
+def first_deliveries(rows: DataFrame, feed: str) -> DataFrame:
+    """First delivery of every id within ``rows``, in column order.
 
-    Within ``rows`` the first in column order counts. Rows without an id are no repeats
-    of one another, and mentions have no key; both are passed on. Only the id column of
-    the stored rows is read.
+    Rows without an id are no repeats of one another, and mentions have no key; both are
+    passed on.
     """
     if feed not in KEYS:
         return rows
@@ -38,8 +38,17 @@ def without_repeats(rows: DataFrame, stored: DataFrame | None, feed: str) -> Dat
     # Rows without an id get a key of their own.
     alone = F.when(F.col(key).isNull(), F.monotonically_increasing_id())
     first = [F.asc_nulls_last(c) for c in rows.columns]
-    fresh = distinct_on(rows.withColumn("_alone", alone), [key, "_alone"], first).drop("_alone")
-    return fresh if stored is None else fresh.join(stored.select(key), key, "left_anti")
+    return distinct_on(rows.withColumn("_alone", alone), [key, "_alone"], first).drop("_alone")
+
+
+def without_repeats(rows: DataFrame, stored: DataFrame | None, feed: str) -> DataFrame:
+    """First delivery of every id that is not stored yet, however old its stamp is."""
+    fresh = first_deliveries(rows, feed)
+    return fresh if stored is None or feed not in KEYS else _unseen(fresh, stored, KEYS[feed])
+
+
+def _unseen(fresh: DataFrame, stored: DataFrame, key: str) -> DataFrame:
+    return lookup_join(fresh, stored.select(key).distinct(), key, "left_anti")
 
 
 def ingest(
@@ -53,17 +62,25 @@ def ingest(
 ) -> StreamingQuery:
     """Process all drops not seen yet and add their new records to the Parquet table ``out``.
 
-    Every batch has a folder of its own and is compared with the folders of earlier batches
-    only. A batch that is run again after a failure overwrites its folder, so nothing is
-    lost or stored twice. What was seen is the table itself, so there is no state to
-    outgrow memory and no late row is dropped. ``out`` belongs to ``checkpoint``: a new
-    checkpoint numbers its batches anew and needs a new table.
+    Every batch has a folder of its own and is compared with the ids of earlier batches
+    only, kept in ``<out>_ids`` (see ``stores.keyed_log``): it reads those that its own ids can be
+    among and none of the stored rows. A batch that is run again after a failure overwrites its
+    folders, so nothing is lost or stored twice. No late row is dropped, however old its stamp is.
+    ``out`` and its ids belong to ``checkpoint``: a new checkpoint numbers its batches anew and
+    needs a new table.
     """
 
     def store(rows: DataFrame, batch: int) -> None:
-        stored = _stored(rows, out, batch)
-        new = without_repeats(rows, stored, feed).select(*rows.columns)
-        new.write.mode("overwrite").parquet(f"{out}/{BATCH}={batch}")
+        folder = f"{out}/{BATCH}={batch}"
+        if feed not in KEYS:
+            rows.write.mode("overwrite").parquet(folder)
+            return
+        key = KEYS[feed]
+        seen = KeyedLog(rows.sparkSession, ids_of(out), key, rows.select(key).schema)
+        fresh = written(first_deliveries(rows, feed), "batch")
+        new = _unseen(fresh, seen.among(fresh, batch), key) if batch else fresh
+        new.select(*rows.columns).write.mode("overwrite").parquet(folder)
+        seen.add(rows.sparkSession.read.schema(rows.schema).parquet(folder), batch)
 
     return (
         stream_feed(spark, drops, feed, files_per_batch=files_per_batch)
@@ -74,13 +91,6 @@ def ingest(
     )
 
 
-def _stored(rows: DataFrame, out: str, batch: int) -> DataFrame | None:
-    """Rows that batches before ``batch`` have stored; None if there is no table yet."""
-    schema = T.StructType([*rows.schema.fields, T.StructField(BATCH, T.LongType())])
-    try:
-        table = rows.sparkSession.read.schema(schema).parquet(out)
-    except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
-            return None
-        raise
-    return table.filter(F.col(BATCH) < batch)
+def ids_of(out: str) -> str:
+    """Folder of the ids of a stored table."""
+    return f"{out.rstrip('/')}_ids"
