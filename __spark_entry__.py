@@ -17,10 +17,21 @@ from pyspark.sql import functions as F  # noqa: E402
 
 import oracle  # noqa: E402
 from wirespark.functions import cards, dates, text  # noqa: E402
-from wirespark.operators import fulltext, joins, knn, tfidf  # noqa: E402
-from wirespark.plans import detail, etl, news, search, stats  # noqa: E402
+from wirespark.operators import fulltext, joins, knn, tfidf, vector_index  # noqa: E402
+from wirespark.plans import (  # noqa: E402
+    detail,
+    etl,
+    increments,
+    lookup,
+    news,
+    ranking,
+    saved,
+    search,
+    sketches,
+    stats,
+)
 from wirespark.schemas import BASE_TABLES, NewsTables, table_schema  # noqa: E402
-from wirespark.session import new_folder, settled  # noqa: E402
+from wirespark.session import new_folder, settled, written  # noqa: E402
 from wirespark.sources import feeds, manifest  # noqa: E402
 from wirespark.sources.derived import derived_tables, read_table  # noqa: E402
 from wirespark.streaming.ingest import BATCH, ingest  # noqa: E402
@@ -111,7 +122,7 @@ def _texts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _texts(spark, sf_dir)
-    return tfidf.term_documents(docs, "doc_id", F.col("text"))
+    return written(tfidf.term_documents(docs, "doc_id", F.col("text")), "terms")
 
 
 def _tfidf_vocab(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -145,6 +156,33 @@ def _knn(vectors: DataFrame) -> DataFrame:
     )
 
 
+def _knn_cells(exact: bool):
+    """The nearest vectors of every vector whose id is divisible by 100, by a saved index."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        folder = new_folder(spark, "vectors")
+        vectors = read_table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+        vector_index.write_index(vectors, "vec_id", "embedding", folder)
+        queries = vectors.filter(F.col("vec_id") % 100 == 0)
+        return vector_index.neighbours(
+            spark, folder, queries, "vec_id", "embedding", exact=exact
+        )
+
+    return run
+
+
+def _saved_text(query: Callable[[NewsTables, str], DataFrame]):
+    """A query over saved text indexes of the relations."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        folder = new_folder(spark, "texts")
+        t = _relations(spark, sf_dir)
+        saved.write_text_indexes(t, folder)
+        return query(t, folder)
+
+    return run
+
+
 def _interval_manifest(events: DataFrame) -> DataFrame:
     quarter = F.floor(F.extract(F.lit("MINUTE"), "_t") / 15).cast("int") * 15
     hour = F.date_trunc("HOUR", "_t").cast("timestamp_ntz")
@@ -188,6 +226,52 @@ def _etl_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stats.table_profile(etl.transform(spark, landed, clean))
 
 
+DROPS = 3
+
+
+def _in_drops(t: NewsTables) -> list[dict[str, DataFrame]]:
+    """The rows of the base tables as drops that follow one another, by a hash of the row."""
+
+    def drop(df: DataFrame, number: int) -> DataFrame:
+        return df.filter(F.pmod(F.xxhash64(*df.columns), F.lit(DROPS)) == number)
+
+    return [
+        {table: drop(getattr(t, table), number) for table in BASE_TABLES}
+        for number in range(DROPS)
+    ]
+
+
+def _top_news_maintained(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ranking after all rows came in drops, each of which updated it."""
+    t = _relations(spark, sf_dir)
+    kept = ranking.Ranking(spark, new_folder(spark, "ranking"))
+    for number, drop in enumerate(_in_drops(t)):
+        kept.update(number, **drop)
+    return kept.top_news(DROPS, t.gkg)
+
+
+def _etl_increments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All base tables landed drop by drop, each transformed by a run of its own."""
+    landed, clean = new_folder(spark, "landed"), new_folder(spark, "clean")
+    for number, drop in enumerate(_in_drops(_relations(spark, sf_dir))):
+        for table, feed in BASE_TABLES.items():
+            feeds.write_feed(drop[table], f"{landed}/{feed}/{number}", feed)
+        increments.transform_new(spark, landed, clean)
+    return stats.table_profile(increments.read_version(spark, clean))
+
+
+def _detail_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = new_folder(spark, "lookup")
+    lookup.write_lookup(_relations(spark, sf_dir), folder)
+    return lookup.detail_of(spark, folder, P.NEWS_ID)
+
+
+def _distinct_sketched(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = new_folder(spark, "sketches")
+    sketches.write_sketches(_relations(spark, sf_dir), folder)
+    return sketches.distinct_counts(spark, folder)
+
+
 def _stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All events dropped twice; each drop is ingested by a run of its own, repeats go."""
     drops, out, state = [new_folder(spark, name) for name in ("drops", "ingested", "state")]
@@ -244,6 +328,7 @@ def news_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "explode_names": _news(lambda t: etl.child_names(t.gkg)),
         "article_cards": _news(_article_cards),
         "top_news": _news(news.top_news),
+        "top_news_maintained": _top_news_maintained,
         "top_news_total": _news(lambda t: stats.total(news.top_news(t))),
         "featured_news": _news(partial(news.featured_news, limit=P.FEATURED)),
         "top_minus_featured": _news(_without_featured),
@@ -253,6 +338,13 @@ def news_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         ),
         "contains_search": _news(lambda t: news.contains_search(articles(t), P.CONTAINS)),
         "source_filter": _news(lambda t: news.source_filter(articles(t), P.SOURCE)),
+        "theme_filter_saved": _saved_text(lambda t, f: saved.filter_news(t, f, P.THEME)),
+        "contains_search_saved": _saved_text(
+            lambda t, f: saved.contains_search(t.gkg.sparkSession, f, P.CONTAINS)
+        ),
+        "source_filter_saved": _saved_text(
+            lambda t, f: saved.source_filter(t.gkg.sparkSession, f, P.SOURCE)
+        ),
         "recent_news": _news(news.recent_news),
         "latest_news": _news(partial(news.latest_news, as_of=P.AS_OF)),
         "facet_themes": _news(stats.facet_themes),
@@ -268,6 +360,7 @@ def news_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         ),
         "news_detail": _news(detail.news_detail),
         "news_detail_one": _news(partial(detail.news_detail, news_id=P.NEWS_ID)),
+        "news_detail_lookup": _detail_lookup,
         "news_detail_by_record_id": _news(partial(detail.news_detail, link="id")),
         "orphan_mentions": _news(
             lambda t: joins.orphans(t.mentions, t.events, "globaleventid", "globaleventid")
@@ -287,6 +380,8 @@ def news_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "search_tfidf": _news(partial(search.search_tfidf, query=P.NEWS_QUERY)),
         "search_tfidf_saved": _saved_search,
         "knn_cosine": _table("embeddings", _knn),
+        "knn_cells": _knn_cells(exact=False),
+        "knn_cells_exact": _knn_cells(exact=True),
         "interval_manifest": _table("events", _interval_manifest),
         "round_quarter_hour": _table("events", _round_quarter_hour),
         "format_elapsed": _table("events", _format_elapsed),
@@ -294,6 +389,8 @@ def news_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "feed_mentions": _feed_roundtrip("mentions", "mentions"),
         "feed_gkg": _feed_roundtrip("gkg", "gkg"),
         "etl_profile": _etl_profile,
+        "etl_increments": _etl_increments,
+        "distinct_sketched": _distinct_sketched,
         "stream_ingest": _stream_ingest,
     }
 

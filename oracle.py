@@ -422,7 +422,7 @@ FROM rows JOIN found USING (row_id)"""
 
     search_terms = ", ".join(f"'{t}'" for t in p.SEARCH_TERMS)
     quarter = "make_timestamp(CAST(floor((epoch(ts) + 450) / 900) * 900000000 AS BIGINT))"
-    return {
+    statements = {
         "page_titles": """SELECT page_id,
   CASE WHEN regexp_matches(html, '(?s)<title>(.*?)</title>')
     THEN regexp_extract(html, '(?s)<title>(.*?)</title>', 1) END AS title,
@@ -534,6 +534,16 @@ WHERE term IN ({search_terms}) GROUP BY doc_id""",
     FROM embeddings, range(1, 65) r(i) GROUP BY i))
 SELECT vec_id, round(list_cosine_similarity(CAST(embedding AS DOUBLE[]), v), 6) AS similarity
 FROM embeddings, target ORDER BY similarity DESC, vec_id LIMIT 20""",
+        "knn_cells_exact": """WITH usable AS (
+  SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
+  WHERE len(list_filter(embedding, lambda x: x <> 0)) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0)
+SELECT query, vec_id, similarity FROM (
+  SELECT q.vec_id AS query, x.vec_id, round(list_cosine_similarity(q.v, x.v), 6) AS similarity,
+    row_number() OVER (PARTITION BY q.vec_id
+      ORDER BY round(list_cosine_similarity(q.v, x.v), 6) DESC, x.vec_id) AS place
+  FROM usable q, usable x WHERE q.vec_id % 100 = 0)
+WHERE place <= 20""",
         "interval_manifest": """WITH span AS (
   SELECT time_bucket(INTERVAL 15 MINUTE, min(ts)) AS low,
     time_bucket(INTERVAL 15 MINUTE, max(ts)) AS high FROM events),
@@ -558,3 +568,9 @@ FROM (SELECT event_id, CAST(floor(value * 100) AS BIGINT) AS s FROM events)""",
   nullif(persons, '') AS persons, organizations,
   sharingimage, CAST(NULL AS VARCHAR) AS relatedimages, allnames, extras FROM gk""",
     }
+    for name in ("theme_filter", "contains_search", "source_filter"):
+        statements[f"{name}_saved"] = statements[name]
+    statements["top_news_maintained"] = statements["top_news"]
+    statements["news_detail_lookup"] = statements["news_detail_one"]
+    statements["etl_increments"] = statements["etl_profile"]
+    return statements

@@ -292,8 +292,10 @@ def test_saved_search_reads_its_terms_only(spark):
     base, out = land(folder()), str(folder() / "index")
     t = etl.landed_tables(spark, str(base))
     build = search.refresh_if_stale(t, out, datetime.datetime(2024, 1, 5, 12))
+    found = search.best_saved(spark, build, [("two", 0.6), ("lines", 0.8)], 2)
+    plan = found._jdf.queryExecution().toString()
+    assert "In(term, [" in plan and "GreaterThanOrEqual(block," in plan
     plan = search.search_saved(spark, build, "two lines", 5)._jdf.queryExecution().toString()
-    assert "In(term, [" in plan
     assert "combined_text" not in plan
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import datetime, timedelta
 
 from pyspark.errors import AnalysisException
@@ -16,7 +17,7 @@ from wirespark.functions.text import (
     search_tokens,
     tag_text,
 )
-from wirespark.operators import tfidf
+from wirespark.operators import postings, tfidf
 from wirespark.operators.expand import expanded, first_children
 from wirespark.operators.fulltext import (
     inverted_index,
@@ -39,7 +40,8 @@ from wirespark.plans.news import (
     to_article,
 )
 from wirespark.schemas import NewsTables
-from wirespark.session import settled
+from wirespark.session import settled, written
+from wirespark.stores.keyed_log import one_of
 
 CORPUS_ROWS = 10_000
 INDEX_AGE = timedelta(hours=1)
@@ -81,7 +83,7 @@ def search_news(t: NewsTables, query: str, limit: int = 35) -> DataFrame:
     """
     terms = query_terms(t.gkg.sparkSession, query)
     text = record_text(F.coalesce(tag_text(F.col("extras")), F.lit(DEFAULT_TITLE)))
-    return _best_articles(t, article_records(rank_rows(t.gkg, text, terms), "rank"), limit)
+    return best_articles(t, article_records(rank_rows(t.gkg, text, terms), "rank"), limit)
 
 
 def search_saved_news(t: NewsTables, folder: str, query: str, limit: int = 35) -> DataFrame:
@@ -94,10 +96,10 @@ def search_saved_news(t: NewsTables, folder: str, query: str, limit: int = 35) -
     index = spark.read.parquet(f"{folder}/search_terms")
     ranks = rank_index(index, "gkgrecordid", query_terms(spark, query))
     docs = article_records(spark.read.parquet(f"{folder}/search_docs"))
-    return _best_articles(t, docs.join(ranks, "gkgrecordid"), limit)
+    return best_articles(t, docs.join(ranks, "gkgrecordid"), limit)
 
 
-def _best_articles(t: NewsTables, records: DataFrame, limit: int) -> DataFrame:
+def best_articles(t: NewsTables, records: DataFrame, limit: int) -> DataFrame:
     joined = lookup_join(records, event_per_url(t), "sourceurl")
     per_title = distinct_on(
         joined,
@@ -172,14 +174,19 @@ def search_corpus(t: NewsTables, limit: int = CORPUS_ROWS, *, link: str = "url")
 
 
 def corpus_documents(
-    events: DataFrame, gkg: DataFrame, *, link: str = "url", tag: str = "PAGE_TITLE"
+    events: DataFrame,
+    gkg: DataFrame,
+    *,
+    link: str = "url",
+    tag: str = "PAGE_TITLE",
+    keep: Sequence[str] = (),
 ) -> DataFrame:
     """One search document per event and article record, events without a record included.
 
     The ``document`` key holds both ids; an event without a record has a NULL record id.
     Rows of one record id and link are deliveries of the same record, the first in column
     order counts. The text joins the title, the distinct items of each list in sorted order
-    and both actors.
+    and both actors. Event columns in ``keep`` are kept.
     """
     if link not in LINKS:
         raise ValueError(f"unknown link: {link}")
@@ -207,6 +214,7 @@ def corpus_documents(
         "actor1name",
         "actor2name",
         "nummentions",
+        *keep,
         F.col(event_key).alias("link"),
     )
     text = joined_text(*[F.col(c) for c in ("title", "items", "actor1name", "actor2name")])
@@ -236,7 +244,8 @@ def search_tfidf(
     if not query or not query.strip():
         raise ValueError("search text is required")
     rows = corpus_documents(t.events, t.gkg, link=link, tag=tag)
-    documents = settled(tfidf.term_documents(rows, DOCUMENT, F.col("combined_text")))
+    terms = tfidf.term_documents(rows, DOCUMENT, F.col("combined_text"))
+    documents = written(terms, "terms")
     vocab = tfidf.vocabulary(documents, DOCUMENT, max_features=max_features)
     found = settled(
         tfidf.nearest(
@@ -249,7 +258,7 @@ def search_tfidf(
     links = events.select(F.col(event_key).alias(record_key)).distinct()
     gkg = t.gkg.join(small(links, limit), record_key, "left_semi")
     mentions = t.mentions.join(small(ids, limit), "globaleventid", "left_semi")
-    return _results(
+    return results(
         _with_confidence(corpus_documents(events, gkg, link=link, tag=tag), mentions),
         found,
         limit,
@@ -260,7 +269,7 @@ def _with_confidence(rows: DataFrame, mentions: DataFrame) -> DataFrame:
     return rows.join(strongest_confidence(mentions), "globaleventid", "left")
 
 
-def _results(rows: DataFrame, found: DataFrame, limit: int) -> DataFrame:
+def results(rows: DataFrame, found: DataFrame, limit: int) -> DataFrame:
     return rows.join(small(found, limit), DOCUMENT).select(
         F.col("globaleventid").alias("id"),
         F.when(F.col("title") != "", F.col("title"))
@@ -289,8 +298,9 @@ def refresh_if_stale(
 ) -> str:
     """Folder of a saved search index no older than ``max_age``; rebuilds it if needed.
 
-    The index holds result rows, vocabulary and term weights of all events and records;
-    the weights are laid out by term, so a query reads the row groups of its terms only.
+    The index holds result rows, laid out by document, the vocabulary, and weighted terms of all
+    events and records (``operators.postings``, or plain weights laid out by term where the
+    vocabulary has no limit).
     Each build goes to a folder of its own and is listed in ``path/builds`` only
     once complete, so a reader never sees a partial index and a failed build is
     simply not listed.
@@ -300,32 +310,65 @@ def refresh_if_stale(
     if built is not None and as_of - built <= max_age:
         return _build_folder(path, built)
     folder = _build_folder(path, as_of)
-    rows = settled(_with_confidence(corpus_documents(t.events, t.gkg, link=link), t.mentions))
-    documents = settled(tfidf.term_documents(rows, DOCUMENT, F.col("combined_text")))
-    rows.drop("combined_text").write.mode("overwrite").parquet(f"{folder}/rows")
+    rows = _with_confidence(corpus_documents(t.events, t.gkg, link=link), t.mentions)
+    rows = written(rows, "rows")
+    by_key = rows.drop("combined_text").repartitionByRange(DOCUMENT)
+    by_key.sortWithinPartitions(DOCUMENT).write.mode("overwrite").parquet(f"{folder}/rows")
+    terms = tfidf.term_documents(rows, DOCUMENT, F.col("combined_text"))
+    documents = written(terms, "terms")
     vocab = tfidf.vocabulary(documents, DOCUMENT, max_features=max_features)
     vocab.write.mode("overwrite").parquet(f"{folder}/vocabulary")
     vocab = spark.read.parquet(f"{folder}/vocabulary")
-    weighted = tfidf.weights(documents, DOCUMENT, vocab, max_features)
-    by_term = weighted.repartitionByRange("term", DOCUMENT).sortWithinPartitions("term")
-    by_term.write.mode("overwrite").parquet(f"{folder}/weights")
+    if tfidf.fits_tasks(max_features):
+        weighted = tfidf.weighted_rows(documents, DOCUMENT, vocab)
+        postings.write_postings(weighted, DOCUMENT, f"{folder}/index")
+    else:
+        weighted = tfidf.weights(documents, DOCUMENT, vocab, max_features)
+        by_term = weighted.repartitionByRange("term", DOCUMENT).sortWithinPartitions("term")
+        by_term.write.mode("overwrite").parquet(f"{folder}/weights")
     build = spark.createDataFrame([(as_of,)], "built_at timestamp_ntz")
     build.write.mode("append").parquet(f"{path}/builds")
     return folder
 
 
 def search_saved(spark: SparkSession, folder: str, query: str, limit: int = 10) -> DataFrame:
-    """``search_tfidf`` on a saved index, without reading or tokenising any text."""
+    """``search_tfidf`` on a saved index, without reading or tokenising any text.
+
+    Reads the postings of blocks that can reach the result, and the result rows of the
+    documents found. Materialises these documents' keys.
+    """
     if not query or not query.strip():
         raise ValueError("search text is required")
-    rows, vocab, weighted = [
-        spark.read.parquet(f"{folder}/{name}") for name in ("rows", "vocabulary", "weights")
-    ]
+    rows = spark.read.parquet(f"{folder}/rows")
+    vocab = spark.read.parquet(f"{folder}/vocabulary")
     terms = tfidf.query_terms(spark, query.strip())
     asked = tfidf.query_weights(vocab.filter(F.col("term").isin(terms)), query.strip())
-    hits = weighted.filter(F.col("term").isin(terms))
-    found = tfidf.nearest_by_weights(hits, rows, DOCUMENT, asked, limit, len(terms))
-    return _results(rows, found, limit)
+    asked = [(r["term"], r["query_weight"]) for r in asked.collect()]
+    found = best_saved(spark, folder, asked, limit)
+    found = settled(found)
+    ids = [r["id"] for r in found.select(F.col(f"{DOCUMENT}.globaleventid").alias("id")).collect()]
+    return results(rows.filter(one_of(F.col("globaleventid"), ids)), found, limit)
+
+
+def best_saved(
+    spark: SparkSession, folder: str, asked: list[tuple[str, float]], limit: int
+) -> DataFrame:
+    """``(document, similarity)`` of the best documents of a saved index."""
+    index = f"{folder}/index"
+    try:
+        first_keys = spark.read.parquet(f"{index}/first_keys")
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        weighted = spark.read.parquet(f"{folder}/weights")
+        hits = weighted.filter(F.col("term").isin([term for term, _ in asked]))
+        model = spark.createDataFrame(asked, "term string, query_weight double")
+        rows = spark.read.parquet(f"{folder}/rows")
+        return tfidf.nearest_by_weights(hits, rows, DOCUMENT, model, limit, len(asked))
+    found = postings.best_documents(spark, index, DOCUMENT, asked, limit)
+    if 2 * limit > postings.FIRST_KEYS:
+        first_keys = spark.read.parquet(f"{folder}/rows").select(DOCUMENT)
+    return postings.filled_up(found, first_keys, DOCUMENT, limit)
 
 
 def _build_folder(path: str, built: datetime) -> str:
