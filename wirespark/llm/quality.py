@@ -7,7 +7,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wirespark.llm.common import numbered, split_words, utf8_bytes
@@ -51,8 +51,9 @@ def longest_repeats(words: np.ndarray, docs: np.ndarray) -> np.ndarray:
     order = np.lexsort((words, docs))
     first = np.ones(n, bool)
     first[1:] = (words[order][1:] != words[order][:-1]) | (docs[order][1:] != docs[order][:-1])
-    rank = np.empty(n, np.int64)
-    rank[order] = np.maximum.accumulate(np.where(first, np.arange(n), 0))
+    # Ranks of 32 bits: all rounds are kept, and a text may have very many words.
+    rank = np.empty(n, np.int32)
+    rank[order] = np.maximum.accumulate(np.where(first, np.arange(n, dtype=np.int32), 0))
     rounds, width = [rank.copy()], 1
     while True:
         size = np.bincount(rank, minlength=n)
@@ -140,50 +141,49 @@ def _repeated_lines(texts: pa.LargeStringArray) -> np.ndarray:
     return total - unlike
 
 
-def _measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+_NAMES = [x.split()[0] for x in _MEASURES.split(", ")]
+
+
+def _measure(texts: pa.LargeStringArray) -> dict[str, np.ndarray]:
+    """The measures of some texts."""
     symbol = np.zeros(256, np.uint8)
     symbol[list(SYMBOLS.encode())] = 1
+    bounds, words = split_words(texts)
+    chars = np.concatenate([[0], np.cumsum(pc.utf8_length(words).to_numpy())])
+    data, offsets = utf8_bytes(texts)
+    marks = np.concatenate([[0], np.cumsum(symbol[data], dtype=np.int64)])
+    repeated, inside, longest = _repetition(bounds, words)
+    columns = [
+        np.diff(bounds),
+        np.diff(chars[bounds]),
+        np.diff(marks[offsets]),
+        _repeated_lines(texts),
+        repeated,
+        inside,
+        longest,
+    ]
+    return dict(zip(_NAMES, (x.astype(np.int64) for x in columns), strict=True))
+
+
+def _measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for begin, end, texts in blocks(batch.column("text")):
-            bounds, words = split_words(texts)
-            chars = np.concatenate([[0], np.cumsum(pc.utf8_length(words).to_numpy())])
-            data, offsets = utf8_bytes(texts)
-            marks = np.concatenate([[0], np.cumsum(symbol[data], dtype=np.int64)])
-            repeated, inside, longest = _repetition(bounds, words)
-            columns = [
-                np.diff(bounds),
-                np.diff(chars[bounds]),
-                np.diff(marks[offsets]),
-                _repeated_lines(texts),
-                repeated,
-                inside,
-                longest,
-            ]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column("row").slice(begin, end - begin),
-                    *[pa.array(x.astype(np.int64)) for x in columns],
-                ],
-                names=["row", *[x.split()[0] for x in _MEASURES.split(", ")]],
-            )
-
-
-def _judged(
-    docs: DataFrame, row: Column, max_covered: float, max_longest: int, max_symbols: float
-) -> DataFrame:
-    """``row`` of each document with its measures and verdicts."""
-    rows = docs.select(row.alias("row"), "text")
-    schema = f"row {rows.schema['row'].dataType.simpleString()}, {_MEASURES}"
-    measured = rows.mapInArrow(_measured, schema)
-    c = F.col
-    failed = (c("n_words") < MIN_WORDS) | (
-        c("n_repeat_words") * 100 > c("n_words") * round(100 * MAX_REPEATED)
+            columns = map(pa.array, _measure(texts).values())
+            ids = batch.column("doc_id").slice(begin, end - begin)
+            yield pa.RecordBatch.from_arrays([ids, *columns], names=["doc_id", *_NAMES])
+
+
+def _verdicts(measures, max_covered: float, max_longest: int, max_symbols: float):
+    """Whether the base rule fails, and whether the document stays; for columns or arrays."""
+    m = measures
+    failed = (m["n_words"] < MIN_WORDS) | (
+        m["n_repeat_words"] * 100 > m["n_words"] * round(100 * MAX_REPEATED)
     )
-    fine = (c("n_covered_words") <= c("n_words") * max_covered) & (
-        c("longest_repeat") <= max_longest
+    fine = (m["n_covered_words"] <= m["n_words"] * max_covered) & (
+        m["longest_repeat"] <= max_longest
     )
-    fine &= c("n_symbols") <= c("n_words") * max_symbols
-    return measured.withColumn("base_failed", failed).withColumn("kept", ~failed & fine)
+    fine &= m["n_symbols"] <= m["n_words"] * max_symbols
+    return failed, ~failed & fine
 
 
 def quality(
@@ -209,9 +209,11 @@ def quality(
     with a word, equal to an earlier line), n_repeat_words, n_covered_words, longest_repeat,
     base_failed, kept.
     """
-    doc_id = F.col("doc_id").cast("bigint")
-    judged = _judged(docs, doc_id, max_covered, max_longest, max_symbols)
-    return judged.withColumnRenamed("row", "doc_id")
+    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
+    measured = rows.mapInArrow(_measured, f"doc_id bigint, {_MEASURES}")
+    columns = {name: F.col(name) for name in _NAMES}
+    failed, kept = _verdicts(columns, max_covered, max_longest, max_symbols)
+    return measured.withColumn("base_failed", failed).withColumn("kept", kept)
 
 
 def good_documents(
@@ -220,7 +222,16 @@ def good_documents(
     max_longest: int = MAX_LONGEST,
     max_symbols: float = MAX_SYMBOLS,
 ) -> DataFrame:
-    """The documents that ``quality`` keeps, with all their columns and without a shuffle."""
-    row = F.struct(*docs.columns)
-    judged = _judged(docs, row, max_covered, max_longest, max_symbols)
-    return judged.filter("kept").select("row.*")
+    """The documents that ``quality`` keeps, with all their columns and without a shuffle.
+
+    Each row goes to the worker once, and comes back only if it stays.
+    """
+
+    def good(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            text = batch.column(batch.schema.get_field_index("text"))
+            for begin, end, texts in blocks(text):
+                _, kept = _verdicts(_measure(texts), max_covered, max_longest, max_symbols)
+                yield batch.slice(begin, end - begin).filter(pa.array(kept))
+
+    return docs.mapInArrow(good, docs.schema)
