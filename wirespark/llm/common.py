@@ -27,6 +27,18 @@ def stored(df: DataFrame, name: str, options: dict[str, str] | None = None) -> D
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def carried(docs: DataFrame) -> Column:
+    """All columns of a row as one, ``given``, so that no name clashes with an operator's own."""
+    names = ["`" + name.replace("`", "``") + "`" for name in docs.columns]
+    return F.struct(*map(F.col, names)).alias("given")
+
+
+def restored(names: list[str], other: dict[str, Column] | None = None) -> list[Column]:
+    """The columns of a ``carried`` row, some of them replaced or added."""
+    other = other or {}
+    return [other.get(n, F.col("given").getField(n)).alias(n) for n in names]
+
+
 def word_count(text: Column) -> Column:
     """Number of words of a text; 0 for null."""
     return F.coalesce(F.regexp_count(text, F.lit(WORD)).cast("bigint"), F.lit(0).cast("bigint"))

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wirespark.llm.common import stored
+from wirespark.llm.common import carried, restored, stored
+from wirespark.operators.joins import lookup_join
 
 #: Leading tokens of the tree, segments of the rest of which one may vary, fewest tokens of a
 #: line that is judged and of one that is generalised, and documents that make a template recur.
@@ -15,6 +16,7 @@ MIN_SAME_DOCS = 2
 #: Tokens without a digit that a template needs (more than half of the line's as well).
 MIN_CONSTANT = 3
 FIELD = "<*>"
+DROPPED = "dropped_lines"
 
 _BLANKS = "[\\x20\\x09-\\x0D]+"
 _DIGITS = "[^\\x20\\x09-\\x0D0-9]*+[0-9][^\\x20\\x09-\\x0D]*+"
@@ -77,21 +79,21 @@ def recurring_lines(
 
     Only documents that lose a line are listed.
     """
-    rows = docs.select(
+    # The hash has a select of its own: beside the explode it would be computed for every line.
+    hashed = docs.select(
         F.xxhash64("doc_id", "text").alias("row"),
         F.col("doc_id").cast("bigint").alias("doc_id"),
-        F.posexplode(F.split("text", "\n")).alias("line_no", "line"),
+        F.split("text", "\n").alias("lines"),
     )
-    parsed = rows.withColumn("found", tokens(F.col("line"))).filter(F.size("found") >= MIN_TOKENS)
-    fits = stored(
-        parsed.select(
-            "row",
-            "doc_id",
-            "line_no",
-            F.explode(_templates(F.col("found"), F.col("line"), min_constant)).alias("template"),
-        ),
-        "templates",
+    lines = hashed.select("row", "doc_id", F.posexplode_outer("lines").alias("line_no", "line"))
+    parsed = lines.select("row", "doc_id", "line_no", "line", tokens(F.col("line")).alias("found"))
+    fitting = F.when(
+        F.size("found") >= MIN_TOKENS, _templates(F.col("found"), F.col("line"), min_constant)
     )
+    # The outer form, filtered afterwards: a filter on the tokens, or one that Spark infers for
+    # the plain form, would move below them and have each line parsed twice.
+    listed = parsed.select("row", "doc_id", "line_no", F.explode_outer(fitting).alias("template"))
+    fits = stored(listed.filter(F.col("template").isNotNull()), "templates")
     # Once per document, then once per template: both aggregate in each task before the shuffle.
     met = fits.groupBy("template", "row").agg(F.min("doc_id").alias("doc_id"))
     counted = met.groupBy("template").agg(
@@ -102,7 +104,7 @@ def recurring_lines(
     recurring = counted.filter(F.col("docs") >= enough).select(
         "template", F.col("first.row").alias("first")
     )
-    dropped = fits.join(recurring, "template").filter("row != first")
+    dropped = lookup_join(fits, recurring, "template").filter("row != first")
     return dropped.groupBy("row").agg(F.collect_set("line_no").alias("dropped"))
 
 
@@ -127,13 +129,14 @@ def without_recurring_lines(
     order of lines is kept, an empty table gives an empty result.
     """
     drops = stored(recurring_lines(docs, min_docs, min_constant), "dropped-lines")
-    keyed = docs.withColumn("_row", F.xxhash64("doc_id", "text"))
-    named = drops.select(F.col("row").alias("_row"), F.array_sort("dropped").alias("_dropped"))
-    joined = keyed.join(named.hint("shuffle_hash"), "_row", "left")
+    # The document travels as one column, whatever its columns are called.
+    keyed = docs.select(F.xxhash64("doc_id", "text").alias("row"), "text", carried(docs))
+    named = drops.select("row", F.array_sort("dropped").alias("dropped"))
+    joined = keyed.join(named.hint("shuffle_hash"), "row", "left")
     lines = F.split("text", "\n")
     places = F.sequence(F.lit(0), F.size(lines) - 1)
-    kept = F.transform(F.array_except(places, F.col("_dropped")), lambda i: lines[i])
-    text = F.when(F.col("_dropped").isNull(), F.col("text")).otherwise(F.array_join(kept, "\n"))
-    return joined.withColumns(
-        {"text": text, "dropped_lines": F.coalesce("_dropped", F.array().cast("array<int>"))}
-    ).drop("_row", "_dropped")
+    kept = F.transform(F.array_except(places, F.col("dropped")), lambda i: lines[i])
+    text = F.when(F.col("dropped").isNull(), F.col("text")).otherwise(F.array_join(kept, "\n"))
+    found = {"text": text, DROPPED: F.coalesce("dropped", F.array().cast("array<int>"))}
+    names = [*docs.columns, *([] if DROPPED in docs.columns else [DROPPED])]
+    return joined.select(restored(names, found))
