@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wirespark.llm.common import stored
+from wirespark.operators.joins import lookup_join
 
 
 def _least_neighbour(links: DataFrame) -> DataFrame:
@@ -15,7 +16,7 @@ def _least_neighbour(links: DataFrame) -> DataFrame:
     is summed up per task first, and its rows in the join can be split.
     """
     least = links.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("least"))
-    return links.join(least, "u")
+    return lookup_join(links, least, "u")
 
 
 def _large_star(links: DataFrame) -> DataFrame:

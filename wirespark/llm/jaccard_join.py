@@ -12,9 +12,19 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from wirespark.llm.common import lower_ascii, mixed, numbered, split_words, spans, stored
+from wirespark.llm.common import (
+    carried,
+    lower_ascii,
+    mixed,
+    numbered,
+    restored,
+    spans,
+    split_words,
+    stored,
+)
 from wirespark.llm.components import connected
 from wirespark.llm.token_ids import blocks
+from wirespark.operators.joins import lookup_join
 
 #: Words of a shingle, and the similarity as a fraction.
 WORDS = 4
@@ -23,6 +33,8 @@ SIMILAR = (85, 100)
 GROUPS = 256
 #: Points of a page, and of a group of points that one task compares.
 PAGE, BLOCK = 32, 256
+#: Pairs of points compared at once.
+PAIRS = 8_000
 
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _SETS = "doc_id bigint, row bigint, n_shingles bigint, set_id bigint, left_0 int, left_1 int"
@@ -313,8 +325,8 @@ def _page_pairs(frame: pd.DataFrame, starts: np.ndarray, ratio: tuple[int, int])
     shared = np.concatenate(
         [np.zeros(0, np.int64)]
         + [
-            np.minimum(points[one[i : i + 50_000]], points[two[i : i + 50_000]]).sum(axis=1)
-            for i in range(0, len(one), 50_000)
+            np.minimum(points[one[i : i + PAIRS]], points[two[i : i + PAIRS]]).sum(axis=1)
+            for i in range(0, len(one), PAIRS)
         ]
     )
     enough = shared * (num + den) >= num * (counts[one] + counts[two])
@@ -522,7 +534,7 @@ def near_duplicate_rows(
         {"component_id": F.col("doc_id"), "root": F.lit(None).cast("bigint")}
     )
     columns = ["doc_id", "row", "n_shingles", "component_id", "root"]
-    return named.join(least, "root").select(columns).union(alone.select(columns))
+    return lookup_join(named, least, "root").select(columns).union(alone.select(columns))
 
 
 def one_of_each(docs: DataFrame, classes: DataFrame) -> DataFrame:
@@ -535,10 +547,11 @@ def one_of_each(docs: DataFrame, classes: DataFrame) -> DataFrame:
     order = F.struct(F.col("doc_id").isNull(), "doc_id", "row")
     linked = classes.filter("root IS NOT NULL").groupBy("root").agg(F.min(order).alias("first"))
     alone = classes.filter("root IS NULL").select("row").distinct()
-    first = linked.select(F.col("first.row").alias("_row")).union(alone)
-    joined = docs.withColumn("_row", _row()).join(first, "_row", "left_semi")
-    nth = F.row_number().over(Window.partitionBy("_row").orderBy("_row"))
-    return joined.withColumn("_nth", nth).filter("_nth = 1").select(*docs.columns)
+    first = linked.select("first.row").union(alone)
+    joined = docs.select(_row().alias("row"), carried(docs)).join(first, "row", "left_semi")
+    nth = F.row_number().over(Window.partitionBy("row").orderBy("row"))
+    once = joined.withColumn("nth", nth).filter("nth = 1")
+    return once.select(restored(docs.columns))
 
 
 def _tree_search(cells: DataFrame, points: DataFrame, ratio: tuple[int, int]) -> DataFrame:
