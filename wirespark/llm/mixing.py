@@ -7,7 +7,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from wirespark.llm.common import stored, word_count
+from wirespark.llm.common import carried, restored, stored, word_count
 
 #: Hexadecimal digits of the hash that one histogram level tells apart, and of the whole hash.
 LEVEL_DIGITS, HASH_DIGITS = 3, 15
@@ -84,8 +84,9 @@ def _source_order() -> Column:
 
 
 def _hash(salt: str) -> Column:
-    name = F.coalesce(F.col("doc_id").cast("bigint").cast("string"), F.lit(""))
-    return F.substring(F.md5(F.concat(F.lit(salt), name)), 1, HASH_DIGITS)
+    """Hash of a document's id, text and source: rows are taken together only if all agree."""
+    parts = F.xxhash64(F.col("doc_id").cast("bigint"), "text", "source").cast("string")
+    return F.substring(F.md5(F.concat(F.lit(salt), parts)), 1, HASH_DIGITS)
 
 
 def _sized(docs: DataFrame, salt: str) -> DataFrame:
@@ -159,8 +160,8 @@ def mixed_sources(
     The threshold comes from histograms, without sorting documents: words are summed by
     source and leading hash digits, the bucket in which the budget runs out is found, and only
     the documents of that bucket are summed again by further digits. The last bucket is one
-    hash value; it is taken if that comes nearer to the target. Documents with the same doc_id
-    share a hash and are taken together. An empty table gives an empty result.
+    hash value; it is taken if that comes nearer to the target. Rows that agree in doc_id, text
+    and source share a hash and are taken together. An empty table gives an empty result.
 
     Returns doc_id, size, source_size, target, taken (words, repeats counted), copies.
     """
@@ -190,9 +191,10 @@ def take_copies(
     doc_id and repeated rows are taken as any other. Rows keep all columns.
     """
     chosen = _thresholds(_sized(docs, salt), weights, share, most)
-    plan = chosen.select(F.struct(*chosen.columns).alias("_plan"))
-    joined = docs.join(plan, _source_order() == F.col("_plan.source_order"))
-    copies = _copies(_hash(salt), lambda name: F.col(f"_plan.{name}"))
-    repeated = joined.withColumn("_copies", copies).filter("_copies > 0")
-    repeated = repeated.withColumn("_time", F.explode(F.sequence(F.lit(1), F.col("_copies"))))
-    return repeated.select(*docs.columns)
+    plan = chosen.select(F.struct(*chosen.columns).alias("plan"))
+    rows = docs.select(_source_order().alias("order"), _hash(salt).alias("hash"), carried(docs))
+    joined = rows.join(plan, F.col("order") == F.col("plan.source_order"))
+    copies = _copies(F.col("hash"), lambda name: F.col(f"plan.{name}"))
+    taken = joined.withColumn("copies", copies).filter("copies > 0")
+    repeated = taken.select("given", F.explode(F.sequence(F.lit(1), F.col("copies"))))
+    return repeated.select(restored(docs.columns))
