@@ -27,6 +27,7 @@ from wirespark.plans import (  # noqa: E402
     ranking,
     saved,
     search,
+    segments,
     sketches,
     stats,
 )
@@ -122,7 +123,7 @@ def _texts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _texts(spark, sf_dir)
-    return written(tfidf.term_documents(docs, "doc_id", F.col("text")), "terms")
+    return written(tfidf.word_documents(docs, "doc_id", F.col("text")), "words")
 
 
 def _tfidf_vocab(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -260,6 +261,19 @@ def _etl_increments(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stats.table_profile(increments.read_version(spark, clean))
 
 
+def _segmented(query: Callable[[segments.SegmentedIndex, NewsTables], DataFrame]):
+    """A query over a search index to which all rows came in drops."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        t = _relations(spark, sf_dir)
+        index = segments.SegmentedIndex(spark, new_folder(spark, "segments"))
+        for number, drop in enumerate(_in_drops(t)):
+            index.refresh(number, **drop)
+        return query(index, t)
+
+    return run
+
+
 def _detail_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = new_folder(spark, "lookup")
     lookup.write_lookup(_relations(spark, sf_dir), folder)
@@ -379,6 +393,8 @@ def news_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "search_corpus_by_record_id": _news(partial(search.search_corpus, link="id")),
         "search_tfidf": _news(partial(search.search_tfidf, query=P.NEWS_QUERY)),
         "search_tfidf_saved": _saved_search,
+        "search_tfidf_segments": _segmented(lambda index, t: index.search(DROPS, P.NEWS_QUERY)),
+        "fts_search_segments": _segmented(lambda index, t: index.search_news(DROPS, t, P.NEWS)),
         "knn_cosine": _table("embeddings", _knn),
         "knn_cells": _knn_cells(exact=False),
         "knn_cells_exact": _knn_cells(exact=True),

@@ -571,6 +571,8 @@ FROM (SELECT event_id, CAST(floor(value * 100) AS BIGINT) AS s FROM events)""",
     for name in ("theme_filter", "contains_search", "source_filter"):
         statements[f"{name}_saved"] = statements[name]
     statements["top_news_maintained"] = statements["top_news"]
+    statements["search_tfidf_segments"] = statements["search_tfidf"]
+    statements["fts_search_segments"] = statements["fts_search"]
     statements["news_detail_lookup"] = statements["news_detail_one"]
     statements["etl_increments"] = statements["etl_profile"]
     return statements

@@ -95,8 +95,8 @@ def test_vocabulary_from_summaries(spark, kind, k, capacity):
 def test_summaries_bound_what_is_shuffled(spark, monkeypatch):
     monkeypatch.setattr(frequent, "GATHERED", 100)
     counts = adversarial("zipf")
-    rows = term_rows(spark, counts, 5).select(F.inline("terms"))
-    found = frequent.summaries(rows, "term", "tf", 50)
+    rows = term_rows(spark, counts, 5).select(F.inline("terms")).toDF("item", "n")
+    found = frequent.summaries(rows, lambda batch: [pa.Table.from_batches([batch])], 50)
     assert found.count() <= 5 * 51
     merged = {r.item: r.n for r in frequent.merged(found).collect()}
     error = merged.pop(None)
@@ -127,6 +127,23 @@ def indexed(spark, documents):
     return vocab, path
 
 
+def test_words_count_like_terms(spark, monkeypatch):
+    """Words, with their pairs formed in the task, give what counted terms give."""
+    monkeypatch.setattr(tfidf, "SLICE_WORDS", 64)
+    rng = random.Random(9)
+    texts = [" ".join(rng.choices("ab bc cd de ef fg".split(), k=rng.randrange(0, 40))) for _ in range(80)]
+    df = spark.createDataFrame([*enumerate(texts), (99, None)], "i int, x string").repartition(3)
+    both = [f(df, "i", F.col("x")) for f in (tfidf.term_documents, tfidf.word_documents)]
+    for features in (5, 40, None):
+        vocab = [tfidf.vocabulary(d, "i", max_features=features) for d in both]
+        assert sorted(map(tuple, vocab[0].collect())) == sorted(map(tuple, vocab[1].collect()))
+    vocab = tfidf.vocabulary(both[0], "i", max_features=30)
+    weights = [{(r.i, r.term): r.weight for r in tfidf.weights(d, "i", vocab).collect()} for d in both]
+    assert weights[0] == pytest.approx(weights[1])
+    found = [tfidf.nearest(d, "i", vocab, "ab bc", 12).collect() for d in both]
+    assert found[0] == found[1]
+
+
 def test_weights_in_the_row_equal_joined_weights(spark, documents, indexed):
     vocab, _ = indexed
     in_row = tfidf.weights(documents, "i", vocab, 200)

@@ -9,7 +9,18 @@ from pyspark.sql import functions as F
 from test_indexes import metric
 from test_news import make_rows
 from test_sources import export, folder, gkg, land
-from wirespark.plans import detail, etl, increments, lookup, news, ranking, sketches, stats
+from wirespark.plans import (
+    detail,
+    etl,
+    increments,
+    lookup,
+    news,
+    ranking,
+    search,
+    segments,
+    sketches,
+    stats,
+)
 from wirespark.schemas import NewsTables, table_schema
 from wirespark.session import new_folder
 from wirespark.sources import feeds
@@ -180,6 +191,36 @@ def test_ranking_follows_a_winner_to_another_url(spark):
     assert tops == [["1"], ["1"], ["2", "3"], ["2", "3"]]
 
 
+def test_segments_after_every_drop(spark):
+    """Three increments: new events of old URLs, first records of known events, replaced ones."""
+    t = relations(spark, make_rows(3))
+    drops = drops_of(t, 3)
+    index = segments.SegmentedIndex(spark, new_folder(spark, "segments"), buckets=2)
+    gathered = {"events": [], "mentions": [], "gkg": []}
+    for number, drop in enumerate(drops):
+        frames = {}
+        for name, rows in gathered.items():
+            new = drop.named()[name].collect()
+            rows += new
+            frames[name] = spark.createDataFrame(new, table_schema(name))
+        index.refresh(number, **frames)
+        whole = {n: spark.createDataFrame(v, table_schema(n)) for n, v in gathered.items()}
+        so_far = dataclasses.replace(t, **whole)
+        if number == 0:
+            continue
+        for query, limit in (("t1 story name", 10), ("absent", 3)):
+            found = index.search(number + 1, query, limit)
+            assert same(found, search.search_tfidf(so_far, query, limit))
+    # Full text: the last delivery of a record counts, so ids are made unique here.
+    once = t.gkg.dropDuplicates(["gkgrecordid"])
+    texts = segments.SegmentedIndex(spark, new_folder(spark, "segments"), buckets=2)
+    older = once.withColumn("extras", F.lit("<PAGE_TITLE>t9 older</PAGE_TITLE>"))
+    for number, rows in enumerate((older, once)):
+        texts._add_texts(number, rows)
+    found = texts.search_news(2, dataclasses.replace(t, gkg=once), "story older p1")
+    assert same(found, search.search_news(dataclasses.replace(t, gkg=once), "story older p1"))
+
+
 def test_snapshots(spark):
     path = new_folder(spark, "tables")
     kept = Snapshots(spark, path)

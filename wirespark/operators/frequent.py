@@ -10,7 +10,7 @@ a task are shuffled however many different items there are.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -38,27 +38,35 @@ def _added_up(tables: list[pa.Table]) -> pa.Table:
     return pa.table({"item": sums.column("item"), "n": sums.column("n_sum")})
 
 
-def summaries(rows: DataFrame, item: str, weight: str, capacity: int) -> DataFrame:
-    """``(item, n)`` of every task's summary; a row without an item holds the task's error."""
+def summaries(
+    df: DataFrame, items: Callable[[pa.RecordBatch], Iterator[pa.Table]], capacity: int
+) -> DataFrame:
+    """``(item, n)`` of every task's summary; a row without an item holds the task's error.
+
+    ``items`` gives the strings (column item) and counts (n) of a batch.
+    """
 
     def summarised(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.Table] = []
         rows, error = 0, 0
         for batch in batches:
-            held.append(pa.Table.from_batches([batch]))
-            rows += batch.num_rows
-            if rows >= GATHERED + 2 * capacity:
-                counts, lost = pruned(_added_up(held), capacity)
-                held, rows, error = [counts], counts.num_rows, error + lost
+            for table in items(batch):
+                held.append(table)
+                rows += table.num_rows
+                if rows >= GATHERED + 2 * capacity:
+                    counts, lost = pruned(_added_up(held), capacity)
+                    held, rows, error = [counts], counts.num_rows, error + lost
         if held:
             counts, lost = pruned(_added_up(held), capacity)
+            counts = counts.cast(_COUNTS)
             yield from counts.to_batches()
-            none = pa.nulls(1, counts.schema.field("item").type)
-            yield pa.RecordBatch.from_arrays([none, pa.array([error + lost])], ["item", "n"])
+            last = [pa.nulls(1, pa.string()), pa.array([error + lost], pa.int64())]
+            yield pa.RecordBatch.from_arrays(last, schema=_COUNTS)
+
+    return df.mapInArrow(summarised, "item string, n bigint")
+
 
-    given = rows.select(F.col(item).alias("item"), F.col(weight).cast("bigint").alias("n"))
-    kind = given.schema["item"].dataType.simpleString()
-    return given.filter("item IS NOT NULL").mapInArrow(summarised, f"item {kind}, n bigint")
+_COUNTS = pa.schema({"item": pa.string(), "n": pa.int64()})
 
 
 def merged(summary: DataFrame) -> DataFrame:

@@ -16,6 +16,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -67,6 +68,79 @@ def term_documents(
     return with_term_counts(rows, with_bigrams(F.col("_words"))).drop("_words")
 
 
+def word_documents(
+    df: DataFrame, key: str, text: Column, stop_words: list[str] | None = None
+) -> DataFrame:
+    """``(key, words)``: the words of every document, for everything here that takes documents.
+
+    Smaller than counted terms; pairs of words are formed and counted where they are needed. With
+    a vocabulary that does not fit the tasks (``max_features=None``) counted terms are required.
+    """
+    return df.select(key, kept_words(text, stop_words or english_stop_words()).alias("words"))
+
+
+#: Words whose terms are looked at together.
+SLICE_WORDS = 1 << 18
+
+
+def _slices(batch: pa.RecordBatch) -> Iterator[tuple[int, int, pa.Array, np.ndarray, np.ndarray]]:
+    """Terms of a batch of documents in runs: first row, row after the last, terms, the row that
+    each term is of (from 0), and how often it is there."""
+    names = batch.schema.names
+    lists = batch.column(names.index("terms" if "terms" in names else "words"))
+    offsets = lists.offsets.to_numpy().astype(np.int64)
+    begin = 0
+    while begin < len(lists):
+        end = int(np.searchsorted(offsets, offsets[begin] + SLICE_WORDS, side="right")) - 1
+        end = min(max(end, begin + 1), len(lists))
+        flat = lists.slice(begin, end - begin).flatten()
+        row = np.repeat(np.arange(end - begin), np.diff(offsets[begin : end + 1]))
+        if "terms" in names:
+            term, tf = flat.flatten()
+            yield begin, end, term, row, tf.to_numpy(zero_copy_only=False)
+        else:
+            same = pa.array(row[1:] == row[:-1])
+            left, right = flat[:-1].filter(same), flat[1:].filter(same)
+            pairs = pc.binary_join_element_wise(left, right, " ")
+            row = np.concatenate([row, row[:-1][row[1:] == row[:-1]]])
+            yield begin, end, pa.concat_arrays([flat, pairs]), row, np.ones(len(row), np.int64)
+        begin = end
+
+
+def _known(terms: pa.Array, row: np.ndarray, tf: np.ndarray, names: pa.Array):
+    """Rows, places among ``names`` and counts of the known terms, each once a row, by row."""
+    places = frequent.look_up(terms, names)
+    there = places >= 0
+    code = row[there] * max(len(names), 1) + places[there]
+    code, at = np.unique(code, return_inverse=True)
+    counts = np.bincount(at, weights=tf[there], minlength=len(code)).astype(np.int64)
+    return code // max(len(names), 1), code % max(len(names), 1), counts
+
+
+def _listed(batch: pa.RecordBatch) -> Iterator[pa.Table]:
+    for _, _, terms, _, tf in _slices(batch):
+        yield pa.table({"item": terms, "n": pa.array(tf, pa.int64())})
+
+
+def _exact(documents: DataFrame, names: list[str]) -> DataFrame:
+    """``(term, df, cf)`` of some terms; a task adds them up before the shuffle."""
+    known = pa.array(names, pa.string())
+
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums = np.zeros((2, len(names)), np.int64)
+        for batch in batches:
+            for _, _, terms, row, tf in _slices(batch):
+                _, places, counts = _known(terms, row, tf, known)
+                sums[0] += np.bincount(places, minlength=len(names))
+                sums[1] += np.bincount(places, weights=counts, minlength=len(names)).astype(np.int64)
+        met = np.flatnonzero(sums[0])
+        columns = [known.take(pa.array(met)), pa.array(sums[0][met]), pa.array(sums[1][met])]
+        yield pa.RecordBatch.from_arrays(columns, ["term", "df", "cf"])
+
+    parts = documents.mapInArrow(counted, "term string, df bigint, cf bigint")
+    return parts.groupBy("term").agg(F.sum("df").alias("df"), F.sum("cf").alias("cf"))
+
+
 def vocabulary(
     documents: DataFrame,
     key: str,
@@ -85,18 +159,17 @@ def vocabulary(
     counted. The result is the same in all cases.
     """
     n = documents.count()
-    terms = exploded_terms(documents, key)
     idf = F.log((F.lit(n) + 1) / (F.col("df") + 1)) + 1
 
     def bounded(counted: DataFrame) -> DataFrame:
         return counted.filter((F.col("df") >= min_df) & (F.col("df") <= F.lit(n) * F.lit(max_df)))
 
     if fits_tasks(max_features):
-        rows = _leading(terms, bounded, max_features, capacity or SUMMARY_TERMS * max_features)
+        rows = _leading(documents, bounded, max_features, capacity or SUMMARY_TERMS * max_features)
         if rows is not None:
             schema = "term string, df bigint, cf bigint"
             return documents.sparkSession.createDataFrame(rows, schema).withColumn("idf", idf)
-    top = bounded(_counted(terms))
+    top = bounded(_counted(documents, key))
     if max_features is not None:
         top = most_frequent(top, max_features)
     return top.withColumn("idf", idf)
@@ -111,29 +184,31 @@ def fits_tasks(max_features: int | None) -> bool:
     return max_features is not None and max_features <= BROADCAST_ROWS
 
 
-def _counted(terms: DataFrame) -> DataFrame:
+def _counted(documents: DataFrame, key: str) -> DataFrame:
+    if "words" in documents.columns:
+        grams = with_bigrams(F.col("words"))
+        documents = with_term_counts(documents, grams)
+    terms = exploded_terms(documents, key)
     return terms.groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.sum("tf").alias("cf"))
 
 
 def _leading(
-    terms: DataFrame,
+    documents: DataFrame,
     bounded: Callable[[DataFrame], DataFrame],
     max_features: int,
     capacity: int,
 ) -> list[Row] | None:
     """The rows of the vocabulary, or None where summaries do not tell its terms apart."""
+    lists = documents.select("words" if "words" in documents.columns else "terms")
     candidates = CANDIDATES * max_features
     while capacity <= LARGEST_SUMMARY and candidates < BROADCAST_ROWS:
-        summary = frequent.merged(frequent.summaries(terms, "term", "tf", capacity))
+        summary = frequent.merged(frequent.summaries(lists, _listed, capacity))
         first = summary.withColumn("is_error", F.col("item").isNull())
         first = top_n(first, candidates + 2, [F.desc("is_error"), F.desc("n"), F.asc("item")])
         found = sorted(first.collect(), key=lambda r: (not r["is_error"], -r["n"], r["item"]))
         error = found[0]["n"] if found else 0
         chosen, left_out = found[1 : candidates + 1], found[candidates + 1 :]
-        asked = terms.sparkSession.createDataFrame(
-            [(r["item"],) for r in chosen], "term string"
-        )
-        exact = bounded(_counted(terms.join(F.broadcast(asked), "term")))
+        exact = bounded(_exact(lists, [r["item"] for r in chosen]))
         rows = most_frequent(exact, max_features).collect()
         full = len(rows) == max_features
         if error == 0:
@@ -171,13 +246,18 @@ def weighted_rows(documents: DataFrame, key: str, vocab: DataFrame) -> DataFrame
 
     def weighed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            terms, places, tf, starts = _terms(batch, names)
-            raw = tf * values[places]
-            length = np.sqrt(_sums(raw * raw, starts))
-            weight = raw / np.repeat(length, np.diff(starts))
-            entries = pa.StructArray.from_arrays([terms, pa.array(weight)], ["term", "weight"])
-            lists = pa.ListArray.from_arrays(pa.array(starts, pa.int32()), entries)
-            yield pa.RecordBatch.from_arrays([batch.column(key), lists], [key, "entries"])
+            for begin, end, terms, row, tf in _slices(batch):
+                row, places, tf = _known(terms, row, tf, names)
+                raw = tf * values[places]
+                length = np.sqrt(np.bincount(row, weights=raw * raw, minlength=end - begin))
+                weight = pa.array(raw / length[row])
+                entries = pa.StructArray.from_arrays(
+                    [names.take(pa.array(places)), weight], ["term", "weight"]
+                )
+                starts = np.searchsorted(row, np.arange(end - begin + 1))
+                lists = pa.ListArray.from_arrays(pa.array(starts, pa.int32()), entries)
+                keys = batch.column(batch.schema.names.index(key)).slice(begin, end - begin)
+                yield pa.RecordBatch.from_arrays([keys, lists], [key, "entries"])
 
     kept = _kept_terms(documents, key, idf)
     schema = _schema(kept, key, "entries array<struct<term:string,weight:double>>")
@@ -185,7 +265,9 @@ def weighted_rows(documents: DataFrame, key: str, vocab: DataFrame) -> DataFrame
 
 
 def _kept_terms(documents: DataFrame, key: str, known) -> DataFrame:
-    """Documents with those of their terms that are known (a bounded number)."""
+    """The words of documents or, of counted terms, those that are known."""
+    if "words" in documents.columns:
+        return documents.select(key, "words")
     terms = F.filter("terms", lambda t: t["term"].isin(list(known))) if known else F.array()
     kind = "array<struct<term:string,tf:bigint>>"
     return documents.select(key, F.coalesce(terms, F.array()).cast(kind).alias("terms"))
@@ -195,24 +277,6 @@ def _schema(df: DataFrame, key: str, more: str) -> T.StructType:
     return T.StructType([df.schema[key], *T.StructType.fromDDL(more).fields])
 
 
-def _terms(batch: pa.RecordBatch, names: pa.Array):
-    """Terms of all rows, their places among ``names``, counts, and where each row's begin."""
-    lists = batch.column("terms")
-    starts = lists.offsets.to_numpy().astype(np.int64)
-    term, tf = lists.flatten().flatten()
-    places = frequent.look_up(term, names)
-    return term, places, tf.to_numpy(zero_copy_only=False), starts - starts[0]
-
-
-def _sums(values: np.ndarray, starts: np.ndarray) -> np.ndarray:
-    """Sum of each row's values; 0 for a row without any."""
-    out = np.zeros(len(starts) - 1)
-    filled = np.flatnonzero(np.diff(starts))
-    if len(filled):
-        out[filled] = np.add.reduceat(values, starts[filled])
-    return out
-
-
 def query_terms(
     spark: SparkSession, query: str, stop_words: list[str] | None = None
 ) -> list[str]:
@@ -281,11 +345,14 @@ def _scored_rows(
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            _, places, tf, starts = _terms(batch, names)
-            raw = tf * idf[places]
-            dot, squares = _sums(raw * weight[places], starts), _sums(raw * raw, starts)
-            cosine = np.divide(dot, np.sqrt(squares), out=np.zeros_like(dot), where=squares > 0)
-            yield pa.RecordBatch.from_arrays([batch.column(key), pa.array(cosine)], [key, "cosine"])
+            for begin, end, terms, row, tf in _slices(batch):
+                row, places, tf = _known(terms, row, tf, names)
+                raw = tf * idf[places]
+                dot = np.bincount(row, weights=raw * weight[places], minlength=end - begin)
+                squares = np.bincount(row, weights=raw * raw, minlength=end - begin)
+                cosine = np.divide(dot, np.sqrt(squares), out=np.zeros_like(dot), where=squares > 0)
+                keys = batch.column(batch.schema.names.index(key)).slice(begin, end - begin)
+                yield pa.RecordBatch.from_arrays([keys, pa.array(cosine)], [key, "cosine"])
 
     kept = _kept_terms(documents, key, model)
     rows = kept.mapInArrow(scored, _schema(kept, key, "cosine double"))

@@ -226,6 +226,13 @@ def corpus_documents(
     )
 
 
+def _analysed(rows: DataFrame, max_features: int | None) -> DataFrame:
+    text = F.col("combined_text")
+    if tfidf.fits_tasks(max_features):
+        return tfidf.word_documents(rows, DOCUMENT, text)
+    return tfidf.term_documents(rows, DOCUMENT, text)
+
+
 def search_tfidf(
     t: NewsTables,
     query: str,
@@ -244,8 +251,7 @@ def search_tfidf(
     if not query or not query.strip():
         raise ValueError("search text is required")
     rows = corpus_documents(t.events, t.gkg, link=link, tag=tag)
-    terms = tfidf.term_documents(rows, DOCUMENT, F.col("combined_text"))
-    documents = written(terms, "terms")
+    documents = written(_analysed(rows, max_features), "documents")
     vocab = tfidf.vocabulary(documents, DOCUMENT, max_features=max_features)
     found = settled(
         tfidf.nearest(
@@ -314,8 +320,7 @@ def refresh_if_stale(
     rows = written(rows, "rows")
     by_key = rows.drop("combined_text").repartitionByRange(DOCUMENT)
     by_key.sortWithinPartitions(DOCUMENT).write.mode("overwrite").parquet(f"{folder}/rows")
-    terms = tfidf.term_documents(rows, DOCUMENT, F.col("combined_text"))
-    documents = written(terms, "terms")
+    documents = written(_analysed(rows, max_features), "documents")
     vocab = tfidf.vocabulary(documents, DOCUMENT, max_features=max_features)
     vocab.write.mode("overwrite").parquet(f"{folder}/vocabulary")
     vocab = spark.read.parquet(f"{folder}/vocabulary")

@@ -187,19 +187,23 @@ class SegmentedIndex:
 
     def _write_first_keys(self, segment: int, fresh: DataFrame, stale: DataFrame) -> None:
         """The smallest keys of living documents, for results with few hits."""
-        kept = fresh.select(DOCUMENT)
+        kept = fresh.select(DOCUMENT, "link")
         if segment:
             before = self.spark.read.parquet(self._first_keys(segment - 1))
             # A key that went can leave a gap only if the list was cut; then it is made anew.
             gone = stale.select(DOCUMENT).join(kept, DOCUMENT, "left_anti")
             left = before.join(gone, DOCUMENT, "left_anti")
             if before.count() == postings.FIRST_KEYS and left.count() < postings.FIRST_KEYS:
-                kept = self._alive(self.documents.before(segment + 1), segment + 1).select(DOCUMENT)
+                kept = self._all_keys(segment + 1)
             else:
                 kept = kept.union(left).distinct()
         first = top_n(kept, postings.FIRST_KEYS, [F.asc(DOCUMENT)])
         first.coalesce(1).write.mode("overwrite").parquet(self._first_keys(segment))
 
+    def _all_keys(self, segments: int) -> DataFrame:
+        documents = self.documents.before(segments)
+        return self._alive(documents.select("link", "segment", DOCUMENT), segments).select(DOCUMENT, "link")
+
     def _add_texts(self, segment: int, gkg: DataFrame) -> None:
         """Full-text postings of the drop's records; a record that comes again is replaced."""
         number = F.lit(segment).cast("bigint").alias("segment")
@@ -231,15 +235,21 @@ class SegmentedIndex:
         best = tfidf.nearest(found, DOCUMENT, vocab, query, limit, max_features=self.max_features)
         first_keys = self.spark.read.parquet(self._first_keys(segments - 1))
         if 2 * limit > postings.FIRST_KEYS:
-            first_keys = self._alive(self.documents.before(segments), segments).select(DOCUMENT)
-        filled = settled(postings.filled_up(best, first_keys, DOCUMENT, limit))
-        return self._results(segments, filled, limit)
+            first_keys = self._all_keys(segments)
+        filled = settled(
+            postings.filled_up(best, first_keys.select(DOCUMENT), DOCUMENT, limit)
+        )
+        known = found.select(DOCUMENT, "link").unionByName(first_keys.select(DOCUMENT, "link"))
+        links = known.join(small(filled, limit), DOCUMENT, "left_semi").select("link").distinct()
+        return self._results(segments, filled, links, limit)
 
-    def _results(self, segments: int, filled: DataFrame, limit: int) -> DataFrame:
+    def _results(
+        self, segments: int, filled: DataFrame, links: DataFrame, limit: int
+    ) -> DataFrame:
         ids = filled.select(F.col(f"{DOCUMENT}.globaleventid").alias("globaleventid")).distinct()
         said = self.confidences.among(ids, segments)
         said = said.join(small(ids, limit), "globaleventid", "left_semi")
-        documents = self.documents.before(segments).join(
+        documents = self.documents.among(links, segments).join(
             small(filled.select(DOCUMENT), limit), DOCUMENT, "left_semi"
         )
         rows = self._alive(documents, segments).select(*self.columns)
