@@ -133,10 +133,15 @@ def without_recurring_lines(
     keyed = docs.select(F.xxhash64("doc_id", "text").alias("row"), "text", carried(docs))
     named = drops.select("row", F.array_sort("dropped").alias("dropped"))
     joined = keyed.join(named.hint("shuffle_hash"), "row", "left")
-    lines = F.split("text", "\n")
-    places = F.sequence(F.lit(0), F.size(lines) - 1)
-    kept = F.transform(F.array_except(places, F.col("dropped")), lambda i: lines[i])
-    text = F.when(F.col("dropped").isNull(), F.col("text")).otherwise(F.array_join(kept, "\n"))
+
+    def without_dropped(lines: Column) -> Column:
+        places = F.sequence(F.lit(0), F.size(lines) - 1)
+        kept = F.transform(F.array_except(places, F.col("dropped")), lambda i: F.get(lines, i))
+        return F.array_join(kept, "\n")
+
+    # Bound as a variable, the text is split once; inside the loop it would be for every line.
+    left = F.transform(F.array(F.split("text", "\n")), without_dropped)[0]
+    text = F.when(F.col("dropped").isNull(), F.col("text")).otherwise(left)
     found = {"text": text, DROPPED: F.coalesce("dropped", F.array().cast("array<int>"))}
     names = [*docs.columns, *([] if DROPPED in docs.columns else [DROPPED])]
     return joined.select(restored(names, found))

@@ -227,11 +227,14 @@ def good_documents(
     Each row goes to the worker once, and comes back only if it stays.
     """
 
+    place = docs.columns.index("text")
+
     def good(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            text = batch.column(batch.schema.get_field_index("text"))
-            for begin, end, texts in blocks(text):
+            for begin, end, texts in blocks(batch.column(place)):
                 _, kept = _verdicts(_measure(texts), max_covered, max_longest, max_symbols)
                 yield batch.slice(begin, end - begin).filter(pa.array(kept))
 
-    return docs.mapInArrow(good, docs.schema)
+    # Columns go by number, since names with a dot do not reach a worker.
+    plain = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])
+    return plain.mapInArrow(good, plain.schema).toDF(*docs.columns)
