@@ -1,5 +1,6 @@
 """The corpus operators against plain versions, on a small table with awkward rows."""
 
+import os
 import collections
 import itertools
 import math
@@ -438,3 +439,16 @@ def test_pipeline_keeps_columns_and_clean_documents(spark, docs, tmp_path):
     pieces = corpus_pipeline.run(spark, path)
     ids = {r["doc_id"] for r in pieces.select("doc_id").distinct().collect()}
     assert ids == {r["doc_id"] for r in now.collect()}
+
+
+def test_trie_keeps_no_context_beside_each_entry(spark, rows):
+    """Children of an entry are kept by their number and sum, once a context."""
+    values = np.sort(np.random.default_rng(3).integers(0, 5_000, 2_000))
+    sequence = language_model.EliasFano(*language_model.EliasFano.arrays(values, 5_000))
+    assert sequence.values().tolist() == values.tolist()
+    folder = new_folder(spark, "model")
+    docs = spark.createDataFrame([(i, "a b a b c d") for i in range(30)], "doc_id long, text string")
+    assert language_model.scored(docs, folder, min_count=1).count() == 30
+    kinds = {(f[0], f.rsplit("-", 1)[1]) for f in os.listdir(folder)}
+    assert ("2", "counts.bin") in kinds and ("2", "pointers.low.bin") in kinds
+    assert not kinds & {("2", "contexts.bin"), ("3", "contexts.bin"), ("3", "counts.bin")}

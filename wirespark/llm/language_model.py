@@ -72,16 +72,24 @@ def unpack_bits(words: np.ndarray, at: np.ndarray, width: int) -> np.ndarray:
     return ((words[word] >> shift) | high) & np.uint64((1 << width) - 1)
 
 
+_ONES, _TOPS = np.uint64(0x0101010101010101), np.uint64(0x8080808080808080)
+#: Place of the nth set bit of each byte.
+_IN_BYTE = np.zeros((256, 8), np.uint8)
+for _byte in range(256):
+    for _nth, _place in enumerate([i for i in range(8) if _byte >> i & 1]):
+        _IN_BYTE[_byte, _nth] = _place
+
+
 def _select_in_word(words: np.ndarray, nth: np.ndarray) -> np.ndarray:
-    """Place of the nth (from 0) set bit of each word, by halving."""
-    place, rest, nth = np.zeros(len(words), np.uint64), words.copy(), nth.astype(np.int64).copy()
-    for half in (32, 16, 8, 4, 2, 1):
-        low = np.bitwise_count(rest & np.uint64((1 << half) - 1)).astype(np.int64)
-        up = nth >= low
-        nth -= np.where(up, low, 0)
-        place += np.where(up, np.uint64(half), np.uint64(0))
-        rest = np.where(up, rest >> np.uint64(half), rest)
-    return place.astype(np.int64)
+    """Place of the nth (from 0) set bit of each word: its byte by running counts, then a table."""
+    nth = nth.astype(np.uint64)
+    counts = np.bitwise_count(np.ascontiguousarray(words).view(np.uint8)).view(np.uint64)
+    upto = counts * _ONES  # byte by byte, the set bits up to its end
+    fewer = (((nth * _ONES) | _TOPS) - upto) & _TOPS
+    place = np.bitwise_count(fewer).astype(np.uint64) << np.uint64(3)
+    rest = nth - (((upto << np.uint64(8)) >> place) & np.uint64(255))
+    byte = (words >> place) & np.uint64(255)
+    return place.astype(np.int64) + _IN_BYTE[byte.astype(np.int64), rest.astype(np.int64)]
 
 
 class EliasFano:
@@ -114,6 +122,13 @@ class EliasFano:
         up = (word * 64 + bit - at).astype(np.uint64)
         return (up << np.uint64(self.width)) | unpack_bits(self.low, at, self.width)
 
+    def values(self) -> np.ndarray:
+        """The whole sequence."""
+        at = np.arange(self.size)
+        bits = np.flatnonzero(np.unpackbits(self.high.view(np.uint8), bitorder="little"))
+        up = (bits - at).astype(np.uint64)
+        return (up << np.uint64(self.width)) | unpack_bits(self.low, at, self.width)
+
     def _begin(self, up: np.ndarray) -> np.ndarray:
         """Values whose high part is below ``up``: the zeros select the place."""
         nth = up - 1
@@ -194,7 +209,7 @@ class Shard:
     KINDS = {"meta": "<i8", "ones": "<i8", "codes": "u1", "book": "<f8",
              "backs": "u1", "back_book": "<f8"}
     #: Numbers of a width of their own, which stands in the first of eight bytes before them.
-    NARROW = ("counts", "contexts")
+    NARROW = ("counts",)
 
     def __init__(self, folder: str, level: int, row: dict):
         self.store, root = open_folder(folder)
@@ -202,13 +217,20 @@ class Shard:
 
     def array(self, what: str) -> np.ndarray:
         if what not in self.held and what in self.NARROW:
-            raw = mapped(self.store, f"{self.stem}-{what}.bin", "u1")
+            raw = np.asarray(mapped(self.store, f"{self.stem}-{what}.bin", "u1"))
             self.held[what] = raw[8:].view(f"<u{raw[0]}" if raw[0] < 8 else "<i8")
         elif what not in self.held:
             kind = self.KINDS.get(what.rpartition(".")[2], "<u8")
-            self.held[what] = mapped(self.store, f"{self.stem}-{what}.bin", kind)
+            # As a plain array: each slice of a memmap object costs more than reading it.
+            self.held[what] = np.asarray(mapped(self.store, f"{self.stem}-{what}.bin", kind))
         return self.held[what]
 
+    def powers(self, book: str) -> np.ndarray:
+        """Ten to the values that codes stand for."""
+        if book + "^" not in self.held:
+            self.held[book + "^"] = 10 ** self.array(book).astype(float)
+        return self.held[book + "^"]
+
     def sequence(self, what: str) -> EliasFano:
         if what + "!" not in self.held:
             self.held[what + "!"] = EliasFano(
@@ -241,7 +263,12 @@ class Level:
         self.firsts = [(row["first_context"], row["first_word"]) for row in rows]
 
     def _parts(self, owner: np.ndarray):
-        """Queries by shard."""
+        """Queries by shard; of those in order, slices."""
+        if (owner[1:] >= owner[:-1]).all():
+            cuts = np.flatnonzero(np.diff(owner, prepend=-1))
+            for begin, end in zip(cuts, np.append(cuts[1:], len(owner))):
+                yield int(owner[begin]), slice(int(begin), int(end))
+            return
         if len(self.rows) < 1 << 15:  # short numbers get a radix sort
             owner = owner.astype(np.int16)
         order = np.argsort(owner, kind="stable")
@@ -263,7 +290,7 @@ class Level:
         """Ten to the decoded values of the entries ``at``; the book is raised, not each entry."""
         out = np.zeros(len(at))
         for shard, rows in self._parts(self._owner(at)):
-            raised = 10 ** self.shards[shard].array(book).astype(float)
+            raised = self.shards[shard].powers(book)
             out[rows] = raised[self.shards[shard].array(codes)[at[rows] - self.bases[shard]]]
         return out
 
@@ -344,30 +371,34 @@ class Trie:
         """Entries of the n-grams that end at each token, level by level up to ``order``.
 
         ``words``: word entries, -1 unknown; ``place``: tokens before it in the document, which
-        begins with an end mark. Yields per level: contexts' entries and the n-grams' entries.
+        begins with an end mark. Yields per level: contexts' entries, the n-grams' entries and, of
+        n-grams of known words, the tokens they end at, which of the distinct ones each is, which
+        of the distinct contexts each of these has, the contexts' entries and the n-grams', all
+        in order.
         """
         entries = words
-        yield None, entries
+        yield None, entries, None
         for n in range(2, order + 1):
             contexts = np.full(len(words), -1, np.int64)
             contexts[1:] = entries[:-1]
             contexts[place < n - 1] = -1
             if n > len(self.levels):
-                yield contexts, None
+                yield contexts, None, None
                 return
             known = np.flatnonzero((contexts >= 0) & (words >= 0))
             entries = np.full(len(words), -1, np.int64)
             pairs, back = _distinct(contexts[known], words[known])
             fresh = np.diff(pairs[0], prepend=-1) > 0  # each context is looked up once
             nth = np.cumsum(fresh) - 1
-            low, end = (ends[nth] for ends in self.levels[n - 2].children(pairs[0][fresh]))
+            parents = pairs[0][fresh]
+            low, end = (ends[nth] for ends in self.levels[n - 2].children(parents))
             some = np.flatnonzero(low < end)
             found = np.full(len(pairs[0]), -1, np.int64)
             found[some] = self.levels[n - 1].find_children(
                 pairs[0][some], pairs[1][some], low[some], end[some]
             )
             entries[known] = found[back]
-            yield contexts, entries
+            yield contexts, entries, (known, back, nth, parents, found)
 
 
 def _ordered(contexts: np.ndarray, words: np.ndarray) -> np.ndarray:
@@ -502,7 +533,7 @@ def _counted(
                 words = trie.levels[0].find_words(hashes)[flat]
                 level = len(levels) + 1
                 entries = None
-                for contexts, found in trie.grams(words, place, level):
+                for contexts, found, _ in trie.grams(words, place, level):
                     entries, before = found, entries
                 use = (contexts >= 0) & (words >= 0)
                 if level > 2:
@@ -524,9 +555,13 @@ def _counted(
 
 
 def _shards(
-    batches: Iterator[pa.RecordBatch], folder: str, levels: tuple, least: int
+    batches: Iterator[pa.RecordBatch], folder: str, levels: tuple, least: int, last: bool
 ) -> Iterator[pa.RecordBatch]:
-    """Sum up the buckets of a partition and write each as a shard; names differ by attempt."""
+    """Sum up the buckets of a partition and write each as a shard; names differ by attempt.
+
+    Of an entry's context its parent needs the children and their sum alone, so a shard keeps
+    these once a context. Counts of the last level are the context of nothing and not kept.
+    """
     trie, parts = (_trie(folder, levels) if levels else None), {}
     for batch in batches:
         for bucket, *blobs in zip(*[column.to_pylist() for column in batch.columns]):
@@ -555,9 +590,15 @@ def _shards(
             times = trie.levels[-1].before(contexts)[0]
             shares = np.log10((counts - DISCOUNT) / times)
             width = trie.levels[0].width
-            shard.write(words=pack_bits(words, width), contexts=contexts - contexts[0])
+            shard.write(words=pack_bits(words, width))
+            cuts = np.flatnonzero(np.diff(contexts, prepend=-1))
+            own, sums = contexts[cuts] - contexts[0], np.cumsum(np.add.reduceat(counts, cuts))
+            for what, rising in (("parents", own), ("begins", cuts), ("sums", sums)):
+                shard.write_sequence(what, rising, int(rising[-1]) + 1)
         codes, book = _quantised(shares)
-        shard.write(codes=codes, book=book, counts=counts)
+        shard.write(codes=codes, book=book)
+        if not last:
+            shard.write(counts=counts)
         first = int(contexts[0]), int(words[:1].view(np.int64)[0])
         rows.append((bucket, name, len(words), int(counts.sum()), once, *first))
     columns = [list(x) for x in zip(*rows)] if rows else [[] for _ in range(7)]
@@ -587,14 +628,16 @@ def _pointers(
                 if later is not None and later < base:
                     first += row["entries"]
                     continue
-                contexts = child.shards[s].array("contexts")
                 start = row["first_context"]
-                lo, hi = np.searchsorted(contexts, [base - start, end - start])
-                first += int(lo)
-                own = contexts[lo:hi].astype(np.int64) + (start - base)
-                number += np.bincount(own, minlength=end - base)
-                taken = child.shards[s].array("counts")[lo:hi].astype(float) - DISCOUNT
-                seen += np.bincount(own, weights=taken, minlength=end - base)
+                parents = child.shards[s].sequence("parents").values().astype(np.int64) + start
+                lo, hi = np.searchsorted(parents, [base, end])
+                begins = child.shards[s].sequence("begins").values().astype(np.int64)
+                begins = np.append(begins, row["entries"])
+                sums = np.diff(child.shards[s].sequence("sums").values().astype(np.int64), prepend=0)
+                first += int(begins[lo])
+                own, children = parents[lo:hi] - base, np.diff(begins[lo : hi + 1])
+                number[own] += children  # each context is there once
+                seen[own] += sums[lo:hi] - DISCOUNT * children
             pointers = np.concatenate([[0], np.cumsum(number)])
             shard = parent.shards[index]
             shard.write_sequence("pointers", pointers, int(pointers[-1]) + 1)
@@ -628,19 +671,20 @@ def train(
     open_folder(folder)[0].create_dir(open_folder(folder)[1], recursive=True)
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     levels: tuple = ()
-    for _ in range(order):
+    for n in range(order):
         count = partial(_counted, folder=folder, levels=levels, buckets=buckets, least=min_count)
         training = tokens.select("held_out", "sizes", "hashes", "tokens")
         blobs = training.mapInArrow(count, _BLOBS).repartition("bucket")
-        shard = partial(_shards, folder=folder, levels=levels, least=min_count)
+        last = n + 1 == order
+        shard = partial(_shards, folder=folder, levels=levels, least=min_count, last=last and n > 0)
         shards = blobs.mapInArrow(shard, _SHARDS)
         rows = stored(shards, "shards").orderBy("bucket").collect()  # one row a shard
         if not rows:
             break
         levels += (_frozen(rows),)
         if len(levels) > 1:
-            last = len(levels[-2])
-            index = spark.range(0, last, 1, last).select(F.col("id").cast("int").alias("index"))
+            number = len(levels[-2])
+            index = spark.range(0, number, 1, number).select(F.col("id").cast("int").alias("index"))
             write = partial(_pointers, folder=folder, levels=levels)
             stored(index.mapInArrow(write, "index int"), "pointers")
     return levels
@@ -667,16 +711,21 @@ def _scored(batches: Iterator[pa.RecordBatch], folder: str, levels: tuple):
                 share = trie.levels[0].powers(known[seen], "codes", "book") / total
                 weight[seen] = (1 - trie.unknown) * share
                 counts, p = count[flat], weight[flat]
-                for n, (contexts, entries) in enumerate(
-                    trie.grams(known[flat], place, len(trie.levels))
+                words = known[flat]
+                for n, (contexts, _, pairs) in enumerate(
+                    trie.grams(words, place, len(trie.levels))
                 ):
                     if not n:
                         continue
-                    met = np.flatnonzero(contexts >= 0)
-                    back = trie.levels[n - 1].powers(contexts[met], "backs", "back_book")
-                    p[met] *= back
-                    hit = np.flatnonzero(entries >= 0)
-                    p[hit] += trie.levels[n].powers(entries[hit], "codes", "book")
+                    # Each context and n-gram of the block is read once.
+                    tokens, back, nth, parents, found = pairs
+                    left = trie.levels[n - 1].powers(parents, "backs", "back_book")[nth]
+                    hit = np.flatnonzero(found >= 0)
+                    more = np.zeros(len(found))
+                    more[hit] = trie.levels[n].powers(found[hit], "codes", "book")
+                    p[tokens] = p[tokens] * left[back] + more[back]
+                    rest = np.flatnonzero((contexts >= 0) & (words < 0))
+                    p[rest] *= trie.levels[n - 1].powers(contexts[rest], "backs", "back_book")
             base = np.log10((counts + ADDED) / (total + ADDED * (different + 1)))
             score = np.log10(np.minimum(p, 1.0))
             ids = batch.column("doc_ids")[row].values
