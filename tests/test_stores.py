@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from test_indexes import metric
 from test_news import make_rows
 from test_sources import export, folder, gkg, land
+from wirespark.operators import tfidf
 from wirespark.plans import (
     detail,
     etl,
@@ -221,6 +222,31 @@ def test_segments_after_every_drop(spark):
     assert same(found, search.search_news(dataclasses.replace(t, gkg=once), "story older p1"))
 
 
+@pytest.mark.parametrize("max_features", [1000, 20_000])
+def test_segments_post_a_term_once_a_url(spark, max_features):
+    """Documents of a URL share its posting; counts of terms are those of all documents."""
+    t = relations(spark, make_rows(3))
+    index = segments.SegmentedIndex(
+        spark, new_folder(spark, "segments"), max_features=max_features, buckets=2
+    )
+    index.refresh(0, t.events, t.mentions, t.gkg)
+    posted = index.postings.before(1).select("term", "link").collect()
+    assert len(posted) == len(set(posted))
+    documents = index.documents.before(1).collect()
+    assert len(documents) > len({d["link"] for d in documents})
+    rows = search.corpus_documents(t.events, t.gkg)
+    listed = tfidf.term_documents(rows, "document", F.col("combined_text"))
+    terms = [x for d in listed.collect() for x in d["terms"]]
+    counts = {term: (0, 0) for term, _ in terms}
+    for term, tf in terms:
+        counts[term] = (counts[term][0] + 1, counts[term][1] + tf)
+    kept = {r["term"]: (r["df"], r["cf"]) for r in index.statistics.before(1).collect()}
+    assert kept.pop(segments.DOCUMENTS) == (len(documents), 0)
+    assert kept == counts and {r["term"] for r in posted} == set(counts)
+    found = index.search(1, "t1 story name", 10)
+    assert same(found, search.search_tfidf(t, "t1 story name", 10, max_features=max_features))
+
+
 def test_snapshots(spark):
     path = new_folder(spark, "tables")
     kept = Snapshots(spark, path)

@@ -69,14 +69,21 @@ def term_documents(
 
 
 def word_documents(
-    df: DataFrame, key: str, text: Column, stop_words: list[str] | None = None
+    df: DataFrame,
+    key: str,
+    text: Column,
+    stop_words: list[str] | None = None,
+    *,
+    keep: bool = False,
 ) -> DataFrame:
-    """``(key, words)``: the words of every document, for everything here that takes documents.
+    """``(key, words)``: the words of every document, for everything here that takes documents;
+    all columns for ``keep``.
 
     Smaller than counted terms; pairs of words are formed and counted where they are needed. With
     a vocabulary that does not fit the tasks (``max_features=None``) counted terms are required.
     """
-    return df.select(key, kept_words(text, stop_words or english_stop_words()).alias("words"))
+    words = kept_words(text, stop_words or english_stop_words()).alias("words")
+    return df.select("*", words) if keep else df.select(key, words)
 
 
 #: Words whose terms are looked at together.
@@ -141,6 +148,42 @@ def _exact(documents: DataFrame, names: list[str]) -> DataFrame:
     return parts.groupBy("term").agg(F.sum("df").alias("df"), F.sum("cf").alias("cf"))
 
 
+def term_counts(documents: DataFrame) -> DataFrame:
+    """``(term, df, cf)`` of all terms, in any number of parts: a task adds up runs of documents."""
+    lists = documents.select("words" if "words" in documents.columns else "terms")
+
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for _, _, terms, row, tf in _slices(batch):
+                names = terms.unique()
+                _, places, counts = _known(terms, row, tf, names)
+                df = np.bincount(places, minlength=len(names))
+                cf = np.bincount(places, weights=counts, minlength=len(names)).astype(np.int64)
+                columns = [names, pa.array(df, pa.int64()), pa.array(cf)]
+                yield pa.RecordBatch.from_arrays(columns, ["term", "df", "cf"])
+
+    return lists.mapInArrow(counted, "term string, df bigint, cf bigint")
+
+
+def posted_terms(documents: DataFrame, key: str) -> DataFrame:
+    """``(term, key)``: the terms of documents, for a key once in a run of documents."""
+    lists = documents.select(key, "words" if "words" in documents.columns else "terms")
+
+    def posted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys = batch.column(key)
+            for begin, end, terms, row, tf in _slices(batch):
+                owners = keys.slice(begin, end - begin).dictionary_encode()
+                owner = owners.indices.to_numpy().astype(np.int64)[row]
+                names = terms.unique()
+                owner, places, _ = _known(terms, owner, tf, names)
+                columns = [names.take(pa.array(places)), owners.dictionary.take(pa.array(owner))]
+                yield pa.RecordBatch.from_arrays(columns, ["term", key])
+
+    schema = T.StructType([T.StructField("term", T.StringType()), documents.schema[key]])
+    return lists.mapInArrow(posted, schema)
+
+
 def vocabulary(
     documents: DataFrame,
     key: str,

@@ -17,7 +17,6 @@ from pyspark.sql import types as T
 from wirespark.operators import fulltext, postings, tfidf
 from wirespark.operators.joins import lookup_join
 from wirespark.operators.keyed import small, top_n
-from wirespark.operators.terms import exploded_terms
 from wirespark.plans.search import (
     DOCUMENT,
     best_articles,
@@ -86,8 +85,7 @@ class SegmentedIndex:
         )
         self.columns = documents.columns
         statistics = T.StructType.fromDDL(_STATISTICS)
-        posted = T.StructType.fromDDL("term string, tf bigint, link string, segment bigint")
-        posted = T.StructType([*posted.fields, documents.schema[DOCUMENT]])
+        posted = T.StructType.fromDDL("term string, link string, segment bigint")
         terms = T.StructType.fromDDL("term string, gkgrecordid string, tf bigint, segment bigint")
         confidence = T.StructType.fromDDL("globaleventid string, confidence double")
 
@@ -109,8 +107,9 @@ class SegmentedIndex:
     def _documents(self, events: DataFrame, gkg: DataFrame) -> DataFrame:
         rows = corpus_documents(events, gkg, tag=self.tag, keep=["sourceurl"])
         linked = rows.withColumn("link", _linked("sourceurl", "globaleventid")).drop("sourceurl")
-        counted = tfidf.term_documents(linked, DOCUMENT, F.col("combined_text"), keep=True)
-        return counted.drop("combined_text")
+        fits = tfidf.fits_tasks(self.max_features)
+        analysed = tfidf.word_documents if fits else tfidf.term_documents
+        return analysed(linked, DOCUMENT, F.col("combined_text"), keep=True).drop("combined_text")
 
     # Refresh ------------------------------------------------------------------------------
 
@@ -137,11 +136,12 @@ class SegmentedIndex:
         )
         fresh = fresh.withColumn("segment", F.lit(segment).cast("bigint"))
         self.documents.add(fresh, segment)
-        # What was stored just now is read back, so terms are counted once.
+        # What was stored just now is read back, so texts are analysed once.
         fresh = self._of(self.documents, links, segment + 1).filter(F.col("segment") == segment)
         stale = self._alive(self._of(self.documents, links, segment), segment)
-        listed = exploded_terms(fresh.select(F.struct("link", "segment", DOCUMENT).alias("d"), "terms"), "d")
-        self.postings.add(listed.select("term", "tf", "d.*"), segment)
+        listed = tfidf.posted_terms(fresh, "link")
+        number = F.lit(segment).cast("bigint").alias("segment")
+        self.postings.add(listed.select("term", "link", number), segment)
         changes = self._counted(fresh, 1).unionByName(self._counted(stale, -1))
         self.statistics.add(_summed(changes).filter("df != 0 OR cf != 0"), segment)
         self._write_model(segment)
@@ -158,13 +158,11 @@ class SegmentedIndex:
         return lookup_join(rows, last, ["link", "segment"], "left_semi")
 
     def _counted(self, documents: DataFrame, sign: int) -> DataFrame:
-        counted = exploded_terms(documents.select("link", "terms"), "link").select(
-            "term", F.lit(sign).cast("bigint").alias("df"), (F.col("tf") * sign).alias("cf")
-        )
-        each = documents.select(
-            F.lit(DOCUMENTS).alias("term"), F.lit(sign).cast("bigint").alias("df"), F.lit(0).cast("bigint").alias("cf")
-        )
-        return counted.unionByName(each)
+        counts = tfidf.term_counts(documents)
+        number = documents.agg(F.count(F.lit(1)).alias("df"))
+        each = number.select(F.lit(DOCUMENTS).alias("term"), "df", F.lit(0).cast("bigint").alias("cf"))
+        signed = [(F.col(c) * sign).alias(c) for c in ("df", "cf")]
+        return counts.unionByName(each).select("term", *signed)
 
     def _write_model(self, segment: int) -> None:
         """The vocabulary of all living documents."""
@@ -215,7 +213,7 @@ class SegmentedIndex:
     def search(self, segments: int, query: str, limit: int = 10) -> DataFrame:
         """``search.search_tfidf`` over all rows of the first ``segments`` segments.
 
-        Materialises the documents that hold a word of the query.
+        Materialises the documents of URLs that hold a word of the query, and the best of them.
         """
         if not query or not query.strip():
             raise ValueError("search text is required")
@@ -225,14 +223,16 @@ class SegmentedIndex:
         known = [r["term"] for r in vocab.filter(F.col("term").isin(asked)).collect()]
         terms = self.spark.createDataFrame([(t,) for t in known], "term string")
         hits = self.postings.among(terms, segments).filter(F.col("term").isin(known))
-        alive = self._alive(hits.select("link", "segment", DOCUMENT).distinct(), segments)
+        alive = self._alive(hits.select("link", "segment").distinct(), segments)
         alive = written(alive, "alive")
         links = alive.select("link").distinct()
         found = lookup_join(
-            self.documents.among(links, segments), alive, ["link", "segment", DOCUMENT], "left_semi"
+            self.documents.among(links, segments), alive, ["link", "segment"], "left_semi"
         )
         found = written(found, "found")
-        best = tfidf.nearest(found, DOCUMENT, vocab, query, limit, max_features=self.max_features)
+        best = settled(
+            tfidf.nearest(found, DOCUMENT, vocab, query, limit, max_features=self.max_features)
+        )
         first_keys = self.spark.read.parquet(self._first_keys(segments - 1))
         if 2 * limit > postings.FIRST_KEYS:
             first_keys = self._all_keys(segments)
