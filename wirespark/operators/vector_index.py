@@ -28,7 +28,9 @@ FIT_ROUNDS = 8
 #: Vectors of a cell that are compared together; a larger cell has several parts.
 PART_ROWS = 16_384
 #: Similarities computed at once.
-SCORES = 1 << 22
+SCORES = 1 << 20
+#: Rows that a task makes of queries at once.
+SENT_ROWS = 4096
 #: Queries, of the sample, that the number of probes is chosen by, and neighbours of each.
 TRIAL_QUERIES, TRIAL_NEIGHBOURS = 200, 20
 #: Share of their nearest neighbours that the probed cells must hold.
@@ -86,7 +88,7 @@ def write_index(
     centroids = _fitted(sample, cells) if len(sample) else np.zeros((0, 0))
 
     def assigned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _few_scores(batches, len(centroids)):
             cosine = matrix(batch.column("unit")) @ centroids.T
             cell = cosine.argmax(axis=1)
             near = np.take_along_axis(cosine, cell[:, None], axis=1)[:, 0]
@@ -180,6 +182,14 @@ def _best(found: DataFrame, key: str, k: int) -> DataFrame:
     return top_n_per_key(found, ["query"], [F.desc("similarity"), F.asc(key)], k)
 
 
+def _few_scores(batches: Iterator[pa.RecordBatch], cells: int) -> Iterator[pa.RecordBatch]:
+    """The same rows, so few together that their similarities to all cells are ``SCORES`` at most."""
+    step = max(1, SCORES // max(cells, 1))
+    for batch in batches:
+        for start in range(0, batch.num_rows, step):
+            yield batch.slice(start, step)
+
+
 def _sent(asked: DataFrame, key: str, cells: list, probes: int, further: bool) -> DataFrame:
     """``(key, unit, cell, part)``: each query to all parts of the cells it looks into.
 
@@ -191,7 +201,7 @@ def _sent(asked: DataFrame, key: str, cells: list, probes: int, further: bool) -
     radius = np.arccos(np.clip([c["near"] for c in cells], -1, 1))
 
     def chosen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _few_scores(batches, len(centroids)):
             cosine = np.clip(matrix(batch.column("unit")) @ centroids.T, -1, 1)
             order = np.argsort(-cosine, axis=1, kind="stable")
             wanted = np.zeros(cosine.shape, bool)
@@ -201,15 +211,17 @@ def _sent(asked: DataFrame, key: str, cells: list, probes: int, further: bool) -
                 least = batch.column("least").to_numpy(zero_copy_only=False)
                 wanted = ~wanted & (bound >= least[:, None] - SLACK)
             rows, places = np.nonzero(wanted)
-            times = parts[places]
-            rows, places = np.repeat(rows, times), np.repeat(places, times)
-            ends = np.cumsum(times)
-            part = np.arange(len(rows)) - np.repeat(ends - times, times)
-            taken = [batch.column(c).take(pa.array(rows)) for c in (key, "unit")]
-            names = [key, "unit", "cell", "part"]
-            arrays = [*taken, pa.array(numbers[places], pa.int32()), pa.array(part, pa.int32())]
-            for start in range(0, len(rows), 10_000):
-                yield pa.RecordBatch.from_arrays([a.slice(start, 10_000) for a in arrays], names)
+            ends = np.cumsum(parts[places])
+            # A query goes to many cells: its vector is copied for a few rows at a time only.
+            for start in range(0, int(ends[-1]) if len(ends) else 0, SENT_ROWS):
+                number = np.arange(start, min(start + SENT_ROWS, int(ends[-1])))
+                pair = np.searchsorted(ends, number, side="right")
+                row, place = pa.array(rows[pair]), places[pair]
+                part = number - (ends[pair] - parts[place])
+                taken = [batch.column(c).take(row) for c in (key, "unit")]
+                cell = pa.array(numbers[place], pa.int32())
+                columns = [*taken, cell, pa.array(part, pa.int32())]
+                yield pa.RecordBatch.from_arrays(columns, [key, "unit", "cell", "part"])
 
     more = T.StructType.fromDDL("cell int, part int").fields
     schema = T.StructType([asked.schema[key], asked.schema["unit"], *more])
