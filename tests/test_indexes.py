@@ -8,6 +8,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from conftest import SF
 from wirespark.functions.text import contains_ignoring_case
@@ -324,3 +325,53 @@ def test_literal_runs():
     assert trigrams.literal_runs("50\\%_x") == ["50%", "x"]
     assert trigrams.literal_runs("a%b", literal=True) == ["a%b"]
     assert trigrams.grams_of(["ABCD", "bc"]) == ["abc", "bcd"]
+
+
+class Tasks:
+    """Stands for a frame: gives the function of its tasks instead of running it."""
+
+    def __init__(self, schema=None):
+        self.schema = schema
+
+    def mapInArrow(self, function, schema):
+        return function
+
+
+def test_summaries_hold_repeated_items_once(monkeypatch):
+    added_up, sizes = frequent._added_up, []
+
+    def recorded(tables):
+        sizes.append(sum(table.num_rows for table in tables))
+        return added_up(tables)
+
+    monkeypatch.setattr(frequent, "_added_up", recorded)
+    table = pa.table({"item": ["a", "b", "c", "d"] * 250, "n": pa.array([1] * 1000, pa.int64())})
+    task = frequent.summaries(Tasks(), lambda batch: [table], 10)
+    out = pa.Table.from_batches(task(iter(range(20)))).to_pydict()
+    found = dict(zip(out["item"], out["n"], strict=True))
+    assert found == {"a": 5000, "b": 5000, "c": 5000, "d": 5000, None: 0}
+    assert max(sizes) <= 1000
+
+
+def test_vectors_of_queries_are_copied_few_at_a_time(spark):
+    """A query that goes to all cells is not copied for all of them at once."""
+    rng = np.random.default_rng(5)
+    cells = [
+        {"cell": i, "centroid": c.tolist(), "parts": 1 + i % 3, "near": 0.0}
+        for i, c in enumerate(rng.normal(size=(40, 64)))
+    ]
+    units = rng.normal(size=(1000, 64))
+    lists = pa.FixedSizeListArray.from_arrays(pa.array(units.ravel()), 64)
+    lists = lists.cast(pa.list_(pa.float64()))
+    batch = pa.RecordBatch.from_arrays([pa.array(range(1000)), lists], ["i", "unit"])
+    schema = T.StructType.fromDDL("i bigint, unit array<double>")
+    task = vector_index._sent(Tasks(schema), "i", cells, len(cells), False)
+    before, most, met = pa.total_allocated_bytes(), 0, []
+    for part in task(iter([batch])):
+        most = max(most, pa.total_allocated_bytes() - before)
+        met += zip(*[part.column(c).to_pylist() for c in ("i", "cell", "part")])
+        for row, number in enumerate(part.column("i").to_pylist()[:3]):
+            assert part.column("unit")[row].as_py() == units[number].tolist()
+    pairs = [(i, c["cell"], p) for i in range(1000) for c in cells for p in range(c["parts"])]
+    assert sorted(met) == pairs
+    assert most < len(pairs) * 64 * 8 / 4

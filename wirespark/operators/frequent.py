@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 #: Rows a task gathers before it adds them up.
-GATHERED = 1 << 19
+GATHERED = 1 << 17
 
 
 def pruned(counts: pa.Table, capacity: int) -> tuple[pa.Table, int]:
@@ -51,6 +51,7 @@ def summaries(
         rows, error = 0, 0
         for batch in batches:
             for table in items(batch):
+                table = _added_up([table])  # what repeats within a batch is held once
                 held.append(table)
                 rows += table.num_rows
                 if rows >= GATHERED + 2 * capacity:

@@ -87,7 +87,7 @@ def word_documents(
 
 
 #: Words whose terms are looked at together.
-SLICE_WORDS = 1 << 18
+SLICE_WORDS = 1 << 16
 
 
 def _slices(batch: pa.RecordBatch) -> Iterator[tuple[int, int, pa.Array, np.ndarray, np.ndarray]]:
