@@ -191,6 +191,24 @@ def _named_blocks(plan: str) -> list[int]:
     return [b for a, z in zip(low, high, strict=True) for b in range(a, min(z, a + 5000) + 1)]
 
 
+def test_documents_are_weighed_once(spark):
+    met = spark.sparkContext.accumulator(0)
+
+    def weighed(batches):
+        for batch in batches:
+            met.add(batch.num_rows)
+            yield batch
+
+    schema = "id bigint, entries array<struct<term:string,weight:double>>"
+    entry = "struct(concat('t', id % 7) AS term, CAST(id AS double) AS weight)"
+    rows = spark.range(500).selectExpr("id", f"array({entry}) AS entries")
+    path = new_folder(spark, "index")
+    postings.write_postings(rows.mapInArrow(weighed, schema), "id", path)
+    assert met.value == 500
+    blocks = spark.read.parquet(f"{path}/blocks").groupBy("term").agg(F.max("most").alias("most"))
+    assert {r.term: r.most for r in blocks.collect()} == {f"t{i % 7}": i for i in range(493, 500)}
+
+
 def test_few_hits_are_filled_up(spark, indexed):
     vocab, path = indexed
     found = postings.best_documents(spark, path, "i", [], 5)

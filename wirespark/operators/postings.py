@@ -41,6 +41,8 @@ def write_postings(rows: DataFrame, key: str, path: str) -> None:
     first_keys. Rows are dealt by ranges that end in the key, so a term that leads very many
     documents is spread over tasks; blocks never leave a task.
     """
+    # Weighing is not cheap, and ranges read their rows twice.
+    rows = written(rows.select(key, "entries"), "weighted")
     top_n(rows.select(key), FIRST_KEYS, [F.asc(key)]).write.parquet(f"{path}/first_keys")
     lead = F.array_max(F.transform("entries", lambda e: F.struct(e["weight"], e["term"])))
     filled = rows.filter(F.size("entries") > 0).withColumn("lead", lead)
@@ -51,9 +53,11 @@ def write_postings(rows: DataFrame, key: str, path: str) -> None:
     blocked = written(dealt.select(key, "entries", block.alias("block")), "blocks")
     postings = blocked.select("block", key, F.inline_outer("entries"))
     postings = postings.filter(F.col("term").isNotNull())
-    laid_out = postings.repartitionByRange("term", "block", key).sortWithinPartitions("term", "block")
+    # A block has few documents, so no term and block is too much for a task.
+    laid_out = postings.repartitionByRange("term", "block").sortWithinPartitions("term", "block")
     laid_out.select("term", "block", key, "weight").write.parquet(f"{path}/postings")
-    most = postings.groupBy("term", "block").agg(F.max("weight").alias("most"))
+    laid_out = rows.sparkSession.read.parquet(f"{path}/postings")
+    most = laid_out.groupBy("term", "block").agg(F.max("weight").alias("most"))
     most = most.repartitionByRange("term", "block").sortWithinPartitions("term", "block")
     most.write.parquet(f"{path}/blocks")
 

@@ -226,11 +226,11 @@ def corpus_documents(
     )
 
 
-def _analysed(rows: DataFrame, max_features: int | None) -> DataFrame:
+def _analysed(rows: DataFrame, max_features: int | None, *, keep: bool = False) -> DataFrame:
     text = F.col("combined_text")
     if tfidf.fits_tasks(max_features):
-        return tfidf.word_documents(rows, DOCUMENT, text)
-    return tfidf.term_documents(rows, DOCUMENT, text)
+        return tfidf.word_documents(rows, DOCUMENT, text, keep=keep)
+    return tfidf.term_documents(rows, DOCUMENT, text, keep=keep)
 
 
 def search_tfidf(
@@ -317,10 +317,13 @@ def refresh_if_stale(
         return _build_folder(path, built)
     folder = _build_folder(path, as_of)
     rows = _with_confidence(corpus_documents(t.events, t.gkg, link=link), t.mentions)
-    rows = written(rows, "rows")
-    by_key = rows.drop("combined_text").repartitionByRange(DOCUMENT)
+    # Result rows and analysed texts in one go: the texts themselves are not written.
+    analysed = _analysed(rows, max_features, keep=True).drop("combined_text")
+    analysed = written(analysed, "documents")
+    counted = "words" if tfidf.fits_tasks(max_features) else "terms"
+    by_key = analysed.drop(counted).repartitionByRange(DOCUMENT)
     by_key.sortWithinPartitions(DOCUMENT).write.mode("overwrite").parquet(f"{folder}/rows")
-    documents = written(_analysed(rows, max_features), "documents")
+    documents = analysed.select(DOCUMENT, counted)
     vocab = tfidf.vocabulary(documents, DOCUMENT, max_features=max_features)
     vocab.write.mode("overwrite").parquet(f"{folder}/vocabulary")
     vocab = spark.read.parquet(f"{folder}/vocabulary")
