@@ -230,14 +230,21 @@ def _etl_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
 DROPS = 3
 
 
-def _in_drops(t: NewsTables) -> list[dict[str, DataFrame]]:
-    """The rows of the base tables as drops that follow one another, by a hash of the row."""
+def _in_drops(t: NewsTables, **kept: list[str]) -> list[dict[str, DataFrame]]:
+    """The rows of the base tables as drops that follow one another, by a hash of the row.
 
-    def drop(df: DataFrame, number: int) -> DataFrame:
-        return df.filter(F.pmod(F.xxhash64(*df.columns), F.lit(DROPS)) == number)
+    The rows are derived and dealt once, in the shared folder; of a table named in ``kept`` they
+    keep these columns.
+    """
 
+    def dealt(table: str) -> DataFrame:
+        df = getattr(t, table)
+        number = F.pmod(F.xxhash64(*df.columns), F.lit(DROPS)).cast("int")
+        return written(df.select(*kept.get(table, df.columns), number.alias("drop")), table)
+
+    tables = {table: dealt(table) for table in BASE_TABLES}
     return [
-        {table: drop(getattr(t, table), number) for table in BASE_TABLES}
+        {table: df.filter(F.col("drop") == number).drop("drop") for table, df in tables.items()}
         for number in range(DROPS)
     ]
 
@@ -246,7 +253,8 @@ def _top_news_maintained(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The ranking after all rows came in drops, each of which updated it."""
     t = _relations(spark, sf_dir)
     kept = ranking.Ranking(spark, new_folder(spark, "ranking"))
-    for number, drop in enumerate(_in_drops(t)):
+    mentions, records = ["globaleventid", "confidence"], ["documentidentifier", "sharingimage"]
+    for number, drop in enumerate(_in_drops(t, mentions=mentions, gkg=records)):
         kept.update(number, **drop)
     return kept.top_news(DROPS, t.gkg)
 

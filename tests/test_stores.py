@@ -6,6 +6,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+import __spark_entry__
 from test_indexes import metric
 from test_news import make_rows
 from test_sources import export, folder, gkg, land
@@ -93,6 +94,20 @@ def test_keyed_log_reads_the_batch_share(spark):
     assert metric(log.among(new, 3), "numOutputRows") == 0
 
 
+def test_keyed_log_returns_what_it_stored(spark):
+    schema = spark.createDataFrame([], "k string, v bigint").schema
+    log = KeyedLog(spark, new_folder(spark, "log"), "k", schema, buckets=4)
+    rows = spark.createDataFrame([("a", 1), ("a", 1), (None, 2)], schema)
+    for batch in range(2):
+        assert [tuple(r) for r in log.add(rows, batch).collect()] == [("a", 1)] * 2
+    # Many keys: the range of keys filters, whatever their approximate number is.
+    many = spark.range(1000).select(F.format_string("%04d", "id").alias("k"), "id")
+    log.add(many.withColumnRenamed("id", "v"), 2)
+    asked = many.filter("id BETWEEN 100 AND 699").select("k")
+    found = {r.k for r in log.among(asked, 3).collect()}
+    assert found == {f"{i:04}" for i in range(100, 700)}
+
+
 def test_ingest_over_many_batches(spark, monkeypatch):
     """Many batches, merged tiers, repeats of any age."""
     monkeypatch.setattr(keyed_log, "TIER", 2)
@@ -247,6 +262,51 @@ def test_segments_post_a_term_once_a_url(spark, max_features):
     assert same(found, search.search_tfidf(t, "t1 story name", 10, max_features=max_features))
 
 
+def test_mentions_that_change_nothing_rank_nothing(spark):
+    t = relations(spark, make_rows(1))
+    none = {"events": t.events.limit(0), "gkg": t.gkg.limit(0)}
+    ids = t.mentions.select("globaleventid").distinct()
+    columns = [c for c in t.mentions.columns if c != "globaleventid"]
+    empty = [F.lit(None).cast(t.mentions.schema[c].dataType).alias(c) for c in columns]
+    strong = ids.select("globaleventid", *empty).select(*t.mentions.columns)
+    kept = ranking.Ranking(spark, new_folder(spark, "ranking"), buckets=4)
+    kept.update(0, t.events, t.mentions, t.gkg)
+    given = t.mentions
+    # Weaker, a new strongest, weaker again, as strong but positive.
+    for drop, (confidence, changes) in enumerate([(0.0, 0), (-500.0, 1), (499.0, 0), (500.0, 1)], 1):
+        said = strong.withColumn("confidence", F.lit(confidence))
+        if not drop - 1:
+            said = said.join(t.mentions.filter("confidence IS NOT NULL"), "globaleventid", "left_semi")
+        given = given.unionByName(said)
+        kept.update(drop, mentions=said, **none)
+        for log in (kept.bounds, kept.stories, kept.urls):
+            rows = spark.read.schema(log.schema).parquet(f"{log.path}/level=0/last={drop}")
+            assert (rows.count() > 0) == changes
+        assert same(
+            kept.top_news(drop + 1, t.gkg), news.top_news(dataclasses.replace(t, mentions=given))
+        )
+
+
+def test_drops_are_dealt_once(spark):
+    """Each row is derived once, however many drops there are, and goes to the drop of its hash."""
+    t = relations(spark, make_rows(1))
+    met = spark.sparkContext.accumulator(0)
+
+    def derived(batches):
+        for batch in batches:
+            met.add(batch.num_rows)
+            yield batch
+
+    records = t.gkg.mapInArrow(derived, t.gkg.schema)
+    dealt = __spark_entry__._in_drops(
+        dataclasses.replace(t, gkg=records), mentions=["globaleventid", "confidence"]
+    )
+    for drop, wanted in zip(dealt, drops_of(t, __spark_entry__.DROPS), strict=True):
+        assert same(drop["events"], wanted.events) and same(drop["gkg"], wanted.gkg)
+        assert same(drop["mentions"], wanted.mentions.select("globaleventid", "confidence"))
+    assert met.value == t.gkg.count()
+
+
 def test_snapshots(spark):
     path = new_folder(spark, "tables")
     kept = Snapshots(spark, path)

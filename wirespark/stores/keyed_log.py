@@ -74,8 +74,9 @@ class KeyedLog:
         return F.pmod(F.xxhash64(self.key), F.lit(self.buckets)).cast("int")
 
     def _read(self, names: list[str]) -> DataFrame:
-        if not names:
-            return self.spark.createDataFrame([], self.schema).withColumn(BUCKET, F.lit(0))
+        if not names:  # known to be empty when planned, unlike a frame made of Python rows
+            columns = [F.lit(None).cast(f.dataType).alias(f.name) for f in self.schema]
+            return self.spark.range(1).select(*columns, F.lit(0).alias(BUCKET)).filter(F.lit(False))
         schema = T.StructType([*self.schema.fields, T.StructField(BUCKET, T.IntegerType())])
         reader = self.spark.read.schema(schema)
         return reduce(DataFrame.unionByName, [reader.parquet(f"{self.path}/{n}") for n in names])
@@ -95,21 +96,28 @@ class KeyedLog:
             return self._read([]).drop(BUCKET)
         key = F.col(self.key)
         given = keys.select(self.key, self._bucket().alias(BUCKET)).filter(key.isNotNull())
-        few = given.distinct().limit(NAMED_KEYS + 1).collect()
-        if not few:
-            return self._read([]).drop(BUCKET)
-        stored = self._read(folders(batch))
-        if len(few) <= NAMED_KEYS:
-            inside = F.col(BUCKET).isin(sorted({r[BUCKET] for r in few}))
-            return stored.filter(inside & one_of(key, [r[self.key] for r in few])).drop(BUCKET)
-        bounds = given.agg(
-            F.min(key).alias("low"), F.max(key).alias("high"), F.collect_set(BUCKET).alias("in")
+        # One pass whose tasks send a row each; only keys that may be few are told apart exactly.
+        met = given.agg(
+            F.approx_count_distinct(key).alias("keys"),
+            F.min(key).alias("low"),
+            F.max(key).alias("high"),
+            F.collect_set(BUCKET).alias("in"),
         ).first()
-        inside = F.col(BUCKET).isin(bounds["in"]) & key.between(bounds["low"], bounds["high"])
-        return stored.filter(inside).drop(BUCKET)
-
-    def add(self, rows: DataFrame, batch: int) -> None:
-        """Store the rows of a batch (those with a key) and merge the tiers that it fills."""
+        if not met["in"]:
+            return self._read([]).drop(BUCKET)
+        inside = F.col(BUCKET).isin(sorted(met["in"]))
+        stored = self._read(folders(batch)).filter(inside)
+        if met["keys"] <= 2 * NAMED_KEYS:
+            few = given.select(self.key).distinct().limit(NAMED_KEYS + 1).collect()
+            if len(few) <= NAMED_KEYS:
+                return stored.filter(one_of(key, [r[self.key] for r in few])).drop(BUCKET)
+        return stored.filter(key.between(met["low"], met["high"])).drop(BUCKET)
+
+    def add(self, rows: DataFrame, batch: int) -> DataFrame:
+        """Store the rows of a batch (those with a key) and merge the tiers that it fills.
+
+        Returns the rows as stored, so a caller that goes on with them need not write them again.
+        """
         given = rows.select(*self.schema.names).filter(F.col(self.key).isNotNull())
         self._write(given, f"level=0/last={batch}")
         level = 1
@@ -119,6 +127,7 @@ class KeyedLog:
             merged = self._read(parts).drop(BUCKET)
             self._write(self.merge(merged) if self.merge else merged, f"level={level}/last={batch}")
             level += 1
+        return self._read([f"level=0/last={batch}"]).drop(BUCKET)
 
     def _write(self, rows: DataFrame, name: str) -> None:
         dealt = rows.withColumn(BUCKET, self._bucket()).hint("rebalance", BUCKET)
