@@ -72,10 +72,11 @@ def _events_of(spark: SparkSession, base: str) -> KeyedLog:
 
 
 def _new_events(spark: SparkSession, base: str, rows: DataFrame, version: int) -> DataFrame:
+    if not version:
+        return unique_events(rows)
     once = written(unique_events(rows), "events")
-    ids = _events_of(spark, base)
-    known = ids.among(once, version).distinct()
-    return lookup_join(once, known, "globaleventid", "left_anti") if version else once
+    known = _events_of(spark, base).among(once, version)  # each id is there once
+    return lookup_join(once, known, "globaleventid", "left_anti")
 
 
 def _part(snapshots: Snapshots, table: str, version: int) -> DataFrame:
