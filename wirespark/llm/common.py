@@ -5,6 +5,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -90,6 +91,17 @@ def numbered(words: pa.LargeStringArray) -> tuple[np.ndarray, pa.LargeStringArra
     return coded.indices.to_numpy().astype(np.int64), coded.dictionary
 
 
+def listed(values: pa.Array) -> list:
+    """Strings or bytes of an array without nulls; ``to_pylist`` would make a scalar of each first."""
+    return values.to_numpy(zero_copy_only=False).tolist()
+
+
+def word_hashes(words: pa.LargeStringArray) -> np.ndarray:
+    """A 64-bit hash of each word."""
+    values = words.cast(pa.large_binary()).to_numpy(zero_copy_only=False)
+    return np.fromiter(map(xxhash.xxh3_64_intdigest, values), np.uint64, len(values))
+
+
 def mixed(values: np.ndarray) -> np.ndarray:
     """A 64-bit mix of unsigned 64-bit numbers (a bijection)."""
     x = values.astype(np.uint64, copy=True)

@@ -8,7 +8,6 @@ from functools import lru_cache, partial
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -21,6 +20,7 @@ from wirespark.llm.common import (
     spans,
     split_words,
     stored,
+    word_hashes,
 )
 from wirespark.llm.components import connected
 from wirespark.llm.token_ids import blocks
@@ -35,6 +35,8 @@ GROUPS = 256
 PAGE, BLOCK = 32, 256
 #: Pairs of points compared at once.
 PAIRS = 8_000
+#: Keys that a task holds before it deals them out.
+HELD_KEYS = 500_000
 
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _SETS = "doc_id bigint, row bigint, n_shingles bigint, set_id bigint, left_0 int, left_1 int"
@@ -49,11 +51,7 @@ _POINTS = "set_id bigint, n_shingles bigint, shingles array<bigint>, point binar
 def _word_hashes(texts: pa.LargeStringArray) -> tuple[np.ndarray, np.ndarray]:
     bounds, words = split_words(lower_ascii(texts))
     numbers, different = numbered(words)
-    hashes = np.array(
-        [xxhash.xxh3_64_intdigest(w) for w in different.cast(pa.large_binary()).to_pylist()],
-        dtype=np.uint64,
-    )
-    return bounds, hashes[numbers]
+    return bounds, word_hashes(different)[numbers]
 
 
 def shingle_sets(texts: pa.LargeStringArray, width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -184,9 +182,9 @@ def _entries(batches, width: int, ratio: tuple[int, int], buckets: int):
                 sets.append(names[owners[kept]])
                 lowers.append(np.full(int(kept.sum()), lower, np.uint8))
                 held += int(kept.sum())
-        if held > 2_000_000:
-            yield _dealt(keys, sets, lowers, buckets)
-            keys, sets, lowers, held = [], [], [], 0
+            if held > HELD_KEYS:
+                yield _dealt(keys, sets, lowers, buckets)
+                keys, sets, lowers, held = [], [], [], 0
     if held:
         yield _dealt(keys, sets, lowers, buckets)
 

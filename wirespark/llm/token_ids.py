@@ -129,7 +129,11 @@ class Encoder:
 
 
 def blocks(column: pa.Array) -> Iterator[tuple[int, int, pa.LargeStringArray]]:
-    """Runs of texts of about BLOCK_BYTES: first row, row after the last, texts."""
+    """Runs of texts of about BLOCK_BYTES: first row, row after the last, texts.
+
+    Arrow keeps what the blocks of a batch have freed; that is given back after the last one, since
+    workers live on beside the later stages.
+    """
     texts = text_array(column)
     offsets = utf8_bytes(texts)[1]
     begin = 0
@@ -138,6 +142,7 @@ def blocks(column: pa.Array) -> Iterator[tuple[int, int, pa.LargeStringArray]]:
         end = min(max(end, begin + 1), len(texts))
         yield begin, end, texts.slice(begin, end - begin)
         begin = end
+    pa.default_memory_pool().release_unused()
 
 
 def with_end(ids: np.ndarray, starts: np.ndarray, end_id: int) -> tuple[np.ndarray, np.ndarray]:
