@@ -12,12 +12,14 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from tokenizers import Tokenizer
 
-from wirespark.llm.common import numbered, spans, text_array, utf8_bytes
+from wirespark.llm.common import listed, numbered, spans, text_array, utf8_bytes
 
 #: Bytes of text that are encoded together; a longer text is encoded alone.
 BLOCK_BYTES = 3_000_000
 #: Pieces whose ids are remembered; beyond that the memory is cleared.
 KNOWN_PIECES = 800_000
+#: Pieces that are encoded in one run.
+RUN = 20_000
 
 # Spark runs a task per core; threads of the library on top would only contend.
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
@@ -75,10 +77,11 @@ class Encoder:
         """Encode new pieces. Those that begin with a space and end in a word go in long runs."""
         last = pc.utf8_is_space(pc.utf8_slice_codeunits(pieces, -1))
         joins = pc.and_not(pc.starts_with(pieces, " "), last)
-        safe, other = pieces.filter(joins), pieces.filter(pc.invert(joins)).to_pylist()
-        ends = np.cumsum(pc.binary_length(safe).to_numpy())
-        safe = safe.to_pylist()
-        runs = ["".join(safe[i : i + 5000]) for i in range(0, len(safe), 5000)]
+        safe, other = pieces.filter(joins), listed(pieces.filter(pc.invert(joins)))
+        data, offsets = utf8_bytes(safe)
+        ends = offsets[1:]
+        cuts = [*offsets[:-1:RUN], offsets[-1]]
+        runs = [data[a:b].tobytes().decode() for a, b in zip(cuts, cuts[1:])]
         encode = partial(self.tokenizer.encode_batch_fast, add_special_tokens=False)
         flat = np.concatenate([np.zeros(0, np.int64), *[np.asarray(e.ids) for e in encode(runs)]])
         flat = flat.astype(np.int64)
@@ -93,12 +96,12 @@ class Encoder:
         self._room(used + len(lengths), base + len(flat))
         self.ids[base : base + len(flat)] = flat
         self.starts[used + 1 : used + 1 + len(lengths)] = base + np.cumsum(lengths)
-        self.slots.update(zip(safe + other, range(used, used + len(lengths))))
+        self.slots.update(zip(listed(safe) + other, range(used, used + len(lengths))))
 
     def _pieces(self, texts: pa.LargeStringArray) -> tuple[np.ndarray, np.ndarray]:
         parts = pc.split_pattern(pc.replace_substring(texts, " ", _CUT + " "), _CUT)
         numbers, different = numbered(parts.values)
-        pieces = different.to_pylist()
+        pieces = listed(different)
         if len(self.slots) + len(pieces) > KNOWN_PIECES:
             self._forget()
         known = list(map(self.slots.get, pieces))
