@@ -12,7 +12,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wirespark.llm.common import lower_ascii, numbered, spans, split_words, stored
+from wirespark.llm.common import lower_ascii, numbered, spans, split_words, stored, word_hashes
 from wirespark.llm.token_files import mapped, open_folder
 from wirespark.llm.token_ids import blocks
 
@@ -24,7 +24,8 @@ ORDER, MIN_COUNT, DISCOUNT = 3, 2, 0.75
 ADDED = 0.1
 
 _END = np.uint64(xxhash.xxh3_64_intdigest(b"\n"))
-_HELD = 1_500_000
+#: n-grams that a task holds before it sums them up.
+_HELD = 2_000_000
 #: A row for each block of documents: their tokens as numbers into the block's word hashes.
 _BLOCKS = (
     "doc_ids array<bigint>, held_out array<boolean>, sizes binary, hashes binary, tokens binary"
@@ -66,9 +67,10 @@ def pack_bits(values: np.ndarray, width: int) -> np.ndarray:
 def unpack_bits(words: np.ndarray, at: np.ndarray, width: int) -> np.ndarray:
     if not width:
         return np.zeros(len(at), np.uint64)
-    bit = at.astype(np.int64) * width
-    word, shift = bit >> 6, (bit & 63).astype(np.uint64)
-    high = np.where(shift > 0, words[word + 1] << ((np.uint64(64) - shift) & np.uint64(63)), 0)
+    bit = at.astype(np.int64, copy=False) * width
+    word, shift = bit >> 6, (bit & 63).view(np.uint64)
+    # In two steps, since a shift by 64 is not defined: nothing is taken where ``shift`` is 0.
+    high = (words[word + 1] << np.uint64(1)) << (shift ^ np.uint64(63))
     return ((words[word] >> shift) | high) & np.uint64((1 << width) - 1)
 
 
@@ -147,16 +149,20 @@ class EliasFano:
 
 
 def _search(read, want: np.ndarray, low: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """The successor of each wanted value in its own rising range; its place if equal, else -1."""
-    low, high = low.copy(), end.copy()
-    while True:
-        open_ = np.flatnonzero(low < high)
-        if not len(open_):
-            break
-        middle = (low[open_] + high[open_]) >> 1
-        less = read(middle) < want[open_]
-        low[open_] = np.where(less, middle + 1, low[open_])
-        high[open_] = np.where(less, high[open_], middle)
+    """The last value not above each wanted one in its own rising range; its place if equal, else -1.
+
+    Ranges of one value, which most are, take no step.
+    """
+    low = low.copy()
+    rows = np.flatnonzero(end - low > 1)
+    first, last, sought = low[rows], end[rows], want[rows]
+    while len(rows):
+        middle = (first + last) >> 1
+        reached = read(middle) <= sought
+        first, last = np.where(reached, middle, first), np.where(reached, last, middle)
+        wide = last - first > 1
+        low[rows[~wide]] = first[~wide]
+        rows, first, last, sought = rows[wide], first[wide], last[wide], sought[wide]
     inside = np.flatnonzero(low < end)
     found = np.full(len(want), -1, np.int64)
     equal = inside[read(low[inside]) == want[inside]]
@@ -442,8 +448,7 @@ def _tokens(texts: pa.LargeStringArray):
     """
     bounds, words = split_words(lower_ascii(texts))
     numbers, different = numbered(words)
-    hashes = [xxhash.xxh3_64_intdigest(w) for w in different.cast(pa.large_binary()).to_pylist()]
-    hashes = np.append(np.array(hashes, np.uint64), _END)
+    hashes = np.append(word_hashes(different), _END)
     sizes = np.diff(bounds) + 2
     flat = np.full(int(sizes.sum()), len(hashes) - 1, np.int32)
     inner = np.ones(len(flat), bool)
@@ -494,9 +499,14 @@ def _merged(contexts: np.ndarray, words: np.ndarray, counts: np.ndarray):
     return contexts[cuts], words[cuts], np.add.reduceat(counts, cuts) if len(cuts) else counts
 
 
-def _dealt(held: list, trie: Trie | None, buckets: int) -> pa.RecordBatch:
-    """Counts of a task, dealt to buckets that are ranges of (context, word) of equal weight."""
-    contexts, words, counts = _merged(*[np.concatenate(x) for x in zip(*held)])
+def _summed(held: list):
+    """Counts of a task, summed up and sorted."""
+    return _merged(*[np.concatenate(x) for x in zip(*held)])
+
+
+def _dealt(counted: tuple, trie: Trie | None, buckets: int) -> pa.RecordBatch:
+    """Sorted counts, dealt to buckets that are ranges of (context, word) of equal weight."""
+    contexts, words, counts = counted
     if trie is None:
         bucket = (words >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)
     else:
@@ -542,16 +552,16 @@ def _counted(
                     many = trie.levels[0].read(np.maximum(words, 0), "counts", int)
                     use &= (many >= least) & (np.append(0, many[:-1]) >= least)
                 ones = np.ones(int(use.sum()), np.int64)
-                held.append(_merged(contexts[use], words[use].astype(np.uint64), ones))
+                held.append((contexts[use], words[use].astype(np.uint64), ones))
             size += len(held[-1][1])
             if size > _HELD:
-                merged = _merged(*[np.concatenate(x) for x in zip(*held)])
-                held, size = [merged], len(merged[1])
+                held = [_summed(held)]
+                size = len(held[0][1])
                 if size > _HELD // 2:
-                    yield _dealt(held, trie, buckets)
+                    yield _dealt(held[0], trie, buckets)
                     held, size = [], 0
     if size:
-        yield _dealt(held, trie, buckets)
+        yield _dealt(_summed(held), trie, buckets)
 
 
 def _shards(
