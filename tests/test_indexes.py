@@ -209,6 +209,49 @@ def test_documents_are_weighed_once(spark):
     assert {r.term: r.most for r in blocks.collect()} == {f"t{i % 7}": i for i in range(493, 500)}
 
 
+def test_postings_are_listed_by_block(spark):
+    """A row for each term and block, whatever batches its rows come in; a key is stored once."""
+    rng = random.Random(4)
+    rows = []
+    for i in range(900):
+        terms = rng.sample([f"t{j}" for j in range(30)], rng.randrange(0, 6))
+        entries = [(t, float(rng.randrange(1, 4))) for t in terms]
+        length = math.sqrt(sum(w * w for _, w in entries))
+        rows.append((None if i == 5 else i % 880, entries, length))
+    schema = "id int, entries array<struct<term:string,weight:double>>, length double"
+    path, batch = new_folder(spark, "index"), "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(batch)
+    spark.conf.set(batch, "100")
+    try:
+        postings.write_postings(spark.createDataFrame(rows, schema).repartition(2), "id", path)
+    finally:
+        spark.conf.set(batch, before)
+    listed = spark.read.parquet(f"{path}/postings")
+    blocks = spark.read.parquet(f"{path}/blocks")
+    keys = spark.read.parquet(f"{path}/documents").select(F.explode("keys").alias("id"))
+    stored = collections.Counter(r.id for r in keys.collect())
+    assert stored == collections.Counter(i for i, entries, _ in rows if entries)
+    assert listed.count() == listed.select("term", "block").distinct().count() == blocks.count()
+    assert listed.agg(F.sum(F.size("places"))).first()[0] == sum(len(e) for _, e, _ in rows)
+    heaviest = collections.Counter()
+    for _, entries, length in rows:
+        for term, weight in entries:
+            heaviest[term] = max(heaviest[term], weight / length)
+    most = blocks.groupBy("term").agg(F.max("most").alias("most")).collect()
+    assert {r.term: r.most for r in most} == dict(heaviest)
+    asked = {"t3": 0.8, "t7": 0.6}
+    sums = collections.Counter()
+    for i, entries, length in rows:
+        for term, weight in entries:
+            if term in asked:
+                sums[i] += weight / length * asked[term]
+    for k in (10, 2000):
+        found = postings.best_documents(spark, path, "id", list(asked.items()), k).collect()
+        scores = sorted((round(x, 6) for x in sums.values()), reverse=True)[:k]
+        assert [r.similarity for r in found] == pytest.approx(scores, abs=2e-6)
+        assert all(r.similarity == pytest.approx(sums[r.id], abs=2e-6) for r in found)
+
+
 def test_few_hits_are_filled_up(spark, indexed):
     vocab, path = indexed
     found = postings.best_documents(spark, path, "i", [], 5)

@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 
 from wirespark.plans import etl, news, search, stats
 from wirespark.schemas import RAW_WIDTH, TABLE_NAMES
+from wirespark.session import shared_dir
 from wirespark.sinks import writers
-from wirespark.sources import archives, feeds, manifest, tables
+from wirespark.sources import archives, derived, feeds, manifest, tables
 from wirespark.streaming.ingest import ingest, without_repeats
 
 
@@ -336,6 +337,32 @@ def test_search_is_not_crowded_out_by_one_event(spark):
     assert set(found) == {r.globaleventid for r in t.events.select("globaleventid").collect()}
 
 
+@pytest.mark.parametrize("max_features", [1000, None])
+def test_index_build_gives_up_its_steps(spark, max_features):
+    """What a build writes on the way is gone at its end, but for the index."""
+    out = folder()
+    t = etl.landed_tables(spark, str(land(folder())))
+    shared = Path(shared_dir(spark).removeprefix("file:"))
+    before = set(shared.iterdir())
+    noon = datetime.datetime(2024, 1, 5, 12)
+    build = search.refresh_if_stale(t, str(out / "index"), noon, max_features=max_features)
+    steps = [p for p in set(shared.iterdir()) - before if p.name.startswith(("doc", "wei", "blo"))]
+    assert len(steps) == (3 if max_features else 1)
+    assert [spark.read.parquet(str(p)).count() for p in steps] == [0] * len(steps)
+    assert spark.read.parquet(f"{build}/rows").count() == 6
+
+
+def test_pages_take_no_exchange(spark):
+    tables_at = str(folder())
+    for name in ("pages", "documents", "part"):
+        empty = spark.createDataFrame([], derived.TABLE_SCHEMAS[name])
+        empty.write.parquet(f"{tables_at}/{name}.parquet")
+    gkg = derived.derived_gkg(spark, tables_at).select("extras")
+    plan = gkg._jdf.queryExecution().analyzed().toString()
+    joins = [n for n, line in enumerate(plan.splitlines()) if "Join " in line]
+    assert "html" not in "".join(plan.splitlines()[: joins[-1]])
+
+
 def test_index_refresh(spark):
     base, out = land(folder()), folder()
     t = etl.landed_tables(spark, str(base))

@@ -284,6 +284,19 @@ def weighted_rows(documents: DataFrame, key: str, vocab: DataFrame) -> DataFrame
 
     For vocabularies that may go to every task; see ``weights``.
     """
+    return _weighed(documents, key, vocab, scaled=True)
+
+
+def unscaled_rows(documents: DataFrame, key: str, vocab: DataFrame) -> DataFrame:
+    """``(key, entries, length)``: ``weighted_rows`` whose weights are yet to be divided by length.
+
+    Weights that are not scaled are few different numbers, so they are stored in a fraction of
+    the bytes.
+    """
+    return _weighed(documents, key, vocab, scaled=False)
+
+
+def _weighed(documents: DataFrame, key: str, vocab: DataFrame, *, scaled: bool) -> DataFrame:
     idf = {r["term"]: r["idf"] for r in vocab.select("term", "idf").collect()}
     names, values = pa.array(idf.keys(), pa.string()), np.array(list(idf.values()))
 
@@ -293,17 +306,21 @@ def weighted_rows(documents: DataFrame, key: str, vocab: DataFrame) -> DataFrame
                 row, places, tf = _known(terms, row, tf, names)
                 raw = tf * values[places]
                 length = np.sqrt(np.bincount(row, weights=raw * raw, minlength=end - begin))
-                weight = pa.array(raw / length[row])
+                weight = pa.array(raw / length[row] if scaled else raw)
                 entries = pa.StructArray.from_arrays(
                     [names.take(pa.array(places)), weight], ["term", "weight"]
                 )
                 starts = np.searchsorted(row, np.arange(end - begin + 1))
                 lists = pa.ListArray.from_arrays(pa.array(starts, pa.int32()), entries)
                 keys = batch.column(batch.schema.names.index(key)).slice(begin, end - begin)
-                yield pa.RecordBatch.from_arrays([keys, lists], [key, "entries"])
+                columns = {key: keys, "entries": lists}
+                if not scaled:
+                    columns["length"] = pa.array(length)
+                yield pa.RecordBatch.from_arrays([*columns.values()], [*columns])
 
     kept = _kept_terms(documents, key, idf)
-    schema = _schema(kept, key, "entries array<struct<term:string,weight:double>>")
+    entries = "entries array<struct<term:string,weight:double>>"
+    schema = _schema(kept, key, entries if scaled else f"{entries}, length double")
     return kept.mapInArrow(weighed, schema)
 
 

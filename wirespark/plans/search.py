@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from contextlib import ExitStack
 from datetime import datetime, timedelta
 
 from pyspark.errors import AnalysisException
@@ -40,7 +41,7 @@ from wirespark.plans.news import (
     to_article,
 )
 from wirespark.schemas import NewsTables
-from wirespark.session import settled, written
+from wirespark.session import kept_while, settled, written
 from wirespark.stores.keyed_log import one_of
 
 CORPUS_ROWS = 10_000
@@ -316,24 +317,30 @@ def refresh_if_stale(
     if built is not None and as_of - built <= max_age:
         return _build_folder(path, built)
     folder = _build_folder(path, as_of)
-    rows = _with_confidence(corpus_documents(t.events, t.gkg, link=link), t.mentions)
+    # Confidences meet the events before their records do: the texts then take no exchange.
+    events = _with_confidence(t.events, t.mentions)
+    rows = corpus_documents(events, t.gkg, link=link, keep=["confidence"])
+    counted = "words" if tfidf.fits_tasks(max_features) else "terms"
     # Result rows and analysed texts in one go: the texts themselves are not written.
     analysed = _analysed(rows, max_features, keep=True).drop("combined_text")
-    analysed = written(analysed, "documents")
-    counted = "words" if tfidf.fits_tasks(max_features) else "terms"
-    by_key = analysed.drop(counted).repartitionByRange(DOCUMENT)
-    by_key.sortWithinPartitions(DOCUMENT).write.mode("overwrite").parquet(f"{folder}/rows")
-    documents = analysed.select(DOCUMENT, counted)
-    vocab = tfidf.vocabulary(documents, DOCUMENT, max_features=max_features)
-    vocab.write.mode("overwrite").parquet(f"{folder}/vocabulary")
-    vocab = spark.read.parquet(f"{folder}/vocabulary")
-    if tfidf.fits_tasks(max_features):
-        weighted = tfidf.weighted_rows(documents, DOCUMENT, vocab)
-        postings.write_postings(weighted, DOCUMENT, f"{folder}/index")
-    else:
-        weighted = tfidf.weights(documents, DOCUMENT, vocab, max_features)
-        by_term = weighted.repartitionByRange("term", DOCUMENT).sortWithinPartitions("term")
-        by_term.write.mode("overwrite").parquet(f"{folder}/weights")
+    with ExitStack() as weighing:
+        with kept_while(analysed, "documents") as analysed:
+            by_key = analysed.drop(counted).repartitionByRange(DOCUMENT)
+            by_key = by_key.sortWithinPartitions(DOCUMENT)
+            by_key.write.mode("overwrite").parquet(f"{folder}/rows")
+            documents = analysed.select(DOCUMENT, counted)
+            vocab = tfidf.vocabulary(documents, DOCUMENT, max_features=max_features)
+            vocab.write.mode("overwrite").parquet(f"{folder}/vocabulary")
+            vocab = spark.read.parquet(f"{folder}/vocabulary")
+            if tfidf.fits_tasks(max_features):
+                weighted = tfidf.unscaled_rows(documents, DOCUMENT, vocab)
+                weighted = weighing.enter_context(kept_while(weighted, "weighted"))
+            else:
+                weighted = tfidf.weights(documents, DOCUMENT, vocab, max_features)
+                by_term = weighted.repartitionByRange("term", DOCUMENT).sortWithinPartitions("term")
+                by_term.write.mode("overwrite").parquet(f"{folder}/weights")
+        if tfidf.fits_tasks(max_features):
+            postings.write_weighed(weighted, DOCUMENT, f"{folder}/index")
     build = spark.createDataFrame([(as_of,)], "built_at timestamp_ntz")
     build.write.mode("append").parquet(f"{path}/builds")
     return folder

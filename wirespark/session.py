@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -47,6 +49,30 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def kept_while(df: DataFrame, name: str) -> Iterator[DataFrame]:
+    """``written``, compressed well, for as long as the ``with`` block runs.
+
+    Its files are then overwritten by an empty table, and the shuffle files behind it are given up,
+    so steps that follow each other need the disk of one at a time. Nothing lazy that reads the
+    frame may leave the block.
+    """
+    spark = df.sparkSession
+    path = new_folder(spark, name)
+    writer = df.write.option("parquet.block.size", WRITTEN_BLOCK).option("compression", "zstd")
+    writer.parquet(path)
+    _give_up_shuffles(spark)
+    yield spark.read.schema(df.schema).parquet(path)
+    spark.createDataFrame([], df.schema).write.mode("overwrite").parquet(path)
+    _give_up_shuffles(spark)
+
+
+def _give_up_shuffles(spark: SparkSession) -> None:
+    """Spark removes shuffle files once the driver's JVM finds their plans unreachable; without
+    being asked, a driver with memory to spare may look for them long after."""
+    spark.sparkContext._jvm.System.gc()
+
+
 def settled(df: DataFrame) -> DataFrame:
     """Materialise a frame that later steps use more than once."""
     spark = df.sparkSession

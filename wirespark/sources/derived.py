@@ -94,8 +94,11 @@ def derived_gkg(spark: SparkSession, sf_dir: str) -> DataFrame:
     part = read_table(spark, sf_dir, "part")
     pid = F.col("page_id")
     theme = _text(F.col("p_type"), "_", F.replace(F.col("p_brand"), F.lit("#"), F.lit("_")), ";")
+    # Titles are taken out before the joins, so the pages themselves take no exchange.
+    title = F.regexp_extract("html", "<title>(.*?)</title>", 1)
     joined = (
-        pages.withColumn("doc_key", pid % _row_count(docs))
+        pages.select("page_id", "url", title.alias("title"))
+        .withColumn("doc_key", pid % _row_count(docs))
         .withColumn("part_a", pid % _row_count(part))
         .withColumn("part_b", (pid * 7 + 3) % _row_count(part))
         .join(docs.select(F.col("doc_id").alias("doc_key"), "source"), "doc_key", "left")
@@ -112,7 +115,6 @@ def derived_gkg(spark: SparkSession, sf_dir: str) -> DataFrame:
             "left",
         )
     )
-    title = F.regexp_extract("html", "<title>(.*?)</title>", 1)
     return joined.select(
         _text("20240101000000-", pid).alias("gkgrecordid"),
         _text("20240101", F.lpad((pid % 24).cast("string"), 2, "0"), "0000").alias("date"),
@@ -127,7 +129,7 @@ def derived_gkg(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(pid % 4 != 0, _text("http://img.example.com/", pid, ".jpg")).alias("sharingimage"),
         F.lit(None).cast("string").alias("relatedimages"),
         F.when(pid % 19 == 0, F.lit("<X>none</X>"))
-        .otherwise(_text("<PAGE_TITLE>", title, "</PAGE_TITLE>"))
+        .otherwise(_text("<PAGE_TITLE>", F.col("title"), "</PAGE_TITLE>"))
         .alias("extras"),
     )
 
