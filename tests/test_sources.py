@@ -7,9 +7,9 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
+from wirespark import session
 from wirespark.plans import etl, news, search, stats
 from wirespark.schemas import RAW_WIDTH, TABLE_NAMES
-from wirespark.session import shared_dir
 from wirespark.sinks import writers
 from wirespark.sources import archives, derived, feeds, manifest, tables
 from wirespark.streaming.ingest import ingest, without_repeats
@@ -338,17 +338,20 @@ def test_search_is_not_crowded_out_by_one_event(spark):
 
 
 @pytest.mark.parametrize("max_features", [1000, None])
-def test_index_build_gives_up_its_steps(spark, max_features):
+def test_index_build_gives_up_its_steps(spark, monkeypatch, max_features):
     """What a build writes on the way is gone at its end, but for the index."""
-    out = folder()
+    out, steps = folder(), []
+
+    def noted(spark, name, new_folder=session.new_folder):
+        steps.append(new_folder(spark, name))
+        return steps[-1]
+
+    monkeypatch.setattr(session, "new_folder", noted)
     t = etl.landed_tables(spark, str(land(folder())))
-    shared = Path(shared_dir(spark).removeprefix("file:"))
-    before = set(shared.iterdir())
     noon = datetime.datetime(2024, 1, 5, 12)
     build = search.refresh_if_stale(t, str(out / "index"), noon, max_features=max_features)
-    steps = [p for p in set(shared.iterdir()) - before if p.name.startswith(("doc", "wei", "blo"))]
     assert len(steps) == (3 if max_features else 1)
-    assert [spark.read.parquet(str(p)).count() for p in steps] == [0] * len(steps)
+    assert [spark.read.parquet(path).count() for path in steps] == [0] * len(steps)
     assert spark.read.parquet(f"{build}/rows").count() == 6
 
 
